@@ -96,7 +96,7 @@ def normalize_by_reference(
     values = F.transform(lists.split_list(column, keep_empty=True), lambda x: F.lower(x))
     return (
         df.withColumn("_known", known)
-        .withColumn("_kept", F.array_sort(lists.keep_listed(values, F.col("_known"))))
+        .withColumn("_kept", F.sort_array(lists.keep_listed(values, F.col("_known"))))
         .filter(F.size("_kept") > 0)
         .withColumn(column, F.array_join("_kept", ", "))
         .drop("_known", "_kept")
@@ -119,7 +119,7 @@ def normalize_by_large_reference(
     kept = (
         salted_lookup(values, known, ["_v"], [key])
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_v", "_times"))).alias("_list"))
+        .agg(F.sort_array(F.collect_list(F.struct("_v", "_times"))).alias("_list"))
         .select(key, F.array_join(F.flatten(F.transform(
             "_list", lambda s: F.array_repeat(s["_v"], s["_times"].cast("int")))), ", ").alias("_text"))
     )
@@ -180,7 +180,7 @@ def lemmatize(df: DataFrame, key: str, column: str, dictionary: DataFrame) -> Da
     joined = (
         found.groupBy(key)
         .agg(F.collect_list(F.struct("_spots", F.coalesce("_lemma", "_w").alias("_out"))).alias("_l"))
-        .select(key, F.array_join(F.transform(F.array_sort(F.flatten(F.transform(
+        .select(key, F.array_join(F.transform(F.sort_array(F.flatten(F.transform(
             "_l", lambda s: F.transform(s["_spots"], lambda p: F.struct(p.alias("p"), s["_out"].alias("t")))
         ))), lambda s: s["t"]), " ").alias("_text"))
     )

@@ -108,7 +108,7 @@ def values_per_movie(
     pairs = bridge.select("movie_id", id_col).distinct()
     named = salted_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"])
     return named.groupBy("movie_id").agg(
-        F.array_join(F.array_sort(F.collect_set(value_col)), ", ").alias(out)
+        F.array_join(F.sort_array(F.collect_set(value_col)), ", ").alias(out)
     )
 
 
@@ -140,7 +140,7 @@ def enriched_view_by_title(tables: dict[str, DataFrame]) -> DataFrame:
             merged, tables[d.dim].select(d.id_col, d.value_col), [d.id_col], ["title", "overview"]
         )
         listed = named.groupBy("title", "overview").agg(
-            F.array_join(F.array_sort(F.collect_set(d.value_col)), ", ").alias(d.export_col)
+            F.array_join(F.sort_array(F.collect_set(d.value_col)), ", ").alias(d.export_col)
         )
         right = listed.select(
             F.col("title").alias("_t"), F.col("overview").alias("_o"), d.export_col

@@ -29,22 +29,21 @@ def english_stop_words() -> list[str]:
 
 def term_counts(df: DataFrame, key: str, column: str, stop_words: list[str] | None = None) -> DataFrame:
     """(id, term, n) of the word tokens of a text, stop words left out."""
-    words = lists.tokens(F.coalesce(F.col(column), F.lit("")))
-    stops = F.array(*[F.lit(w) for w in (english_stop_words() if stop_words is None else stop_words)])
-    kept = F.filter(words, lambda w: ~F.array_contains(stops, w)) if stop_words != [] else words
-    return (
-        df.select(F.col(key).alias("id"), F.explode(kept).alias("term"))
-        .groupBy("id", "term").agg(F.count("*").alias("n"))
-    )
+    stops = english_stop_words() if stop_words is None else stop_words
+    # explode_outer: the plain form makes Spark add a size test that tokenizes every text twice
+    words = df.select(F.col(key).alias("id"), F.explode_outer(lists.tokens(column)).alias("term"))
+    kept = words.filter(F.col("term").isNotNull() & ~F.col("term").isin(stops))
+    return kept.groupBy("id", "term").agg(F.count("*").alias("n"))
 
 
 def _unit(weighted: DataFrame) -> DataFrame:
     """(id, term, w) -> vectors of length one. Terms are sorted first, so equal texts give equal bits."""
-    rows = weighted.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("terms"))
+    rows = weighted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("terms"))
+    # the norm is a lambda variable, so it is computed once per vector and not once per element
     norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda a, t: a + t["w"] * t["w"]))
-    return rows.withColumn("_norm", norm).select(
-        "id", F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (t["w"] / F.col("_norm")).alias("w"))).alias("terms")
-    )
+    scaled = F.transform(F.array(norm), lambda n: F.transform(
+        "terms", lambda t: F.struct(t["term"].alias("term"), (t["w"] / n).alias("w"))))
+    return rows.select("id", scaled[0].alias("terms"))
 
 
 def document_frequency(counts: DataFrame, salts: int = TERM_SALTS) -> DataFrame:
@@ -79,7 +78,7 @@ def count_vectors(df: DataFrame, key: str, column: str, stop_words: list[str] |
 
 def set_vectors(df: DataFrame, key: str, array: str) -> DataFrame:
     """Distinct elements of an array column, each with weight one."""
-    values = F.array_sort(F.array_distinct(F.filter(F.coalesce(F.col(array), F.array().cast("array<string>")), lambda x: x != "")))
+    values = F.sort_array(F.array_distinct(F.filter(F.coalesce(F.col(array), F.array().cast("array<string>")), lambda x: x != "")))
     return df.select(F.col(key).alias("id"), values.alias("_v")).filter(F.size("_v") > 0).select(
         "id", F.transform("_v", lambda x: F.struct(x.alias("term"), F.lit(1.0).alias("w"))).alias("terms")
     )
@@ -275,10 +274,10 @@ def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame
     looked_up = plan.filter(~F.col("dropped")).select("q", "q_size", "bound", "q_left_out", "term", "qw")
     # both sides of a frequent term are spread: queries over one salt, items over another
     salts = 4
-    spread_q = looked_up.withColumn("_sq", F.pmod(F.xxhash64("q"), F.lit(salts))).withColumn(
+    spread_q = looked_up.withColumn("_sq", F.pmod(F.xxhash64("q"), F.lit(salts)).cast("int")).withColumn(
         "_si", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread_i = item.withColumn("_si", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).withColumn(
-        "_sq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        "_sq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     shared = (
         spread_q.join(spread_i, ["term", "_sq", "_si"]).filter(F.col("id") != F.col("q"))
         .groupBy("q", "id", "q_size", "size", "bound", "q_left_out").agg(F.sum(F.col("qw") * F.col("w")).alias("s"))
@@ -323,7 +322,7 @@ def nearest_items(vectors: DataFrame, k: int, measure: Measure = COSINE) -> Data
     lists_of = best.groupBy("id").agg(F.collect_list(F.struct("_r", "other", "score")).alias("_near")).join(
         head.select(F.col("rep").alias("id"), "sig"), "id").select("sig", "_near")
     everyone = salted_lookup(signed.select("id", "sig"), lists_of, ["sig"], ["id"])
-    own = F.filter(F.array_sort("_near"), lambda s: s["other"] != F.col("id"))
+    own = F.filter(F.sort_array("_near"), lambda s: s["other"] != F.col("id"))
     return everyone.select("id", F.posexplode(F.slice(own, 1, k)).alias("_p", "_s")).select(
         "id", (F.col("_p") + 1).alias("rank"), F.col("_s.other").alias("other"), F.col("_s.score").alias("score")
     )

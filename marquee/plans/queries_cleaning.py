@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from marquee.functions import lists
 from marquee.operators import checks, cleaning
 from marquee.plans import jobs
-from marquee.plans.queries_star import STAR_INPUT_SQL, star_input
+from marquee.plans.queries_star import STAR_INPUT_SQL, star_built, star_input
 from marquee.plans.registry import query
 from marquee.sources.derived import table
 
@@ -272,9 +272,12 @@ def check_replacement_char(spark, folder):
     return checks.check_replacement_char(_planted(spark, folder), ["overview", "title", "movie_id"])
 
 
-@query("check_utf8", """SELECT 'utf8' AS "check", 'text' AS column_name, 0 AS violations""")
+@query("check_utf8", """SELECT 'utf8' AS "check", 'text' AS column_name, count(*) FILTER (doc_id % 25 = 0) AS violations FROM documents""")
 def check_utf8(spark, folder):
-    return checks.check_valid_utf8(table(spark, folder, "documents"), ["text"])
+    """Every 25th text gets a byte that is not UTF-8."""
+    docs = table(spark, folder, "documents")
+    broken = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    return checks.check_valid_utf8(docs.withColumn("text", F.when(F.col("doc_id") % 25 == 0, broken).otherwise(F.col("text"))), ["text"])
 
 
 @query("check_duplicates", f"""WITH {_PLANTED_SQL}
@@ -321,14 +324,20 @@ def check_primary_key(spark, folder):
     return checks.check_primary_key(_planted(spark, folder), "movie_id")
 
 
-_CLEAN_STAR = " UNION ALL ".join(
-    [f"SELECT 'unique' AS \"check\", '{t}.{k}' AS column_name, 0 AS violations UNION ALL SELECT 'key_null', '{t}.{k}', 0"
-     for t, k in jobs.schemas.PRIMARY_KEYS.items()]
-    + [f"SELECT 'foreign_key', '{c}.{ck}', 0" for c, ck, _, _ in jobs.schemas.FOREIGN_KEYS])
+def _key_counts_sql() -> str:
+    """Expected findings on a star whose genre dimension lacks one value and whose fact repeats rows."""
+    rows = [f"SELECT 'unique' AS \"check\", '{t}.{k}' AS column_name, {'(SELECT 2 * count(*) FROM cleaned WHERE id % 10 = 0)' if t == 'fact_movie' else 0} AS violations"
+            f" UNION ALL SELECT 'key_null', '{t}.{k}', 0" for t, k in jobs.schemas.PRIMARY_KEYS.items()]
+    rows += [f"SELECT 'foreign_key', '{c}.{ck}', " + (
+        "(SELECT count(*) FROM (SELECT trim(unnest(string_split(genres, ','))) AS v FROM cleaned) WHERE v = 'red')" if p == "dim_genre"
+        else "0") for c, ck, p, _ in jobs.schemas.FOREIGN_KEYS]
+    return f"WITH {STAR_INPUT_SQL} " + " UNION ALL ".join(rows)
 
 
-@query("check_star_keys", _CLEAN_STAR)
+@query("check_star_keys", _key_counts_sql())
 def check_star_keys(spark, folder):
-    from marquee.plans.queries_star import star_built
-
-    return checks.check_star(star_built(spark, folder))
+    tables = star_built(spark, folder)
+    tables["dim_genre"] = tables["dim_genre"].filter("genre_name <> 'red'")
+    fact = tables["fact_movie"]
+    tables["fact_movie"] = fact.unionByName(fact.filter("movie_id % 10 = 0"))
+    return checks.check_star(tables)

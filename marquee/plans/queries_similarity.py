@@ -92,7 +92,7 @@ def jaccard_topk(spark, folder):
   list_distinct(list_transform(string_split(production_countries, ','), lambda x: trim(x))) AS a,
   list_distinct(list_transform(string_split(genres, ','), lambda x: trim(x))) AS b,
   lag(list_distinct(list_transform(string_split(genres, ','), lambda x: trim(x)))) OVER (ORDER BY id) AS c FROM catalog)
-SELECT id, 0.0 AS unlike, coalesce(round(CAST(len(list_intersect(b, c)) AS DOUBLE) / len(list_distinct(list_concat(b, c))), 6), 0) AS like_previous FROM p""")
+SELECT id, CAST(0 AS DOUBLE) AS unlike, coalesce(round(CAST(len(list_intersect(b, c)) AS DOUBLE) / len(list_distinct(list_concat(b, c))), 6), 0) AS like_previous FROM p""")
 def jaccard_score(spark, folder):
     df = catalog(spark, folder).select(
         "id", lists.parse_list("production_countries").alias("a"), lists.parse_list("genres").alias("b"))
@@ -184,10 +184,10 @@ def pinned_union(spark, folder):
 
 # --- dense vectors ------------------------------------------------------------------------
 
-_DISTANCE_SQL = "round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) ** 2, 6)"
+_DISTANCE_SQL = "round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) ** 2, 9)"
 
 
-@query("vector_knn", f"""SELECT query_id, rank, item_id, score FROM (
+@query("vector_knn", f"""SELECT query_id, rank, item_id, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, item_id) AS rank FROM (
     SELECT a.vec_id AS query_id, b.vec_id AS item_id, {_DISTANCE_SQL} AS score FROM embeddings a, embeddings b)) WHERE rank <= 5""")
 def vector_knn(spark, folder):
@@ -196,12 +196,12 @@ def vector_knn(spark, folder):
     return hits.withColumn("score", F.round("score", 6))
 
 
-@query("vector_neighbours_cosine", """SELECT query_id, rank, item_id, score FROM (
+@query("vector_neighbours_cosine", """SELECT query_id, rank, item_id, round(score, 5) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
-    SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS score
+    SELECT a.vec_id AS query_id, b.vec_id AS item_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS score
     FROM embeddings a, embeddings b)) WHERE rank <= 100""")
 def vector_neighbours_cosine(spark, folder):
-    return vectors.neighbours(derived.vectors(spark, folder), 100, "cosine").withColumn("score", F.round("score", 6))
+    return vectors.neighbours(derived.vectors(spark, folder), 100, "cosine").withColumn("score", F.round("score", 5))
 
 
 _USER_VECTORS_SQL = f"""{RATINGS_SQL}, uv AS (SELECT user_id, pos, avg(v) AS v FROM (
@@ -272,7 +272,7 @@ def train_rows(spark, folder):
 
 
 @query("interaction_weights", f"""WITH {RATINGS_SQL}
-SELECT user_id, movie_id, 1.0 AS by_default, rating AS by_rating, CASE WHEN rating >= 30 THEN 1.0 ELSE 0.0 END AS by_condition FROM ratings""")
+SELECT user_id, movie_id, CAST(1 AS DOUBLE) AS by_default, rating AS by_rating, CAST(rating >= 30 AS INT) * CAST(1 AS DOUBLE) AS by_condition FROM ratings""")
 def interaction_weights(spark, folder):
     df = ratings(spark, folder)
     for strategy, name in (("default", "by_default"), ("ratings", "by_rating"), ("condition_30", "by_condition")):

@@ -35,8 +35,8 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("l_partkey").alias("made_part"))
         .agg(
-            F.array_join(F.array_sort(F.collect_set("s_name")), ", ").alias("production_companies"),
-            F.array_join(F.array_sort(F.collect_set("n_name")), ", ").alias("production_countries"),
+            F.array_join(F.sort_array(F.collect_set("s_name")), ", ").alias("production_companies"),
+            F.array_join(F.sort_array(F.collect_set("n_name")), ", ").alias("production_countries"),
         )
     )
     return (

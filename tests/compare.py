@@ -29,7 +29,7 @@ def _cell(v):
     if isinstance(v, bool) or v is None:
         return v
     if isinstance(v, int):
-        return ("f", float(v))
+        return ("i", v)
     return str(v)
 
 
@@ -55,8 +55,9 @@ def compare(spark, con, folder, name, fn, sql):
     a, b = normal(got, df.columns), normal(want, want_cols)
     if a == b:
         return ("ok" if a else "EMPTY"), len(a), seconds, sql_seconds, None
-    left = [x for x in a if x not in set(b)][:3]
-    right = [x for x in b if x not in set(a)][:3]
+    in_a, in_b = set(a), set(b)
+    left = [x for x in a if x not in in_b][:3]
+    right = [x for x in b if x not in in_a][:3]
     return "DIFF", len(a), seconds, sql_seconds, (len(b), left, right)
 
 
