@@ -55,14 +55,25 @@ def salted_lookup(
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def _order_bucket(value: Column, bounds: Column) -> Column:
-    """Number of bounds below the value: an order-preserving, balanced bucket number."""
-    return F.size(F.filter(bounds, lambda b: b < value))
+def _with_order_bucket(df: DataFrame, value: Column, bounds: Column, out: str) -> DataFrame:
+    """Add the number of bounds below the value: an order-preserving, balanced bucket number.
+
+    A binary search over the GROUP_BUCKETS - 1 bounds, one column per halving, all inside generated
+    code. Rows without bounds get bucket 0, null values come after the last bucket.
+    """
+    df = df.withColumns({"_at_value": value.cast("double"), "_at_bounds": bounds, out: F.lit(0)})
+    step = GROUP_BUCKETS // 2
+    while step:
+        above = F.col("_at_value") > F.get("_at_bounds", F.col(out) + F.lit(step - 1))
+        df = df.withColumn(out, F.when(above, F.col(out) + step).otherwise(F.col(out)))
+        step //= 2
+    beyond = F.col("_at_value").isNull() & F.col("_at_bounds").isNotNull()
+    return df.withColumn(out, F.when(beyond, F.lit(GROUP_BUCKETS)).otherwise(F.col(out))).drop("_at_value", "_at_bounds")
 
 
-def _sketch_bounds(value: str, buckets: int) -> Column:
+def _sketch_bounds(value: str, buckets: int = GROUP_BUCKETS) -> Column:
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    return F.array_distinct(F.percentile_approx(value, points, 10_000))
+    return F.percentile_approx(value, points, 10_000)
 
 
 def rank_within(
@@ -86,10 +97,9 @@ def rank_within(
         return reduce(and_, [F.col(g).eqNullSafe(F.col(name)) for g, name in zip(group, names)])
 
     in_hot = keyed.join(F.broadcast(hot), same_group(hot_names), "inner")
-    bounds = in_hot.groupBy(*hot_names, "_n").agg(_sketch_bounds("_v", GROUP_BUCKETS).alias("_bounds"))
-    tagged = keyed.join(F.broadcast(bounds), same_group(hot_names), "left").withColumn(
-        "_bucket",
-        F.when(F.col("_bounds").isNotNull(), _order_bucket(F.col("_v"), F.col("_bounds"))).otherwise(0),
+    bounds = in_hot.groupBy(*hot_names, "_n").agg(_sketch_bounds("_v").alias("_bounds"))
+    tagged = _with_order_bucket(
+        keyed.join(F.broadcast(bounds), same_group(hot_names), "left"), F.col("_v"), F.col("_bounds"), "_bucket"
     )
 
     before = Window.partitionBy(*hot_names).orderBy("_bucket").rowsBetween(
@@ -161,10 +171,8 @@ def dense_ids(
 
 def ordered_ids(df: DataFrame, key: str, id_col: str, start: int = 0) -> DataFrame:
     """Gap-free ids in the order of a unique numeric key, cut at sketched quantiles of the key."""
-    bounds = df.agg(_sketch_bounds(key, GROUP_BUCKETS)).scalar()
-    bucketed = df.withColumn("_bounds", bounds).withColumn(
-        "_bucket", _order_bucket(F.col(key).cast("double"), F.col("_bounds"))
-    ).drop("_bounds")
+    bounds = df.agg(_sketch_bounds(key)).scalar()
+    bucketed = _with_order_bucket(df, F.col(key), bounds, "_bucket")
     return _number_buckets(bucketed, [F.col(key)], id_col, start, None)
 
 

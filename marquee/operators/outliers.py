@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F
 
 from marquee.functions.spread import exact_quantiles, one_row
 
+# Task functions travel by value, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 TREE_ROWS = 256
 
@@ -82,31 +87,32 @@ def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
 
 
 def _forest_steps(df: DataFrame, column: str, key: str, seed: int, trees: int, tree_rows: int) -> DataFrame:
-    """Trees as rows (tree, start, depth). The training sample is trees * tree_rows rows at most."""
-    draw = F.xxhash64(F.lit(seed), F.col(key))
+    """Trees as rows (tree, start, depth, size), grown in parallel from one pool of sampled values.
+
+    The pool holds trees * tree_rows values at most, however large the table: those with the
+    smallest seeded hash of their key. Each tree draws its rows from the pool.
+    """
     pool = (
         df.filter(F.col(column).isNotNull())
-        .select(F.col(column).cast("double").alias("v"), F.col(key).alias("k"), draw.alias("h"))
+        .select(F.col(column).cast("double").alias("v"), F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.col(key).alias("k"))
         .orderBy("h", "k").limit(trees * tree_rows)
-    )
-    order = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed), "tree", "k"), "k")
-    samples = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("at", F.row_number().over(order)).filter(F.col("at") <= tree_rows)
-        .select("tree", "v")
+        .agg(F.sort_array(F.collect_list(F.struct("h", "k", "v")))["v"].alias("pool"))
     )
 
-    def grow(key_: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng([seed, int(key_[0])])
-        values = pdf["v"].to_numpy()
-        limit = int(np.ceil(np.log2(max(len(values), 2))))
-        steps = _grow(np.sort(values), rng, limit)
-        return pd.DataFrame({
-            "tree": int(key_[0]), "start": [s for s, _ in steps], "depth": [d for _, d in steps],
-            "size": len(values),
-        })
-
-    return samples.groupBy("tree").applyInPandas(grow, "tree int, start double, depth double, size int")
+    def grow(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for tree, pool in zip(part["id"], part["pool"]):
+                if not len(pool):
+                    continue
+                rng = np.random.default_rng([seed, int(tree)])
+                values = rng.choice(np.asarray(pool, dtype=float), size=min(tree_rows, len(pool)), replace=False)
+                steps = _grow(values, rng, int(np.ceil(np.log2(max(len(values), 2)))))
+                yield pd.DataFrame({
+                    "tree": int(tree), "start": [s for s, _ in steps], "depth": [d for _, d in steps], "size": len(values),
+                })
+
+    rows = df.sparkSession.range(trees).withColumn("pool", pool.scalar())
+    return rows.mapInPandas(grow, "tree int, start double, depth double, size int")
 
 
 def isolation_scores(

@@ -18,6 +18,7 @@ from marquee.sources.scratch import keep
 
 TERM_SALTS = 64
 MAX_SEEDS = 10_000
+SIGNATURE_TERMS = 8
 _MARGIN = 1e-9  # room for floating-point noise in every pruning test
 GENRE_WEIGHT, OVERVIEW_WEIGHT, KEYWORD_WEIGHT = 0.2, 0.5, 0.3
 NEAREST = 50
@@ -232,12 +233,47 @@ JACCARD = Measure(
 )
 
 
+def _shared_by_term(query: DataFrame, item: DataFrame, k: int, measure: Measure) -> DataFrame:
+    """(q, id, score) lower bounds from the k + 1 heaviest postings of each of the query's terms."""
+    champions = top_n(item, ["term"], [F.desc("w"), F.asc("size"), F.asc("id")], k + 1, "_c").drop("_c")
+    probes = query.filter(F.col("df") > k)
+    return (
+        salted_lookup(probes, champions, ["term"], ["q"]).filter(F.col("id") != F.col("q"))
+        .groupBy("q", "q_size", "id", "size").agg(F.sum(F.col("qw") * F.col("w")).alias("s"))
+        .select("q", "id", measure.score(F.col("s"), F.col("q_size"), F.col("size")).alias("score"))
+    )
+
+
+def _shared_by_signature(vectors: DataFrame, query: DataFrame, k: int, measure: Measure) -> DataFrame:
+    """(q, id, score) lower bounds from vectors that agree on all but one of their main terms.
+
+    A vector has one signature for each of its SIGNATURE_TERMS heaviest terms: the others of them,
+    in alphabetical order. The k + 1 shortest vectors stand for a signature.
+    """
+    main = top_n(query, ["q"], [F.desc("qw"), F.asc("df"), F.asc("term")], SIGNATURE_TERMS, "_r")
+    heads = main.groupBy("q", "q_size").agg(F.sort_array(F.collect_list(F.struct("term", "qw"))).alias("_head"))
+    signed = (
+        heads.withColumn("_out", F.explode(F.sequence(F.lit(0), F.size("_head") - 1)))
+        .withColumn("_rest", F.filter("_head", lambda t, i: i != F.col("_out")))
+        .filter(F.size("_rest") > 0)
+        .select("q", "q_size", F.sha2(F.to_json(F.col("_rest")["term"]), 256).alias("sig"), F.col("_rest")["qw"].alias("qws"))
+    )
+    stand_ins = top_n(
+        signed.select(F.col("q").alias("id"), F.col("q_size").alias("size"), "sig", F.col("qws").alias("ws")),
+        ["sig"], [F.asc("size"), F.asc("id")], k + 1, "_c",
+    ).drop("_c")
+    dot = F.aggregate(F.zip_with("qws", "ws", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    return (
+        salted_lookup(signed, stand_ins, ["sig"], ["q"]).filter(F.col("id") != F.col("q"))
+        .select("q", "id", measure.score(dot, F.col("q_size"), F.col("size")).alias("score"))
+    )
+
+
 def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame:
     """Top-k others of every vector, exact: (id, other, score), scores above 0 only.
 
-    1. Each query gets a lower bound for its k-th best score from the champions of its terms (the
-       k + 1 heaviest postings of a term), which is k + 1 rows per query term whatever the term's
-       frequency.
+    1. Each query gets a lower bound for its k-th best score from the champions of its terms and of
+       its signatures: k + 1 rows for each, whatever the frequency.
     2. Its most frequent terms are dropped as long as an item that shares nothing else stays below
        that bound. Only the rarer terms are looked up in the postings.
     3. A pair whose shared weight plus everything the dropped terms could add stays below the
@@ -249,16 +285,10 @@ def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame
     query = counted.select(F.col("id").alias("q"), F.col("size").alias("q_size"), "term", F.col("w").alias("qw"), "df")
     item = all_postings.select("id", "size", "term", "w")
 
-    champions = top_n(item, ["term"], [F.desc("w"), F.asc("size"), F.asc("id")], k + 1, "_c").drop("_c")
-    probes = query.filter(F.col("df") > k)
-    partial = (
-        salted_lookup(probes, champions, ["term"], ["q"]).filter(F.col("id") != F.col("q"))
-        .groupBy("q", "q_size", "id", "size").agg(F.sum(F.col("qw") * F.col("w")).alias("s"))
-        .select("q", "id", measure.score(F.col("s"), F.col("q_size"), F.col("size")).alias("score"))
-    )
+    partial = _shared_by_term(query, item, k, measure).unionByName(_shared_by_signature(vectors, query, k, measure))
     bound = (
-        top_n(partial, ["q"], [F.desc("score"), F.asc("id")], k, "_r").filter(F.col("_r") == k)
-        .select("q", (F.col("score") - _MARGIN).alias("bound"))
+        top_n(partial.groupBy("q", "id").agg(F.max("score").alias("score")), ["q"], [F.desc("score"), F.asc("id")], k, "_r")
+        .filter(F.col("_r") == k).select("q", (F.col("score") - _MARGIN).alias("bound"))
     )
     rare_last = Window.partitionBy("q").orderBy(F.desc("df"), F.asc("term")).rowsBetween(Window.unboundedPreceding, 0)
     split = (

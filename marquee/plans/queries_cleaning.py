@@ -10,6 +10,7 @@ from marquee.plans import jobs
 from marquee.plans.queries_star import STAR_INPUT_SQL, star_built, star_input
 from marquee.plans.registry import query
 from marquee.sources.derived import table
+from marquee.sources.scratch import keep
 
 WHITELIST = ["red", "blue", "small", "large", "bolt", "gear", "ring", "widget"]
 
@@ -336,7 +337,7 @@ def _key_counts_sql() -> str:
 
 @query("check_star_keys", _key_counts_sql())
 def check_star_keys(spark, folder):
-    tables = star_built(spark, folder)
+    tables = {name: keep(t, name) for name, t in star_built(spark, folder).items()}
     tables["dim_genre"] = tables["dim_genre"].filter("genre_name <> 'red'")
     fact = tables["fact_movie"]
     tables["fact_movie"] = fact.unionByName(fact.filter("movie_id % 10 = 0"))

@@ -9,6 +9,7 @@ from marquee.operators import checks, cleaning, star
 from marquee.plans.registry import query
 from marquee.schemas import DIM_MOVIE_COLUMNS
 from marquee.sources.derived import CATALOG_SQL, catalog, table
+from marquee.sources.scratch import keep
 
 # Words that the stop-word and lemma queries use; both engines get the same list.
 STOP_WORDS = ["the", "of", "and", "in", "la", "le", "des", "der", "die", "und"]
@@ -44,7 +45,7 @@ cleaned AS (
 
 
 def star_built(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    df = star_input(spark, folder)
+    df = keep(star_input(spark, folder), "cleaned")  # the 12 tables start from a written catalog
     built = {f"{kind}_{name}": t for kind, name, t in star.star_tables(df)}
     names = {"dim_movie": "dim_movie", "fact_movie": "fact_movie"}
     for d in star.LIST_DIMENSIONS:
