@@ -23,6 +23,7 @@ HOT_ROWS = 1_000_000      # ... provided it is too big for one comfortable sort
 GROUP_BUCKETS = 256       # pieces of one hot group
 ID_BUCKETS = 4096         # pieces of a table-wide numbering (three hexadecimal digits)
 LOOKUP_SALTS = 16
+QUANTILE_CELLS = 4096
 BROADCAST_ROWS = 200_000
 
 
@@ -31,6 +32,13 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def over_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows ahead of a step that is heavy on the processor if there are fewer input files
+    than cores; a table with enough files is left where it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if 0 < len(df.inputFiles()) < cores else df
+
+
 def one_row(df: DataFrame) -> Column:
     """The only row of an aggregate as a struct column (a scalar subquery, computed once)."""
     return df.select(F.struct("*")).scalar()
@@ -73,7 +81,7 @@ def _with_order_bucket(df: DataFrame, value: Column, bounds: Column, out: str) -
 
 def _sketch_bounds(value: str, buckets: int = GROUP_BUCKETS) -> Column:
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    return F.percentile_approx(value, points, 10_000)
+    return F.percentile_approx(value, points, 2_000)
 
 
 def rank_within(
@@ -82,8 +90,9 @@ def rank_within(
 ) -> DataFrame:
     """Exact 1-based rank of every row in its group, by `sort_value` (numeric) and then `ties`.
 
-    A plain window sorts a whole group in one task. Here a hot group is cut at sketched quantiles
-    of its own sort values, so that even a group with a third of all rows is sorted in pieces.
+    A plain window sorts a whole group in one task. Group sizes are counted first; if no group is
+    hot the plain window is used. A hot group is cut at sketched quantiles of its own sort values,
+    so that even a group with a third of all rows is sorted in pieces.
     """
     keyed = df.withColumn("_v", sort_value.cast("double"))
     sizes = keyed.groupBy(*group).agg(F.count("*").alias("_n"))
@@ -92,6 +101,12 @@ def rank_within(
     hot = sizes.filter(F.col("_n") >= F.greatest(F.lit(hot_rows), total * HOT_SHARE)).select(
         *[F.col(g).alias(h) for g, h in zip(group, hot_names)], "_n"
     )
+    found = hot.collect()  # at most 1 / HOT_SHARE rows
+    if not found:
+        w = Window.partitionBy(*group)
+        plain = keyed.withColumn(rank, F.row_number().over(w.orderBy(F.col("_v").asc_nulls_last(), *ties)))
+        return (plain.withColumn(size, F.count("*").over(w)) if size else plain).drop("_v")
+    hot = df.sparkSession.createDataFrame(found, hot.schema)
 
     def same_group(names: list[str]) -> Column:
         return reduce(and_, [F.col(g).eqNullSafe(F.col(name)) for g, name in zip(group, names)])
@@ -176,13 +191,13 @@ def ordered_ids(df: DataFrame, key: str, id_col: str, start: int = 0) -> DataFra
     return _number_buckets(bucketed, [F.col(key)], id_col, start, None)
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 100_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 2_000) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (column_name, prob, value).
 
-    Spark's exact `percentile` keeps every distinct value in one task. Here a sketch brackets each
-    quantile, the rows outside the bracket are only counted, and the distinct values inside it
-    (a fixed small share of the table) are ordered. A bracket that misses raises an error; it
-    never gives a wrong number.
+    Spark's exact `percentile` keeps every distinct value in one task. Here a small sketch brackets
+    each quantile; rows outside the bracket are only counted; the bracket is cut into QUANTILE_CELLS
+    equal cells, and only the cell that holds the wanted position is put in order. A bracket that
+    misses raises an error; it never gives a wrong number.
     """
     long = df.select(
         F.explode(F.array(*[
@@ -194,6 +209,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accur
     margin = 10 / accuracy
     lows = F.array(*[F.lit(max(0.0, p - margin)) for p in probs])
     highs = F.array(*[F.lit(min(1.0, p + margin)) for p in probs])
+    place = F.col("prob") * (F.col("n") - 1)
     brackets = (
         long.groupBy("column_name")
         .agg(
@@ -206,29 +222,42 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accur
         .select("column_name", "n", F.col("b.prob").alias("prob"), F.col("b.lows").alias("low"),
                 F.col("b.highs").alias("high"))
     )  # len(columns) * len(probs) rows
+    width = F.col("high") - F.col("low")
+    cell = F.least(F.lit(QUANTILE_CELLS - 1), F.floor((F.col("v") - F.col("low")) / width * QUANTILE_CELLS))
+    keys = ["column_name", "prob", "n", "zone", "cell"]
     zones = (
         long.join(F.broadcast(brackets), "column_name")
         .withColumn("zone", F.when(F.col("v") < F.col("low"), 0).when(F.col("v") > F.col("high"), 2).otherwise(1))
-        .groupBy("column_name", "prob", "n", "zone", F.when(F.col("zone") == 1, F.col("v")).alias("at"))
+        .withColumn("cell", F.when((F.col("zone") == 1) & (width > 0), cell.cast("int")).otherwise(0))
+        .groupBy(*keys, F.when(F.col("zone") == 1, F.col("v")).alias("at"))
         .agg(F.count("*").alias("rows"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
-    w = Window.partitionBy("column_name", "prob").orderBy("zone", "at")
-    position = F.col("prob") * (F.col("n") - 1)
-    cum = zones.withColumn("upto", F.sum("rows").over(w)).withColumn("past", F.col("upto") - F.col("rows"))
+    # at most QUANTILE_CELLS + 2 rows per quantile, of which one or two hold the position
+    in_order = Window.partitionBy("column_name", "prob").orderBy("zone", "cell")
+    cells = (
+        zones.groupBy(*keys).agg(F.sum("rows").alias("cell_rows"))
+        .withColumn("cell_upto", F.sum("cell_rows").over(in_order))
+        .withColumn("before", F.col("cell_upto") - F.col("cell_rows"))
+        .filter((F.col("before") < F.ceil(place) + 1) & (F.floor(place) + 1 <= F.col("cell_upto")))
+        .select(*keys, "before")
+    )
+    w = Window.partitionBy(*keys).orderBy("at")
+    wanted = zones.join(F.broadcast(cells), keys).withColumn("upto", F.col("before") + F.sum("rows").over(w))
+    cum = wanted.withColumn("past", F.col("upto") - F.col("rows"))
 
-    def value_at(place: Column) -> Column:
-        here = (F.col("past") < place) & (place <= F.col("upto"))
+    def value_at(position: Column) -> Column:
+        here = (F.col("past") < position) & (position <= F.col("upto"))
         value = (
             F.when(F.col("zone") == 1, F.col("at"))
-            .when((F.col("zone") == 0) & (place == F.col("upto")), F.col("most"))
-            .when((F.col("zone") == 2) & (place == F.col("past") + 1), F.col("least"))
+            .when((F.col("zone") == 0) & (position == F.col("upto")), F.col("most"))
+            .when((F.col("zone") == 2) & (position == F.col("past") + 1), F.col("least"))
             .otherwise(F.raise_error(F.lit("quantile bracket missed; raise accuracy")).cast("double"))
         )
         return F.max(F.when(here, value))
 
     return (
         cum.groupBy("column_name", "prob", "n")
-        .agg(value_at(F.floor(position) + 1).alias("a"), value_at(F.ceil(position) + 1).alias("b"))
+        .agg(value_at(F.floor(place) + 1).alias("a"), value_at(F.ceil(place) + 1).alias("b"))
         .select("column_name", "prob",
-                (F.col("a") + (F.col("b") - F.col("a")) * (position - F.floor(position))).alias("value"))
+                (F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place))).alias("value"))
     )

@@ -9,10 +9,12 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marquee.functions import lists
-from marquee.functions.spread import one_row, salted_lookup, top_n
+from marquee.functions.spread import fits_broadcast, one_row, salted_lookup, top_n
 
 log = logging.getLogger(__name__)
 
+SHORT_LIST = 2_000  # reference values compared in place
+
 
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.drop(*names)
@@ -82,16 +84,25 @@ def strip_double_quotes(df: DataFrame, columns: list[str] | None = None) -> Data
     return df
 
 
-def normalize_by_reference(
-    df: DataFrame, column: str, reference: DataFrame, reference_column: str
+def normalize_list(
+    df: DataFrame, key: str, column: str, reference: DataFrame, reference_column: str
 ) -> DataFrame:
     """Rewrite a multi-value column to the lower-case values found in a reference list.
 
     Unknown values go, repeated ones stay, the values come out sorted, and a row without any known
-    value disappears. The row is never exploded: the reference list, one aggregate row, is compared
-    inside the array, so there is no shuffle and no regrouping. The list must be a short one
-    (country names); for a list that grows with the data use normalize_by_large_reference.
+    value disappears. The list is counted first: a short one (country names) is compared in place, a
+    long one is joined. `key` must be unique in `df`.
     """
+    if fits_broadcast(reference, SHORT_LIST):
+        return normalize_by_reference(df, column, reference, reference_column)
+    return normalize_by_large_reference(df, key, column, reference, reference_column)
+
+
+def normalize_by_reference(
+    df: DataFrame, column: str, reference: DataFrame, reference_column: str
+) -> DataFrame:
+    """normalize_list for a short list: one aggregate row that is compared inside each array, so no
+    row is exploded and nothing is shuffled."""
     known = reference.agg(F.collect_set(F.lower(F.trim(reference_column)))).scalar()
     values = F.transform(lists.split_list(column, keep_empty=True), lambda x: F.lower(x))
     return (
@@ -106,7 +117,7 @@ def normalize_by_reference(
 def normalize_by_large_reference(
     df: DataFrame, key: str, column: str, reference: DataFrame, reference_column: str
 ) -> DataFrame:
-    """The same result through an exploded join, for a reference list of any length.
+    """normalize_list through an exploded join, for a list of any length.
 
     `key` must be unique in `df`. Repeats of a value inside a row are counted before the join, and
     the join is salted by the key, so a value found in most rows is spread over many tasks.

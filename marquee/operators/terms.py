@@ -13,7 +13,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions import lists
-from marquee.functions.spread import fits_broadcast, salted_lookup, top_n
+from marquee.functions.spread import fits_broadcast, over_all_cores, salted_lookup, top_n
 from marquee.sources.scratch import keep
 
 TERM_SALTS = 64
@@ -32,7 +32,8 @@ def term_counts(df: DataFrame, key: str, column: str, stop_words: list[str] | No
     """(id, term, n) of the word tokens of a text, stop words left out."""
     stops = english_stop_words() if stop_words is None else stop_words
     # explode_outer: the plain form makes Spark add a size test that tokenizes every text twice
-    words = df.select(F.col(key).alias("id"), F.explode_outer(lists.tokens(column)).alias("term"))
+    texts = over_all_cores(df.select(F.col(key).alias("id"), F.col(column).alias("_text")), "id")
+    words = texts.select("id", F.explode_outer(lists.tokens("_text")).alias("term"))
     kept = words.filter(F.col("term").isNotNull() & ~F.col("term").isin(stops))
     return kept.groupBy("id", "term").agg(F.count("*").alias("n"))
 
@@ -52,14 +53,16 @@ def document_frequency(counts: DataFrame, salts: int = TERM_SALTS) -> DataFrame:
 
     A rare term has one row, a term of a third of all texts has `salts` rows.
     """
-    parts = counts.groupBy("term", _salt(salts)).agg(F.count("*").alias("_n"))
+    # counting by n keeps the column in the plan, so both users of the counts share one shuffle
+    parts = counts.groupBy("term", _salt(salts)).agg(F.count_if(F.col("n") >= 1).alias("_n"))
     return parts.groupBy("term").agg(
         F.sum("_n").alias("df"), F.collect_set("_salt").alias("_salts")
     ).select("term", "df", F.explode("_salts").alias("_salt"))
 
 
 def _salt(salts: int = TERM_SALTS) -> Column:
-    return F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int").alias("_salt")
+    # never null, which spares the join a filter that would tell its two inputs apart
+    return F.coalesce(F.pmod(F.xxhash64("id"), F.lit(salts)), F.lit(0)).cast("int").alias("_salt")
 
 
 def tfidf_vectors(df: DataFrame, key: str, column: str, stop_words: list[str] | None = None) -> DataFrame:

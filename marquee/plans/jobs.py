@@ -30,7 +30,7 @@ def clean_catalog(
     df = cleaning.keep_equal(df, "status", "Released")
     df = cleaning.keep_whitelisted(df, "genres", genres)
     df = cleaning.strip_double_quotes(df, schemas.QUOTED_COLUMNS)
-    df = cleaning.normalize_by_reference(df, "production_countries", country_list, "country_name")
+    df = cleaning.normalize_list(df, "id", "production_countries", country_list, "country_name")
     df = df.withColumn("id", df["id"].try_cast("bigint"))
     last = ["production_countries"]
     return df.select(*[c for c in df.columns if c not in last], *last)

@@ -17,7 +17,7 @@ DATA = os.environ.get("MARQUEE_TESTDATA", "/root/testdata")
 def duck(folder: str):
     import duckdb
 
-    con = duckdb.connect()
+    con = duckdb.connect(config={"memory_limit": "6GB"})
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con

@@ -76,6 +76,7 @@ def test_both_normalizers_agree(spark):
     a = cleaning.normalize_by_reference(df, "c", ref, "country_name")
     b = cleaning.normalize_by_large_reference(df, "id", "c", ref, "country_name")
     assert rows(a) == rows(b) == [(1, "france, usa, usa")]
+    assert rows(cleaning.normalize_list(df, "id", "c", ref, "country_name")) == rows(a)
 
 
 def test_dedup_is_deterministic_and_null_safe(spark):
