@@ -32,6 +32,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def checked_lookup(
+    left: DataFrame, right: DataFrame, on: list[str], salt_from: list[str], how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """salted_lookup, or a broadcast if a count shows that `right` (a written table) is small."""
+    if fits_broadcast(right, max_rows):
+        return left.join(F.broadcast(right), on, how)
+    return salted_lookup(left, right, on, salt_from, how)
+
+
 def over_all_cores(df: DataFrame, key: str) -> DataFrame:
     """Spread rows ahead of a step that is heavy on the processor if there are fewer input files
     than cores; a table with enough files is left where it lies."""

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions import lists
-from marquee.functions.spread import BROADCAST_ROWS, dense_ids, fits_broadcast, salted_lookup
+from marquee.functions.spread import checked_lookup, dense_ids, salted_lookup
 from marquee.schemas import (
     DIM_MOVIE_COLUMNS, ENRICHED_COLUMNS, FACT_MOVIE_COLUMNS, LIST_DIMENSIONS, STAR_SCHEMAS,
     ListDimension,
@@ -51,10 +51,9 @@ def bridge_from_list(
         .groupBy(movie_col, value_col).agg(F.count("*").alias("_times"))
     )
     dims = dimension.select(value_col, id_col)
-    if broadcast_rows and fits_broadcast(dims, broadcast_rows):
-        found = pairs.join(F.broadcast(dims), value_col)
-    else:
-        found = salted_lookup(pairs, dims, [value_col], [movie_col])
+    found = checked_lookup(pairs, dims, [value_col], [movie_col], max_rows=broadcast_rows) if broadcast_rows else (
+        salted_lookup(pairs, dims, [value_col], [movie_col])
+    )
     numbered = dense_ids(
         found.select(movie_col, id_col, "_times"), [movie_col, id_col], "_first", weight="_times"
     )
@@ -106,14 +105,14 @@ def values_per_movie(
 ) -> DataFrame:
     """Sorted distinct values of each movie as one string, one row per movie."""
     pairs = bridge.select("movie_id", id_col).distinct()
-    named = salted_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"])
+    named = checked_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"])
     return named.groupBy("movie_id").agg(
         F.array_join(F.sort_array(F.collect_set(value_col)), ", ").alias(out)
     )
 
 
 def enriched_view(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per movie, 18 columns, from the 12 star tables keyed by table name.
+    """One row per movie, 18 columns, from the 12 written star tables keyed by table name.
 
     Every bridge is folded to one row per movie before it is joined, so list sizes never multiply
     and all joins share the one key movie_id.
@@ -136,7 +135,7 @@ def enriched_view_by_title(tables: dict[str, DataFrame]) -> DataFrame:
         ids = tables[d.bridge].select("movie_id", d.id_col).distinct()
         # distinct (title, overview, value id) first: copies of one movie collapse before the look-up
         merged = movies.join(ids, "movie_id").select("title", "overview", d.id_col).distinct()
-        named = salted_lookup(
+        named = checked_lookup(
             merged, tables[d.dim].select(d.id_col, d.value_col), [d.id_col], ["title", "overview"]
         )
         listed = named.groupBy("title", "overview").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
+from marquee.functions.spread import BROADCAST_ROWS
 from marquee.operators import checks, cleaning, star
 from marquee.plans.registry import query
 from marquee.schemas import DIM_MOVIE_COLUMNS
@@ -45,13 +46,15 @@ cleaned AS (
 
 
 def star_built(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    df = keep(star_input(spark, folder), "cleaned")  # the 12 tables start from a written catalog
-    built = {f"{kind}_{name}": t for kind, name, t in star.star_tables(df)}
-    names = {"dim_movie": "dim_movie", "fact_movie": "fact_movie"}
-    for d in star.LIST_DIMENSIONS:
-        names[f"dim_{d.source}"] = d.dim
-        names[f"bridge_{d.source}"] = d.bridge
-    return {names[k]: v for k, v in built.items()}
+    """The 12 tables as the transform job makes them: from a written catalog, with dimensions read
+    back before the bridges use them."""
+    df = keep(star_input(spark, folder), "cleaned")
+    tables = {"dim_movie": star.movie_dimension(df), "fact_movie": star.movie_fact(df)}
+    for spec in star.LIST_DIMENSIONS:
+        dim = keep(star.dimension_from_list(df, spec.source, id_col=spec.id_col, value_col=spec.value_col), spec.dim)
+        tables[spec.dim] = dim
+        tables[spec.bridge] = star.bridge_for(df, dim, spec, BROADCAST_ROWS)
+    return tables
 
 
 def _list_sql(column: str) -> str:
