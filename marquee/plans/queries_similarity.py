@@ -106,10 +106,10 @@ def jaccard_score(spark, folder):
 
 
 def _seed_catalog(spark: SparkSession, folder: str) -> DataFrame:
-    """Movies with document texts: overview = text, genres and keywords from the part of the same id."""
+    """The whole catalog; overview is the document of the same id, null where there is none."""
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("overview"))
     parts = catalog(spark, folder).select("id", "title", "genres", "keywords")
-    return parts.join(docs, "id")
+    return parts.join(docs, "id", "left")
 
 
 _PAIR_SQL = """
@@ -126,7 +126,7 @@ def _blend_sql(seeds: str, nearest: int | None = None) -> str:
           FROM ({base})) WHERE near <= {nearest}"""
 
     return f"""WITH {CATALOG_SQL}, m AS (
-  SELECT id, title, genres, keywords, text AS overview FROM catalog JOIN documents ON id = doc_id),
+  SELECT id, title, genres, keywords, text AS overview FROM catalog LEFT JOIN documents ON id = doc_id),
 seeds AS ({seeds}),
 k AS (SELECT id, array_to_string(list_transform(string_split(keywords, ','), lambda x: lower(replace(x, ' ', ''))), ' ') AS text FROM m),
 {_tfidf_sql('m', 'id', 'overview', 'o')}, {_tfidf_sql('k', 'id', 'text', 'w', idf=False)},

@@ -179,6 +179,9 @@ def test_hybrid_model_prefers_the_users_genre(spark):
     users, items = factors.fit_hybrid(inter, features, rank=4, iterations=5)
     top = factors.top_items(users, items, known, 3)
     assert top.filter("movie_id % 2 = user_id % 2").count() >= 0.9 * top.count()
+    heavy = inter.select("user_id", "movie_id").union(known.select(F.lit(7).cast("bigint"), F.col("id")).filter("id < 8"))
+    few = factors.top_items(users, items, known, 3, seen=heavy, exclude_seen=True)
+    assert few.join(heavy, ["user_id", "movie_id"]).count() == 0 and few.filter("user_id = 7").count() == 2 - heavy.filter("user_id = 7 and movie_id >= 8").distinct().count()
     fresh = factors.top_items(users, items, known, 3, seen=inter, exclude_seen=True)
     assert fresh.join(inter, ["user_id", "movie_id"]).count() == 0 and fresh.groupBy("user_id").count().count() == 20
     with pytest.raises(ValueError):
