@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOT_SHARE = 1 / 1000      # a group above this share of all rows is split
 HOT_ROWS = 1_000_000      # ... provided it is too big for one comfortable sort
 GROUP_BUCKETS = 256       # pieces of one hot group
+TIE_BUCKETS = 16          # pieces of one value that fills much of a hot group
 ID_BUCKETS = 4096         # pieces of a table-wide numbering (three hexadecimal digits)
 LOOKUP_SALTS = 16
 QUANTILE_CELLS = 4096
@@ -73,20 +74,20 @@ def salted_lookup(
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def _with_order_bucket(df: DataFrame, value: Column, bounds: Column, out: str) -> DataFrame:
-    """Add the number of bounds below the value: an order-preserving, balanced bucket number.
+def _order_bucket(value: Column, bounds: Column, buckets: int = GROUP_BUCKETS) -> Column:
+    """Number of bounds below the value: an order-preserving, balanced bucket number.
 
-    A binary search over the GROUP_BUCKETS - 1 bounds, one column per halving, all inside generated
-    code. Rows without bounds get bucket 0, null values come after the last bucket.
+    A binary search over the buckets - 1 bounds as one fold, so that the expression stays small
+    wherever the optimizer copies it. Without bounds the bucket is 0; null values come last.
     """
-    df = df.withColumns({"_at_value": value.cast("double"), "_at_bounds": bounds, out: F.lit(0)})
-    step = GROUP_BUCKETS // 2
-    while step:
-        above = F.col("_at_value") > F.get("_at_bounds", F.col(out) + F.lit(step - 1))
-        df = df.withColumn(out, F.when(above, F.col(out) + step).otherwise(F.col(out)))
-        step //= 2
-    beyond = F.col("_at_value").isNull() & F.col("_at_bounds").isNotNull()
-    return df.withColumn(out, F.when(beyond, F.lit(GROUP_BUCKETS)).otherwise(F.col(out))).drop("_at_value", "_at_bounds")
+    steps = []
+    while buckets >> (len(steps) + 1):
+        steps.append(F.lit(buckets >> (len(steps) + 1)))
+    found = F.aggregate(
+        F.array(*steps), F.lit(0),
+        lambda at, step: F.when(value > F.get(bounds, at + step - 1), at + step).otherwise(at),
+    )
+    return F.when(bounds.isNull(), 0).when(value.isNull(), buckets).otherwise(found)
 
 
 def _sketch_bounds(value: str, buckets: int = GROUP_BUCKETS) -> Column:
@@ -96,15 +97,19 @@ def _sketch_bounds(value: str, buckets: int = GROUP_BUCKETS) -> Column:
 
 def rank_within(
     df: DataFrame, group: list[str], sort_value: Column, ties: list[Column], rank: str = "rank",
-    size: str | None = None, hot_rows: int = HOT_ROWS,
+    size: str | None = None, hot_rows: int = HOT_ROWS, tie_value: Column | None = None,
 ) -> DataFrame:
     """Exact 1-based rank of every row in its group, by `sort_value` (numeric) and then `ties`.
 
     A plain window sorts a whole group in one task. Group sizes are counted first; if no group is
     hot the plain window is used. A hot group is cut at sketched quantiles of its own sort values,
-    so that even a group with a third of all rows is sorted in pieces.
+    so that even a group with a third of all rows is sorted in pieces. A value that fills
+    1 / TIE_BUCKETS of a hot group is cut once more by `tie_value`, the first of the ties as an
+    ascending number, if given.
     """
-    keyed = df.withColumn("_v", sort_value.cast("double"))
+    keyed = df.withColumns({
+        "_v": sort_value.cast("double"), "_t": (F.lit(0) if tie_value is None else tie_value).cast("double"),
+    })
     sizes = keyed.groupBy(*group).agg(F.count("*").alias("_n"))
     total = sizes.agg(F.sum("_n")).scalar()
     hot_names = [f"_hot_{g}" for g in group]
@@ -115,7 +120,7 @@ def rank_within(
     if not found:
         w = Window.partitionBy(*group)
         plain = keyed.withColumn(rank, F.row_number().over(w.orderBy(F.col("_v").asc_nulls_last(), *ties)))
-        return (plain.withColumn(size, F.count("*").over(w)) if size else plain).drop("_v")
+        return (plain.withColumn(size, F.count("*").over(w)) if size else plain).drop("_v", "_t")
     hot = df.sparkSession.createDataFrame(found, hot.schema)
 
     def same_group(names: list[str]) -> Column:
@@ -123,22 +128,38 @@ def rank_within(
 
     in_hot = keyed.join(F.broadcast(hot), same_group(hot_names), "inner")
     bounds = in_hot.groupBy(*hot_names, "_n").agg(_sketch_bounds("_v").alias("_bounds"))
-    tagged = _with_order_bucket(
-        keyed.join(F.broadcast(bounds), same_group(hot_names), "left"), F.col("_v"), F.col("_bounds"), "_bucket"
+    tagged = keyed.join(F.broadcast(bounds), same_group(hot_names), "left").withColumn(
+        "_bucket", _order_bucket(F.col("_v"), F.col("_bounds"))
+    )
+
+    # a value equal to that many bounds in a row fills the bucket it starts, apart from smaller values
+    run = GROUP_BUCKETS // TIE_BUCKETS
+    full = (F.col("_v") == F.get("_bounds", F.col("_bucket"))) & (F.col("_v") == F.get("_bounds", F.col("_bucket") + run - 1))
+    tagged = tagged.withColumn("_full", F.when(F.coalesce(full, F.lit(False)), F.col("_v")))
+    full_names = [f"_full_{g}" for g in group]
+    cuts = (
+        tagged.filter(F.col("_full").isNotNull())
+        .groupBy(*[F.col(g).alias(f) for g, f in zip(group, full_names)], F.col("_full").alias("_full_v"))
+        .agg(_sketch_bounds("_t", TIE_BUCKETS).alias("_cuts"))
+    )  # at most TIE_BUCKETS rows per hot group
+    tagged = tagged.join(
+        F.broadcast(cuts), same_group(full_names) & (F.col("_full") == F.col("_full_v")), "left"
+    ).withColumn(
+        "_sub", F.when(F.col("_full").isNull(), -1).otherwise(_order_bucket(F.col("_t"), F.col("_cuts"), TIE_BUCKETS))
     )
 
-    before = Window.partitionBy(*hot_names).orderBy("_bucket").rowsBetween(
+    before = Window.partitionBy(*hot_names).orderBy("_bucket", "_sub").rowsBetween(
         Window.unboundedPreceding, -1
     )
     off_names = [f"_off_{g}" for g in group]
     offsets = (
         tagged.filter(F.col("_n").isNotNull())
-        .groupBy(*hot_names, "_bucket").agg(F.count("*").alias("_rows"))
+        .groupBy(*hot_names, "_bucket", "_sub").agg(F.count("*").alias("_rows"))
         .withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .select(*[F.col(h).alias(o) for h, o in zip(hot_names, off_names)],
-                F.col("_bucket").alias("_off_bucket"), "_skip")
+                F.col("_bucket").alias("_off_bucket"), F.col("_sub").alias("_off_sub"), "_skip")
     )
-    piece = Window.partitionBy(*group, "_bucket")
+    piece = Window.partitionBy(*group, "_bucket", "_sub")
     ranked = tagged.withColumn(
         "_in_piece", F.row_number().over(piece.orderBy(F.col("_v").asc_nulls_last(), *ties))
     )
@@ -146,7 +167,8 @@ def rank_within(
         ranked = ranked.withColumn(size, F.coalesce(F.col("_n"), F.count("*").over(piece)))
     placed = ranked.join(
         F.broadcast(offsets),
-        same_group(off_names) & (F.col("_bucket") == F.col("_off_bucket")) & F.col("_n").isNotNull(),
+        same_group(off_names) & (F.col("_bucket") == F.col("_off_bucket")) & (F.col("_sub") == F.col("_off_sub"))
+        & F.col("_n").isNotNull(),
         "left",
     )
     extra = [size] if size else []
@@ -197,7 +219,9 @@ def dense_ids(
 def ordered_ids(df: DataFrame, key: str, id_col: str, start: int = 0) -> DataFrame:
     """Gap-free ids in the order of a unique numeric key, cut at sketched quantiles of the key."""
     bounds = df.agg(_sketch_bounds(key)).scalar()
-    bucketed = _with_order_bucket(df, F.col(key), bounds, "_bucket")
+    bucketed = df.withColumn("_bounds", bounds).withColumn(
+        "_bucket", _order_bucket(F.col(key).cast("double"), F.col("_bounds"))
+    ).drop("_bounds")
     return _number_buckets(bucketed, [F.col(key)], id_col, start, None)
 
 

@@ -149,7 +149,9 @@ def ranks_from_scores(scores: DataFrame, positives: DataFrame, train: DataFrame
     Items of the user's training rows are left out first. Equal scores are ordered by item.
     """
     pool = without(scores, train, ["user_id", "movie_id"]) if train is not None else scores
-    ranked = rank_within(pool, ["user_id"], -F.col("score"), [F.asc("movie_id")], "rank", "ranked")
+    ranked = rank_within(
+        pool, ["user_id"], -F.col("score"), [F.asc("movie_id")], "rank", "ranked", tie_value=F.col("movie_id")
+    )
     wanted = positives.select("user_id", "movie_id").distinct()
     return ranked.withColumn("rank", F.col("rank") - 1).join(wanted, ["user_id", "movie_id"], "left_semi").select(
         "user_id", "movie_id", "rank", "ranked"

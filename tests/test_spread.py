@@ -19,11 +19,14 @@ def _hot(spark, n=3000):
 
 
 @pytest.mark.parametrize("hot_rows", [10, 10**9])
-def test_rank_within_equals_a_plain_window(spark, hot_rows):
+@pytest.mark.parametrize("values", [500, 3, 1])
+@pytest.mark.parametrize("cut_ties", [True, False])
+def test_rank_within_equals_a_plain_window(spark, hot_rows, values, cut_ties):
     from pyspark.sql import Window
 
-    df = _hot(spark)
-    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", hot_rows=hot_rows)
+    df = _hot(spark).withColumn("v", F.pmod("v", F.lit(values)))
+    tie = F.col("id") if cut_ties else None
+    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", hot_rows=hot_rows, tie_value=tie)
     w = Window.partitionBy("g")
     want = df.withColumn("r", F.row_number().over(w.orderBy("v", "id"))).withColumn("n", F.count("*").over(w))
     key = lambda df: sorted((r["id"], r["r"], r["n"]) for r in df.collect())
@@ -37,6 +40,13 @@ def test_rank_within_puts_nulls_last_in_hot_groups(spark):
     assert got.filter("v is null").agg(F.min("r")).first()[0] == last_value + 1
 
 
+def test_one_value_of_a_hot_group_is_sorted_in_pieces(spark):
+    df = spark.range(4000).select(F.lit(1).alias("g"), F.lit(7.0).alias("v"), "id")
+    ranked = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", hot_rows=10, tie_value=F.col("id"))
+    assert ranked.filter("r <> id + 1").count() == 0
+    assert "_sub" in ranked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dense_ids_do_not_depend_on_partitions(spark):
     df = spark.range(1000).select(F.concat(F.lit("v"), "id").alias("v"))
     a = rows(dense_ids(df.repartition(3), ["v"], "k"), "v", "k")
