@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions import lists
-from marquee.functions.spread import ordered_ids, rank_within, salted_lookup, top_n
+from marquee.functions.spread import ordered_ids, rank_within, salted_lookup
 
 SEED = 42
 

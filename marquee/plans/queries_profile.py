@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marquee.functions import lists
-from marquee.operators import outliers, profiling
+from marquee.operators import cleaning, outliers, profiling
 from marquee.plans.queries_cleaning import RAW_SQL, raw_catalog
 from marquee.plans.queries_star import STAR_INPUT_SQL, star_input
 from marquee.plans.registry import query
@@ -52,8 +51,8 @@ def completeness(spark, folder):
 _TITLES = "(SELECT title, genres, keywords FROM cleaned)"
 
 
-@query("dup_report", f"""WITH {STAR_INPUT_SQL}, g AS (SELECT count(*) AS n FROM {_TITLES} GROUP BY ALL, title, genres, keywords)
-SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS groups FROM g""".replace("GROUP BY ALL, ", "GROUP BY "))
+@query("dup_report", f"""WITH {STAR_INPUT_SQL}, g AS (SELECT count(*) AS n FROM {_TITLES} GROUP BY title, genres, keywords)
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS surplus, count(*) FILTER (n > 1) AS groups FROM g""")
 def dup_report(spark, folder):
     return profiling.duplicate_report(star_input(spark, folder).select("title", "genres", "keywords"))
 
@@ -66,9 +65,7 @@ def dup_rows(spark, folder):
 
 @query("drop_equal_rows", f"WITH {STAR_INPUT_SQL} SELECT DISTINCT title, genres, keywords FROM cleaned")
 def drop_equal_rows(spark, folder):
-    from marquee.operators.cleaning import drop_equal_rows as op
-
-    return op(star_input(spark, folder).select("title", "genres", "keywords"))
+    return cleaning.drop_equal_rows(star_input(spark, folder).select("title", "genres", "keywords"))
 
 
 @query("length_stats", "SELECT min(length(text)) AS shortest, max(length(text)) AS longest FROM documents")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
 from marquee.operators import cleaning, factors, interactions, terms, vectors
-from marquee.plans.queries_star import STAR_INPUT_SQL, star_input
 from marquee.plans.registry import query
 from marquee.sources import derived
 from marquee.sources.derived import CATALOG_SQL, RATINGS_SQL, catalog, ratings, table

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
 from marquee.functions.spread import BROADCAST_ROWS
-from marquee.operators import checks, cleaning, star
+from marquee.operators import cleaning, star
 from marquee.plans.registry import query
-from marquee.schemas import DIM_MOVIE_COLUMNS
 from marquee.sources.derived import CATALOG_SQL, catalog, table
 from marquee.sources.scratch import keep
 
