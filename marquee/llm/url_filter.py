@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marquee.llm.common import constant_array
+from marquee.llm.common import bind, constant_array
 
 FEATURES = 1 << 12
 NGRAMS = (3, 4, 5)
@@ -98,7 +98,8 @@ def train(spark: SparkSession, labelled: list[tuple[str, int]] = LABELLED, reg:
         .groupBy("url", "label", "root", "cell").agg(F.count("*").alias("n"))
         .groupBy("url", "label").agg(F.map_from_entries(F.collect_list(F.struct("cell", F.col("n") / F.col("root")))).alias("at"))
     )
-    dense = F.transform(F.sequence(F.lit(0), F.lit(FEATURES - 1)), lambda i: F.coalesce(F.try_element_at("at", i), F.lit(0.0)))
+    dense = bind(F.col("at"), lambda at: F.transform(
+        F.sequence(F.lit(0), F.lit(FEATURES - 1)), lambda i: F.coalesce(F.try_element_at(at, i), F.lit(0.0))))
     rows = counts.select("label", array_to_vector(dense).alias("features")).coalesce(1)  # a few hundred rows
     model = LogisticRegression(regParam=reg, maxIter=40, standardization=False).fit(rows)
     return [float(w) for w in model.coefficients], float(model.intercept)
