@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.llm.common import bind, text_of, words
+from marquee.llm.common import bind, constant_array, text_of, words
 
 K = 64
 SHINGLE = 5
@@ -91,12 +91,12 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     buckets = 1
     while buckets < MOST_BUCKETS and buckets * DOCS_A_BUCKET < rows:
         buckets *= 2
-    if buckets == 1:
-        bucket: Column = F.lit(0)
-    else:
-        points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-        bounds = ids.agg(F.percentile_approx("doc_id", points, 10 * buckets)).scalar()
-        bucket = _bucket_of(F.col("doc_id"), bounds, buckets)
+    bucket: Column = F.lit(0)
+    if buckets > 1:
+        points = constant_array(i / buckets for i in range(1, buckets))
+        bounds = ids.agg(F.percentile_approx(F.col("doc_id").cast("double"), points, 10 * buckets)).first()[0]
+        if bounds:  # at most MOST_BUCKETS numbers; None if every id is null
+            bucket = _bucket_of(F.col("doc_id").cast("double"), constant_array(bounds), buckets)
     # at most MOST_BUCKETS + 1 rows
     everything = Window.orderBy("bucket")
     opens = (
