@@ -42,8 +42,8 @@ RATE = 0.01
 DECAY = 1e-4
 SHAPES = 6
 FEATURES = 2 * DIMS + SHAPES
-BLOCK = 200_000            # words handled at a time
-REMEMBERED = 500_000       # words whose hash a task remembers before it starts afresh
+BLOCK = 100_000            # words handled at a time
+REMEMBERED = 150_000       # words whose hash a task remembers before it starts afresh
 
 
 class Cells(dict):
