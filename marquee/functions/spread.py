@@ -231,14 +231,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accur
     Spark's exact `percentile` keeps every distinct value in one task. Here a small sketch brackets
     each quantile; rows outside the bracket are only counted; the bracket is cut into QUANTILE_CELLS
     equal cells, and only the cell that holds the wanted position is put in order. A bracket that
-    misses raises an error; it never gives a wrong number.
+    misses raises an error; it never gives a wrong number. Null and NaN are no values.
     """
     long = df.select(
         F.explode(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
             for c in columns
         ])).alias("s")
-    ).select("s.column_name", "s.v").filter(F.col("v").isNotNull())
+    ).select("s.column_name", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
     margin = 10 / accuracy
     lows = F.array(*[F.lit(max(0.0, p - margin)) for p in probs])

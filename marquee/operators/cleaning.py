@@ -90,9 +90,10 @@ def normalize_list(
     """Rewrite a multi-value column to the lower-case values found in a reference list.
 
     Unknown values go, repeated ones stay, the values come out sorted, and a row without any known
-    value disappears. The list is counted first: a short one (country names) is compared in place, a
-    long one is joined. `key` must be unique in `df`.
+    value or without a key disappears. The list is counted first: a short one (country names) is
+    compared in place, a long one is joined; both give the same rows.
     """
+    df = df.filter(F.col(key).isNotNull())
     if fits_broadcast(reference, SHORT_LIST):
         return normalize_by_reference(df, column, reference, reference_column)
     return normalize_by_large_reference(df, key, column, reference, reference_column)
@@ -119,23 +120,25 @@ def normalize_by_large_reference(
 ) -> DataFrame:
     """normalize_list through an exploded join, for a list of any length.
 
-    `key` must be unique in `df`. Repeats of a value inside a row are counted before the join, and
-    the join is salted by the key, so a value found in most rows is spread over many tasks.
+    Rows without a key go; rows that share a key keep their own lists. Repeats of a value inside a
+    row are counted before the join, and the join is salted by the key, so a value found in most rows
+    is spread over many tasks.
     """
+    own = F.col(column).alias("_own")
     values = (
-        df.select(key, F.explode(lists.split_list(column, keep_empty=True)).alias("_v"))
-        .groupBy(key, F.lower("_v").alias("_v")).agg(F.count("*").alias("_times"))
+        df.select(key, own).distinct().select(key, "_own", F.explode(lists.split_list("_own", keep_empty=True)).alias("_v"))
+        .groupBy(key, "_own", F.lower("_v").alias("_v")).agg(F.count("*").alias("_times"))
     )
     known = reference.select(F.lower(F.trim(reference_column)).alias("_v")).distinct()
     kept = (
         salted_lookup(values, known, ["_v"], [key])
-        .groupBy(key)
+        .groupBy(key, "_own")
         .agg(F.sort_array(F.collect_list(F.struct("_v", "_times"))).alias("_list"))
-        .select(key, F.array_join(F.flatten(F.transform(
+        .select(key, "_own", F.array_join(F.flatten(F.transform(
             "_list", lambda s: F.array_repeat(s["_v"], s["_times"].cast("int")))), ", ").alias("_text"))
     )
     position = {c: F.col("_text").alias(c) if c == column else F.col(c) for c in df.columns}
-    return df.join(kept, key).select(*position.values())
+    return df.withColumn("_own", F.col(column)).join(kept, [key, "_own"]).select(*position.values())
 
 
 # --- predicates and look-ups used on any table ---------------------------------------------

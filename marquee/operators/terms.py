@@ -361,8 +361,8 @@ def nearest_items(vectors: DataFrame, k: int, measure: Measure = COSINE) -> Data
     )
 
 
-def pinned_union(pinned: DataFrame, rest: DataFrame, key: str, order: str, n: int) -> DataFrame:
-    """Pinned rows and the first n other rows in `order`; a key that is in both is taken once."""
-    first = rest.orderBy(order).limit(n)
+def pinned_union(pinned: DataFrame, rest: DataFrame, key: str, order: str, n: int | None = None) -> DataFrame:
+    """Pinned rows and all other rows, or the first n in `order`; a key that is in both is taken once."""
+    first = rest if n is None else rest.orderBy(order).limit(n)
     both = pinned.withColumn("_from", F.lit(0)).unionByName(first.withColumn("_from", F.lit(1)))
     return top_n(both, [key], [F.asc("_from"), F.asc(order)], 1, "_r").drop("_r", "_from")

@@ -16,11 +16,14 @@ def clean_catalog(
 ) -> DataFrame:
     """The 11 cleaning steps as one lazy plan with one shuffle (the deduplication).
 
-    Deduplication stays ahead of the value filters, because the surviving row decides whether the
+    Ids are typed and required first, so '7' and '007' are one movie and a null or unreadable id is
+    none. Deduplication stays ahead of the value filters, because the surviving row decides whether the
     movie is kept at all.
     """
     df = cleaning.drop_columns(raw, schemas.UNUSED_COLUMNS)
     df = cleaning.drop_null_rows(df, schemas.REQUIRED_COLUMNS)
+    df = cleaning.cast_columns(df, {"id": schemas.T.LongType()})
+    df = cleaning.drop_null_rows(df, ["id"])
     df = cleaning.dedup_by_key(df, ["id"])
     df = cleaning.cast_columns(df, {**schemas.NUMERIC_TYPES, "adult": schemas.T.BooleanType()})
     df = cleaning.parse_date(df, "release_date")
@@ -31,7 +34,6 @@ def clean_catalog(
     df = cleaning.keep_whitelisted(df, "genres", genres)
     df = cleaning.strip_double_quotes(df, schemas.QUOTED_COLUMNS)
     df = cleaning.normalize_list(df, "id", "production_countries", country_list, "country_name")
-    df = df.withColumn("id", df["id"].try_cast("bigint"))
     last = ["production_countries"]
     return df.select(*[c for c in df.columns if c not in last], *last)
 

@@ -17,7 +17,7 @@ STOP_WORDS = (
     "was were be been being have has had having do does did doing a an the and but if or because as until while of "
     "at by for with about against between into through during before after above below to from up down in out on "
     "off over under again further then once here there when where why how all any both each few more most other "
-    "some such no nor not only own same so than too very can will just should now"
+    "some such no nor not only own same so than too very can will just don should now cannot could ought would"
 ).split()
 STOPS_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 
@@ -172,13 +172,13 @@ def seed_titles(spark, folder):
         problems.select("title", F.lit(None).cast("bigint").alias("seed_id"), F.lit(0).cast("bigint").alias("matches"), "message"))
 
 
-@query("pinned_union", f"""WITH {CATALOG_SQL}, f AS (SELECT *, 1 AS src FROM catalog ORDER BY id LIMIT 1000),
+@query("pinned_union", f"""WITH {CATALOG_SQL}, f AS (SELECT *, 1 AS src FROM catalog),
 b AS (SELECT *, 0 AS src FROM catalog WHERE title IN ('red bolt', 'hot gear') UNION ALL SELECT * FROM f)
 SELECT id, title FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY src) AS r FROM b) WHERE r = 1""")
 def pinned_union(spark, folder):
     df = catalog(spark, folder)
     pinned = cleaning.where_in(df, "title", ["red bolt", "hot gear"])
-    return terms.pinned_union(pinned, df, "id", "id", 1000).select("id", "title")
+    return terms.pinned_union(pinned, df, "id", "id").select("id", "title")
 
 
 # --- dense vectors ------------------------------------------------------------------------

@@ -42,9 +42,8 @@ LATEST_RELEASE = "2025-06-02"
 
 # The genre whitelist.
 GENRES = [
-    "Action", "Adventure", "Animation", "Comedy", "Crime", "Documentary", "Drama", "Family",
-    "Fantasy", "History", "Horror", "Music", "Mystery", "Romance", "Science Fiction", "TV Movie",
-    "Thriller", "War", "Western",
+    "Crime", "Romance", "TV Movie", "Thriller", "Adventure", "Drama", "War", "Documentary", "Family",
+    "Fantasy", "History", "Mystery", "Animation", "Music", "Science Fiction", "Horror", "Western", "Comedy", "Action",
 ]
 
 
@@ -134,4 +133,3 @@ COLUMN_KINDS: dict[str, str] = {
        ["id", "title", "release_date", "backdrop_path", "homepage", "imdb_id", "original_title",
         "overview", "poster_path", "tagline"]},
 }
-RATINGS = _struct(("user_id", _L), ("movie_id", _L), ("rating", _D))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,10 +32,13 @@ _local_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster in spark.checkpoint.dir.
 
-    Only where the setting is absent (local tests) is a temporary folder made, once per process.
+    Only where the setting is absent on a local master (tests) is a temporary folder made, once per
+    process; on a cluster its absence is an error, because executors would write to their own disks.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if not _local_folder:
             _local_folder.append(tempfile.mkdtemp(prefix="marquee-"))
         folder = _local_folder[0]

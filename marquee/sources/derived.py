@@ -94,13 +94,6 @@ ratings AS (
 """
 
 
-def texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("text").alias("overview"),
-        F.col("lang").alias("genres"), F.col("source").alias("keywords"),
-    )
-
-
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label"

@@ -79,6 +79,13 @@ def test_both_normalizers_agree(spark):
     assert rows(cleaning.normalize_list(df, "id", "c", ref, "country_name")) == rows(a)
 
 
+def test_normalizers_agree_on_awkward_keys(spark):
+    df = spark.createDataFrame([(None, "usa"), (7, "usa"), (7, "france, Usa"), (7, "usa"), (8, "nowhere")], "id bigint, c string")
+    for extra in (0, cleaning.SHORT_LIST + 5):
+        ref = spark.createDataFrame([("usa",), ("france",), *[(f"c{i}",) for i in range(extra)]], "country_name string")
+        assert rows(cleaning.normalize_list(df, "id", "c", ref, "country_name")) == [(7, "france, usa"), (7, "usa"), (7, "usa")]
+
+
 def test_dedup_is_deterministic_and_null_safe(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (None, "z"), (None, "y")], "id int, t string")
     got = {tuple(r) for r in cleaning.dedup_by_key(df.repartition(5), ["id"]).collect()}

@@ -199,3 +199,9 @@ def test_title_and_genres_of_text(spark):
     text = df.select(lists.item_text("t", "o", "g").alias("x"))
     assert rows(text.select("x", lists.title_of_text("x"), lists.genres_of_text("x"))) == [
         ("Heat. A heist. Done Genres: Crime", "Heat", "Crime")]
+
+
+def test_null_vectors_are_left_out(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [0.0, 2.0])], "id bigint, vector array<double>")
+    got = vectors.vector_topk(df.withColumnRenamed("id", "query_id"), df, 2)
+    assert sorted((r["query_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (1, 3), (3, 1), (3, 3)]

@@ -89,3 +89,9 @@ def test_salted_lookup_keeps_every_row(spark):
 def test_top_n_cuts_before_the_shuffle(spark):
     plan = top_n(_hot(spark), ["g"], [F.asc("v"), F.asc("id")], 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_quantiles_skip_nan(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (None,)], "v double")
+    got = exact_quantiles(df, ["v"], [0.25]).first()
+    assert got["value"] == 2.25
