@@ -422,3 +422,23 @@ def logistic_fm(spark, folder):
     features = _features(spark, folder)
     model = factors.fit_by_loss("logistic", train, features, iterations=5)
     return factors.logistic_scores(model, test, features)
+
+
+@query("logistic_fm_pairs", f"""WITH {RATINGS_SQL}
+SELECT user_id, movie_id, true AS in_range FROM ratings
+WHERE CAST('0x' || substr({_DRAW_SQL}, 1, 8) AS BIGINT) / 4294967296.0 < 0.2""")
+def logistic_fm_pairs(spark, folder):
+    """What does not depend on the trainer: one score between 0 and 1 for every pair held back."""
+    return logistic_fm(spark, folder).select("user_id", "movie_id", F.col("score").between(0, 1).alias("in_range"))
+
+
+@query("hybrid_factor_ranks", f"""WITH {RATINGS_SQL}
+SELECT user_id, 5 AS hits, 5 AS last_rank, true AS falling FROM (SELECT DISTINCT user_id FROM ratings WHERE rating >= 25)""")
+def hybrid_factor_ranks(spark, folder):
+    """What does not depend on the trainer: ranks 1 to 5 for every user with an interaction of
+    positive weight (the model knows no other), scores that never rise."""
+    by_rank = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    listed = hybrid_factor_topn(spark, folder).groupBy("user_id").agg(
+        F.count("*").alias("hits"), F.max("rank").cast("bigint").alias("last_rank"), by_rank.alias("l"))
+    rising = F.exists(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.get("l", i)["score"] > F.get("l", i - 1)["score"])
+    return listed.select("user_id", "hits", "last_rank", (~rising).alias("falling"))
