@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 NUMBER_BUCKETS = 64
+ROWS_A_BUCKET = 1_000_000
 
 
 def text_of(column: str | Column = "text") -> Column:
@@ -36,14 +37,22 @@ def uniform(*keys: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys), 11) / F.lit(float(1 << 53))
 
 
-def numbered(df: DataFrame, group: list[str], spread: list[str], order: list[Column], name: str) -> DataFrame:
+def buckets_for(rows: int) -> int:
+    """Buckets that hold about ROWS_A_BUCKET rows each, NUMBER_BUCKETS at least."""
+    return max(NUMBER_BUCKETS, -(-rows // ROWS_A_BUCKET))
+
+
+def numbered(
+    df: DataFrame, group: list[str], spread: list[str], order: list[Column], name: str, largest: int
+) -> DataFrame:
     """Number the rows of every group 0, 1, 2, ... without gaps.
 
-    A group is cut by the hash of `spread` into NUMBER_BUCKETS pieces, each ranked by itself, and the
-    sizes of the earlier pieces are added, so no task holds a whole group. The offsets have at most
-    NUMBER_BUCKETS rows a group; they are joined, not broadcast by hand. Group values must not be null.
+    A group is cut by the hash of `spread` into pieces, each ranked by itself, and the sizes of the
+    earlier pieces are added. `largest` bounds the rows of a group; the number of pieces follows it, so
+    pieces do not grow with the data. The offsets, a row a piece, are joined, not broadcast by hand.
+    Group values must not be null.
     """
-    keyed = df.withColumn("_piece", F.pmod(F.xxhash64(*spread), F.lit(NUMBER_BUCKETS)).cast("int"))
+    keyed = df.withColumn("_piece", F.pmod(F.xxhash64(*spread), F.lit(buckets_for(largest))).cast("int"))
     ahead = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy(*group, "_piece").agg(F.count("*").alias("_n"))

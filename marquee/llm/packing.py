@@ -161,7 +161,7 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `limit` rows
     plan = sweep(counts, limit)
     ranked = numbered(pieces, ["length"], ["doc_id", "piece", "start"],
-                      [F.col("doc_id").asc_nulls_last(), F.col("piece")], "_rank")
+                      [F.col("doc_id").asc_nulls_last(), F.col("piece")], "_rank", max(counts.values(), default=0))
     if not plan:
         return ranked.select(*pieces.columns, F.lit(None).cast("bigint").alias("sequence_id"), F.lit(None).cast("bigint").alias("offset"))
     by_length: dict[int, list[tuple]] = {}

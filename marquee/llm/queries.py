@@ -1,7 +1,7 @@
 """The registered query of each operator, over whole tables with production parameters.
 
-CHECKS holds SQL where SQL can express a query's rows. It can't where they rest on 64-bit hashes, trained
-models or tokenizers; those queries are held against brute-force versions in tests/llm.
+CHECKS holds SQL where SQL can express a query's rows (repeated passages). It can't where they rest on 64-bit
+hashes, trained models or tokenizers; those queries are held against brute-force versions in tests/llm.
 """
 
 from __future__ import annotations
@@ -97,4 +97,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-CHECKS: dict[str, str] = {}
+# Every 200-byte string of every text, as hexadecimal digits; texts are cut into overlapping parts because
+# taking a substring counts from the start.
+REPEATS_SQL = """WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+parts AS (
+  SELECT rid, len(hx) // 2 AS n, 500 * c AS base, substr(hx, 1000 * c + 1, 1400) AS part
+  FROM (SELECT rid, hx, unnest(range(0, len(hx) // 1000 + 1)) AS c FROM docs)),
+starts AS (
+  SELECT rid, base + i AS s, md5(substr(part, 2 * i + 1, 400)) AS h
+  FROM (SELECT rid, base, part, unnest(range(0, greatest(0, least(500, n - 199 - base)))) AS i FROM parts)),
+twice AS (SELECT h FROM starts GROUP BY h HAVING count(*) > 1),
+hits AS (SELECT rid, s, lag(s) OVER (PARTITION BY rid ORDER BY s) AS p FROM starts WHERE h IN (SELECT h FROM twice)),
+runs AS (
+  SELECT rid, min(s) AS a, max(s) + 200 AS b
+  FROM (SELECT rid, s, sum(CASE WHEN p IS NULL OR s > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY s) AS run FROM hits)
+  GROUP BY rid, run),
+gaps AS (
+  SELECT rid, lag(b, 1, 0) OVER w AS a, a AS b FROM runs WINDOW w AS (PARTITION BY rid ORDER BY a)
+  UNION ALL SELECT rid, max(b), 9223372036854775807 FROM runs GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(substr(hx, 2 * a + 1, CASE WHEN b > len(hx) THEN len(hx) ELSE 2 * (b - a) END), '' ORDER BY a) AS k
+  FROM gaps JOIN docs USING (rid) GROUP BY rid),
+cut AS (SELECT rid, sum(b - a) AS removed, count(*) AS n FROM runs GROUP BY rid)
+SELECT doc_id, CAST(len(hx) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, hx))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)"""
+
+CHECKS: dict[str, str] = {"op9_suffix_dedup": REPEATS_SQL}

@@ -54,7 +54,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.when(F.col("jump.next") == shards, shards).otherwise(F.col("jump.at")).cast("int").alias("grown_shard"),
     )
     order = [F.col("doc_id").asc_nulls_last(), F.col("text_crc32")]
-    return numbered(placed, ["shard"], ["doc_id", "text_crc32"], order, "slot")
+    # any one shard may be hot, so the count of all rows (read from file footers) bounds it
+    return numbered(placed, ["shard"], ["doc_id", "text_crc32"], order, "slot", docs.count())
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:

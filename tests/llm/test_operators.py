@@ -11,8 +11,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from marquee.llm import (components, fingerprints, mixing, packing, quality_classifier, quality_rules, secrets, sharding,
-                         simhash, suffix_dedup, url_filter)
+from marquee.llm import (common, components, fingerprints, mixing, packing, quality_classifier, quality_rules, secrets,
+                         sharding, simhash, suffix_dedup, url_filter)
 from marquee.llm.queries import QUERIES
 from pyspark.sql import functions as F
 
@@ -422,3 +422,11 @@ def test_query_returns_its_whole_table(spark, name):
 def test_kept_digest(spark):
     r = suffix_dedup.remove_repeats(spark.createDataFrame([(1, "abc")], "doc_id bigint, text string")).select(F.sha2("kept", 256).alias("h")).first()
     assert r["h"] == hashlib.sha256(b"abc").hexdigest()
+
+
+def test_numbering_does_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_A_BUCKET", 10)
+    df = spark.range(3000).select((F.col("id") % 3).alias("g"), "id")
+    got = common.numbered(df, ["g"], ["id"], [F.asc("id")], "n", 1000).groupBy("g").agg(
+        F.min("n").alias("a"), F.max("n").alias("b"), F.count_distinct("n").alias("n")).collect()
+    assert common.buckets_for(1000) == 100 and {tuple(r)[1:] for r in got} == {(0, 999, 1000)} and len(got) == 3
