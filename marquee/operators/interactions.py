@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.functions.spread import ordered_ids, rank_within, salted_lookup
+from marquee.functions.spread import ordered_ids, rank_within, salted_lookup, top_n
 
 SEED = 42
 
@@ -98,6 +98,20 @@ def seen_items(interactions: DataFrame, users: DataFrame, catalog: DataFrame) ->
     )
 
 
+def unknown_users(users: DataFrame, interactions: DataFrame) -> DataFrame:
+    """(user_id, message) for asked users without interactions, who can get no list."""
+    asked = users.select("user_id").distinct()
+    return without(asked, interactions, ["user_id"]).withColumn("message", F.lit("Error: user not found."))
+
+
+def known_positives(interactions: DataFrame, users: DataFrame, catalog: DataFrame, n: int = 10, rating: str = "rating") -> DataFrame:
+    """The n best rated items of the given users, with titles, to be shown next to a recommendation."""
+    wanted = interactions.join(users.select("user_id").distinct(), "user_id", "left_semi").select("user_id", "movie_id", rating)
+    best = top_n(wanted, ["user_id"], [F.desc(rating), F.asc("movie_id")], n)
+    info = catalog.select(F.col("id").alias("movie_id"), "title")
+    return salted_lookup(best, info, ["movie_id"], ["user_id"], how="left").withColumn("title", F.coalesce("title", F.lit("Unknown")))
+
+
 # --- item features ------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marquee.functions import lists
 from marquee.functions.spread import exact_quantiles, one_row
+from marquee.schemas import COLUMN_KINDS
 
 
 def _by_column(row: DataFrame, fields: dict[str, dict[str, Column]], label: str = "column_name") -> DataFrame:
@@ -238,6 +239,13 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     )
 
 
+def column_reports(df: DataFrame, kinds: dict[str, str] = COLUMN_KINDS) -> DataFrame:
+    """(column_name, kind, nulls, non_nulls): what each column is for a profile; unlisted ones are other."""
+    listed = {c: kinds.get(c, "other") for c in df.columns}
+    kind = F.create_map(*[F.lit(x) for pair in listed.items() for x in pair])[F.col("column_name")]
+    return null_counts(df).withColumn("kind", kind)
+
+
 def quality_profile(df: DataFrame) -> DataFrame:
     """One row per column: rows, type, nulls, uniques, and for numbers mean, min and max.
 

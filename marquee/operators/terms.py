@@ -361,6 +361,23 @@ def nearest_items(vectors: DataFrame, k: int, measure: Measure = COSINE) -> Data
     )
 
 
+def filled_lists(near: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """Lists of nearest items (id, rank, other, score) filled to k with score 0 in the order of ids.
+
+    Items that share nothing with the rest, or have no terms at all, get a list too. A list holds k items
+    at most and leaves out itself, so the 2k + 1 smallest ids are all that can be needed.
+    """
+    least = [r["id"] for r in items.select("id").orderBy("id").limit(2 * k + 1).collect()]
+    lists_of = near.groupBy("id").agg(F.collect_list(F.struct("rank", "other", "score")).alias("_near"))
+    found = items.select("id").join(lists_of, "id", "left").withColumn(
+        "_near", F.coalesce("_near", F.array().cast("array<struct<rank:int,other:bigint,score:double>>")))
+    other = F.array(*[F.lit(i).cast("bigint") for i in least])
+    free = F.filter(other, lambda o: (o != F.col("id")) & ~F.array_contains(F.col("_near.other"), o))
+    more = F.transform(F.slice(free, 1, F.greatest(k - F.size("_near"), F.lit(0))), lambda o, i: F.struct(
+        (F.size("_near") + i + 1).alias("rank"), o.alias("other"), F.lit(0.0).alias("score")))
+    return found.select("id", F.inline(F.concat("_near", more)))
+
+
 def pinned_union(pinned: DataFrame, rest: DataFrame, key: str, order: str, n: int | None = None) -> DataFrame:
     """Pinned rows and all other rows, or the first n in `order`; a key that is in both is taken once."""
     first = rest if n is None else rest.orderBy(order).limit(n)

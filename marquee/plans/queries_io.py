@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from marquee import schemas
-from marquee.operators import star
 from marquee.plans import jobs
 from marquee.plans.queries_cleaning import WHITELIST, _countries, raw_catalog
-from marquee.plans.queries_star import STAR_INPUT_SQL, star_input
+from marquee.plans.queries_star import STAR_INPUT_SQL, _list_sql, star_input
 from marquee.plans.registry import CHECKS, query
 from marquee.session import scratch_path
 from marquee.sources import io
-from marquee.sources.derived import table
+from marquee.sources.derived import table, vectors
 
 _DOCS_SQL = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 _DOCS = T.StructType([
@@ -71,17 +70,110 @@ def slices(spark, folder):
     return io.read_parquet(spark, path).select("o_orderkey", "part")
 
 
-@query("observed_row_counts", f"""WITH {STAR_INPUT_SQL}
-SELECT 'dim_movie' AS name, count(*) AS rows FROM cleaned UNION ALL SELECT 'fact_movie', count(*) FROM cleaned UNION ALL
-SELECT 'dim_genres', count(DISTINCT v) FROM (SELECT trim(unnest(string_split(genres, ','))) AS v FROM cleaned)""")
+_COUNTS_SQL = " UNION ALL ".join(
+    ["SELECT 'dim_movie' AS name, count(*) AS rows FROM cleaned", "SELECT 'fact_movie', count(*) FROM cleaned"] + [
+        f"SELECT 'dim_{d.source}', count(DISTINCT v) FROM ({_list_sql(d.source)}) UNION ALL "
+        f"SELECT 'bridge_{d.source}', count(*) FROM ({_list_sql(d.source)})" for d in schemas.LIST_DIMENSIONS])
+
+
+def _star_folder(spark, folder) -> tuple[str, dict[str, int]]:
+    """The derived catalog written as cleaned, and the transform job run on it: folder and counts."""
+    clean_path, star_path = scratch_path(spark, "clean"), scratch_path(spark, "star")
+    io.write_parquet(star_input(spark, folder), clean_path)
+    return star_path, jobs.transform_job(spark, clean_path, star_path)
+
+
+@query("observed_row_counts", f"WITH {STAR_INPUT_SQL} {_COUNTS_SQL}")
 def observed_row_counts(spark, folder):
-    """Star tables written one by one; the counts come from the writes."""
-    wanted = ("dim_movie", "fact_movie", "dim_genres")
-    tables = [t for t in star.star_tables(star_input(spark, folder)) if f"{t[0]}_{t[1]}" in wanted]
-    counts = io.write_tables(tables, scratch_path(spark, "star"))
+    """All 12 star tables written by the transform job; the counts come from the writes."""
+    _, counts = _star_folder(spark, folder)
     return spark.createDataFrame(list(counts.items()), "name string, rows bigint")
 
 
+def _own_database(spark) -> str:
+    """A database whose tables lie in the shared folder."""
+    path = scratch_path(spark, "database")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+_LOADED = {table: (place, source) for place, (source, table) in enumerate(schemas.LOAD_ORDER.items(), 1)}
+
+
+@query("load_star_tables", f"WITH {STAR_INPUT_SQL}, counts AS ({_COUNTS_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{t}' AS name, {place} AS place, rows, {len(schemas.STAR_SCHEMAS[t])} AS columns FROM counts WHERE name = '{source}'"
+    for t, (place, source) in _LOADED.items()))
+def load_star_tables(spark, folder):
+    """The load job: 12 folders into tables in their order, each checked, then scanned."""
+    star_path, _ = _star_folder(spark, folder)
+    name = _own_database(spark)
+    checked = jobs.load_job(spark, star_path, name)
+    out = None
+    for place, (loaded, sample) in enumerate(checked.items(), 1):
+        part = io.read_table(spark, f"{name}.{loaded}").agg(F.count("*").alias("rows")).select(
+            F.lit(loaded).alias("name"), F.lit(place).alias("place"), "rows", F.lit(len(sample)).alias("columns"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("append_table", "SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT -1, c_custkey FROM customer")
+def append_table(spark, folder):
+    """Two appends to one table, then a table scan."""
+    name = f"{_own_database(spark)}.grown"
+    orders = table(spark, folder, "orders").select(*[F.col(c).cast("bigint").alias(c) for c in ("o_orderkey", "o_custkey")])
+    more = table(spark, folder, "customer").select(
+        F.lit(-1).cast("bigint").alias("o_orderkey"), F.col("c_custkey").cast("bigint").alias("o_custkey"))
+    io.append_table(orders, name)
+    io.append_table(more, name)
+    return io.read_table(spark, name)
+
+
+@query("inline_rows", """SELECT r_name AS name, CAST(w AS DOUBLE) AS weight, count(*) AS customers
+FROM (VALUES ('ASIA', 0.5), ('EUROPE', 2.0)) t(k, w) JOIN region ON r_name = k JOIN nation ON n_regionkey = r_regionkey
+JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2 UNION ALL
+SELECT l, NULL, count(c_custkey) FROM (VALUES ('BUILDING'), ('no such segment')) s(l) LEFT JOIN customer ON c_mktsegment = l GROUP BY 1""")
+def inline_rows(spark, folder):
+    """Rows and lines given in the program, joined with the customers."""
+    weights = io.inline_rows(spark, [("ASIA", 0.5), ("EUROPE", 2.0)], "name string, weight double")
+    segments = io.inline_lines(spark, ["BUILDING", "no such segment"])
+    customer = table(spark, folder, "customer")
+    nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).join(F.broadcast(weights), F.col("r_name") == F.col("name"))
+    by_region = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("name", "weight").agg(F.count("*").alias("customers"))
+    sizes = customer.groupBy("c_mktsegment").agg(F.count("*").alias("customers"))
+    by_segment = segments.join(sizes, F.col("value") == F.col("c_mktsegment"), "left").select(
+        F.col("value").alias("name"), F.lit(None).cast("double").alias("weight"), F.coalesce("customers", F.lit(0)).alias("customers"))
+    return by_region.unionByName(by_segment)
+
+
+@query("missing_inputs", """SELECT 'documents' AS name, count(*) AS rows, NULL AS message FROM documents UNION ALL
+SELECT 'pages', count(*), NULL FROM pages UNION ALL SELECT 'no_such_table', 0, 'File not found: no_such_table'""")
+def missing_inputs(spark, folder):
+    """Inputs are looked up before they are read; a missing one is a message, not a failed read."""
+    out = None
+    for name in ("documents", "pages", "no_such_table"):
+        try:
+            read = io.read_parquet(spark, io.require_path(spark, f"{folder}/{name}.parquet"))
+            part = read.agg(F.count("*").alias("rows")).withColumn("message", F.lit(None).cast("string"))
+        except io.MissingInput as e:
+            message = str(e).replace(f"{folder}/", "").removesuffix(".parquet")
+            part = spark.range(1).select(F.lit(0).cast("bigint").alias("rows"), F.lit(message).alias("message"))
+        part = part.select(F.lit(name).alias("name"), "rows", "message")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("vector_table", """SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) AS BIGINT) AS pos,
+CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings""")
+def vector_table(spark, folder):
+    """A vector table written, found and read again: every position of every vector."""
+    path = scratch_path(spark, "vectors")
+    io.write_vectors(vectors(spark, folder), path)
+    return io.read_vectors(spark, path).select("id", F.posexplode("vector").alias("at", "v")).select(
+        "id", (F.col("at") + 1).cast("bigint").alias("pos"), F.col("v").cast("double").alias("value"))
+
+
 @query("etl_to_enriched_export", CHECKS["clean_catalog"])
 def etl_to_enriched_export(spark, folder):
     """The whole run: raw CSV, cleaning job, star tables, enriched export with its checks.

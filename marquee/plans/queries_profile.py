@@ -8,6 +8,7 @@ from marquee.operators import cleaning, outliers, profiling
 from marquee.plans.queries_cleaning import RAW_SQL, raw_catalog
 from marquee.plans.queries_star import STAR_INPUT_SQL, star_input
 from marquee.plans.registry import query
+from marquee.schemas import COLUMN_KINDS
 from marquee.sources.derived import RATINGS_SQL, ratings, table
 
 NUMBERS = ["vote_average", "vote_count", "revenue", "runtime", "budget", "popularity"]
@@ -116,17 +117,30 @@ def describe(spark, folder):
     return _rounded(profiling.describe(table(spark, folder, "lineitem"), _DESCRIBED), "mean", "std", "q1", "median", "q3")
 
 
-_PROFILED = ["id", "title", "vote_average", "spoken_languages", "runtime"]
+# every column of the catalog and its type
+_PROFILED = {
+    "id": "bigint", "title": "string", "status": "string", "release_date": "date", "adult": "boolean",
+    "original_language": "string", "overview": "string", "vote_average": "double", "popularity": "double",
+    "vote_count": "bigint", "budget": "bigint", "revenue": "bigint", "runtime": "int", "genres": "string",
+    "keywords": "string", "production_companies": "string", "spoken_languages": "string", "production_countries": "string",
+}
+_NUMBER_KINDS = ("bigint", "int", "double")
 
 
 @query("quality_profile", f"WITH {STAR_INPUT_SQL} " + _union(
     f"""SELECT '{c}' AS column_name, '{k}' AS kind, count(*) AS rows, count(*) - count({c}) AS nulls, count({c}) AS non_nulls,
-    {f'round(avg({c}), 6)' if k != 'string' else 'NULL'} AS mean, {f'CAST(min({c}) AS DOUBLE)' if k != 'string' else 'NULL'} AS least,
-    {f'CAST(max({c}) AS DOUBLE)' if k != 'string' else 'NULL'} AS most, count(DISTINCT {c}) AS uniques, 0 AS surplus_rows FROM cleaned"""
-    for c, k in zip(_PROFILED, ["bigint", "string", "double", "string", "int"])))
+    {f'round(avg({c}), 6)' if k in _NUMBER_KINDS else 'NULL'} AS mean, {f'CAST(min({c}) AS DOUBLE)' if k in _NUMBER_KINDS else 'NULL'} AS least,
+    {f'CAST(max({c}) AS DOUBLE)' if k in _NUMBER_KINDS else 'NULL'} AS most, count(DISTINCT {c}) AS uniques, 0 AS surplus_rows FROM cleaned"""
+    for c, k in _PROFILED.items()))
 def quality_profile(spark, folder):
-    df = _rounded(profiling.quality_profile(star_input(spark, folder).select(*_PROFILED)), "mean")
-    return df
+    return _rounded(profiling.quality_profile(star_input(spark, folder).select(*_PROFILED)), "mean")
+
+
+@query("column_reports", f"WITH {STAR_INPUT_SQL} " + _union(
+    f"SELECT '{c}' AS column_name, '{COLUMN_KINDS.get(c, 'other')}' AS kind, count(*) - count({c}) AS nulls, count({c}) AS non_nulls FROM cleaned"
+    for c in _PROFILED))
+def column_reports(spark, folder):
+    return profiling.column_reports(star_input(spark, folder).select(*_PROFILED))
 
 
 @query("correlation_matrix", f"WITH {STAR_INPUT_SQL}, n AS (SELECT vote_average, vote_count, CASE WHEN id % 7 <> 0 THEN revenue END AS revenue, runtime, budget, popularity FROM cleaned) " + _union(

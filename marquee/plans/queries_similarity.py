@@ -65,26 +65,31 @@ _ITEM_TEXTS_SQL = CATALOG_SQL + ", t AS (SELECT id, title || ' ' || keywords AS
 
 
 @query("cosine_topk", f"""WITH {_ITEM_TEXTS_SQL}, {_tfidf_sql('t', 'id', 'text', 'v')},
-p AS (SELECT a.id, b.id AS other, round(sum(a.w * b.w), 9) AS score FROM v a JOIN v b ON a.term = b.term AND a.id <> b.id GROUP BY 1, 2)
+p AS (SELECT a.id, b.id AS other, round(sum(a.w * b.w), 9) AS score FROM v a JOIN v b ON a.term = b.term AND a.id <> b.id GROUP BY 1, 2),
+p0 AS (SELECT * FROM p UNION ALL SELECT a.id, b.id, 0 FROM t a JOIN (SELECT id FROM t ORDER BY id LIMIT 11) b ON a.id <> b.id
+  WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.id = a.id AND p.other = b.id))
 SELECT id, rank, other, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM p) WHERE rank <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM p0) WHERE rank <= 5""")
 def cosine_topk(spark, folder):
-    near = terms.nearest_items(terms.tfidf_vectors(_item_texts(spark, folder), "id", "text", STOP_WORDS), 5)
-    return near.withColumn("score", F.round("score", 6))
+    texts = _item_texts(spark, folder)
+    near = terms.nearest_items(terms.tfidf_vectors(texts, "id", "text", STOP_WORDS), 5)
+    return terms.filled_lists(near, texts, 5).withColumn("score", F.round("score", 6))
 
 
 @query("jaccard_topk", f"""WITH {CATALOG_SQL},
 s AS (SELECT DISTINCT id, lower(trim(unnest(string_split(genres || ', ' || keywords, ',')))) AS term FROM catalog),
 n AS (SELECT id, count(*) AS size FROM s GROUP BY 1),
 c AS (SELECT a.id, b.id AS other, count(*) AS c FROM s a JOIN s b ON a.term = b.term AND a.id <> b.id GROUP BY 1, 2),
-p AS (SELECT c.id, other, round(c / CAST(x.size + y.size - c AS DOUBLE), 9) AS score FROM c JOIN n x ON c.id = x.id JOIN n y ON c.other = y.id)
+p AS (SELECT c.id, other, round(c / CAST(x.size + y.size - c AS DOUBLE), 9) AS score FROM c JOIN n x ON c.id = x.id JOIN n y ON c.other = y.id),
+p0 AS (SELECT * FROM p UNION ALL SELECT a.id, b.id, 0 FROM catalog a JOIN (SELECT id FROM catalog ORDER BY id LIMIT 11) b ON a.id <> b.id
+  WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.id = a.id AND p.other = b.id))
 SELECT id, rank, other, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM p) WHERE rank <= 5""")
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM p0) WHERE rank <= 5""")
 def jaccard_topk(spark, folder):
     df = catalog(spark, folder).select(
         "id", lists.squash(lists.split_list(F.concat_ws(", ", "genres", "keywords"))).alias("set"))
     near = terms.nearest_items(terms.set_vectors(df, "id", "set"), 5, terms.JACCARD)
-    return near.withColumn("score", F.round("score", 6))
+    return terms.filled_lists(near, df, 5).withColumn("score", F.round("score", 6))
 
 
 @query("jaccard_score", f"""WITH {CATALOG_SQL}, p AS (SELECT id,
@@ -172,6 +177,21 @@ def seed_titles(spark, folder):
         problems.select("title", F.lit(None).cast("bigint").alias("seed_id"), F.lit(0).cast("bigint").alias("matches"), "message"))
 
 
+@query("seed_ids", f"""WITH {CATALOG_SQL}
+SELECT CAST(id AS VARCHAR) AS asked, title, NULL AS message FROM catalog WHERE id IN (3, 17) UNION ALL
+SELECT '-1', NULL, 'Error: id not found.' UNION ALL SELECT 'abc', NULL, 'Error: id must be an integer.'""")
+def seed_ids(spark, folder):
+    seeds, problems = terms.seeds_by_id(catalog(spark, folder), [3, "17", "abc", -1])
+    return seeds.select(F.col("seed_id").cast("string").alias("asked"), "title", F.lit(None).cast("string").alias("message")).unionByName(
+        problems.select("asked", F.lit(None).cast("string").alias("title"), "message"))
+
+
+@query("sorted_by_title", f"""WITH {CATALOG_SQL} SELECT id, title FROM catalog ORDER BY title, id""")
+def sorted_by_title(spark, folder):
+    """The catalog in the order of titles; ids are kept."""
+    return catalog(spark, folder).select("id", "title").orderBy("title", "id")
+
+
 @query("pinned_union", f"""WITH {CATALOG_SQL}, f AS (SELECT *, 1 AS src FROM catalog),
 b AS (SELECT *, 0 AS src FROM catalog WHERE title IN ('red bolt', 'hot gear') UNION ALL SELECT * FROM f)
 SELECT id, title FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY src) AS r FROM b) WHERE r = 1""")
@@ -213,11 +233,11 @@ def _user_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("user_vectors", f"""WITH {_USER_VECTORS_SQL}
-SELECT user_id, count(*) AS dims, round(max(v) FILTER (pos = 1), 6) AS v0, round(max(v) FILTER (pos = 64), 6) AS v63 FROM uv GROUP BY 1""")
+SELECT user_id, CAST(pos AS BIGINT) AS pos, round(v, 6) AS v FROM uv""")
 def user_vectors(spark, folder):
-    return _user_vectors(spark, folder).select(
-        "user_id", F.size("vector").cast("bigint").alias("dims"), F.round(F.col("vector")[0], 6).alias("v0"),
-        F.round(F.col("vector")[63], 6).alias("v63"))
+    """Every position of every user's vector."""
+    return _user_vectors(spark, folder).select("user_id", F.posexplode("vector").alias("at", "x")).select(
+        "user_id", (F.col("at") + 1).cast("bigint").alias("pos"), F.round("x", 6).alias("v"))
 
 
 _USER_HITS_SQL = f"""{_USER_VECTORS_SQL}, u AS (SELECT user_id, list(v ORDER BY pos) AS vec FROM uv GROUP BY 1),
@@ -233,6 +253,44 @@ def recommend_listing(spark, folder):
     return vectors.recommend_listing(_user_vectors(spark, folder), derived.vectors(spark, folder), known, 10)
 
 
+@query("shuffled_vector_search", f"""SELECT query_id, rank, item_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, item_id) AS rank FROM (
+    SELECT a.vec_id AS query_id, b.vec_id AS item_id, {_DISTANCE_SQL} AS score FROM embeddings a, embeddings b)) WHERE rank <= 3""")
+def shuffled_vector_search(spark, folder):
+    """The way of many queries: blocks of queries meet chunks of items by shuffle."""
+    items = derived.vectors(spark, folder)
+    hits = vectors.vector_topk(items.select(F.col("id").alias("query_id"), "vector"), items, 3, broadcast_queries=0)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("unseen_topn", f"""WITH {CATALOG_SQL}, {_USER_VECTORS_SQL}, u AS (SELECT user_id, list(v ORDER BY pos) AS vec FROM uv GROUP BY 1),
+s AS (SELECT user_id, vec_id AS movie_id, round(list_dot_product(vec, CAST(embedding AS DOUBLE[])), 9) AS d FROM u, embeddings
+  WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = u.user_id AND r.movie_id = vec_id))
+SELECT user_id, rank, movie_id, coalesce(title, 'Unknown') AS title, round(d, 4) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY d DESC, movie_id) AS rank FROM s) LEFT JOIN catalog ON movie_id = id WHERE rank <= 5""")
+def unseen_topn(spark, folder):
+    """Best items by product of vectors, without those the user has seen."""
+    seen = ratings(spark, folder)
+    listed = factors.top_items(_user_vectors(spark, folder), derived.vectors(spark, folder), catalog(spark, folder), 5, seen=seen, exclude_seen=True)
+    return listed.select("user_id", "rank", "movie_id", "title", "score")
+
+
+@query("known_positives", f"""WITH {CATALOG_SQL}, {RATINGS_SQL}
+SELECT user_id, rank, movie_id, rating, coalesce(title, 'Unknown') AS title FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, movie_id) AS rank FROM ratings)
+LEFT JOIN catalog ON movie_id = id WHERE rank <= 10""")
+def known_positives(spark, folder):
+    users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    return interactions.known_positives(ratings(spark, folder), users, catalog(spark, folder), 10)
+
+
+@query("unknown_users", f"""WITH {RATINGS_SQL}
+SELECT c_custkey AS user_id, 'Error: user not found.' AS message FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM ratings WHERE rating = 50)""")
+def unknown_users(spark, folder):
+    users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    return interactions.unknown_users(users, ratings(spark, folder).filter("rating = 50"))
+
+
 @query("precision_recall_at_k", f"""WITH {_USER_HITS_SQL}, truth AS (SELECT * FROM ratings WHERE rating >= 30),
 h AS (SELECT user_id, count(*) AS h FROM hits JOIN truth USING (user_id, movie_id) GROUP BY 1)
 SELECT round(avg(coalesce(h, 0) / 10.0), 6) AS precision, round(avg(coalesce(h, 0) / CAST(n AS DOUBLE)), 6) AS recall
@@ -270,6 +328,13 @@ def train_rows(spark, folder):
     return interactions.without(df, test, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating")
 
 
+@query("random_train_rows", f"""WITH {RATINGS_SQL} SELECT user_id, movie_id, rating FROM ratings
+WHERE CAST('0x' || substr({_DRAW_SQL}, 1, 8) AS BIGINT) / 4294967296.0 >= 0.2""")
+def random_train_rows(spark, folder):
+    train, _ = interactions.split_interactions(ratings(spark, folder), "random")
+    return train.select("user_id", "movie_id", "rating")
+
+
 @query("interaction_weights", f"""WITH {RATINGS_SQL}
 SELECT user_id, movie_id, CAST(1 AS DOUBLE) AS by_default, rating AS by_rating, CAST(rating >= 30 AS INT) * CAST(1 AS DOUBLE) AS by_condition FROM ratings""")
 def interaction_weights(spark, folder):

@@ -73,6 +73,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
     (df.coalesce(1) if single_file else df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def write_vectors(df: DataFrame, path: str) -> None:
+    """A vector table: one row per id, the vector as an array of floats next to it."""
+    df.select("id", F.col("vector").cast("array<float>").alias("vector")).write.mode("overwrite").parquet(path)
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(require_path(spark, path)).select("id", "vector")
+
+
 def write_tables(tables: Iterable[tuple[str, str, DataFrame]], folder: str) -> dict[str, int]:
     """Write each (kind, name, table) to {folder}/{kind}_{name}; row counts come from the write itself."""
     counts: dict[str, int] = {}
