@@ -205,3 +205,13 @@ def test_null_vectors_are_left_out(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0]), (2, None), (3, [0.0, 2.0])], "id bigint, vector array<double>")
     got = vectors.vector_topk(df.withColumnRenamed("id", "query_id"), df, 2)
     assert sorted((r["query_id"], r["item_id"]) for r in got.collect()) == [(1, 1), (1, 3), (3, 1), (3, 3)]
+
+
+def test_short_lists_are_filled_in_the_order_of_ids(spark):
+    items = spark.range(5).select("id")
+    near = spark.createDataFrame([(0, 1, 3, 0.5), (3, 1, 0, 0.5)], "id bigint, rank int, other bigint, score double")
+    got = {}
+    for r in terms.filled_lists(near, items, 3).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["other"], r["score"]))
+    assert got[0] == [(1, 3, 0.5), (2, 1, 0.0), (3, 2, 0.0)]
+    assert got[4] == [(1, 0, 0.0), (2, 1, 0.0), (3, 2, 0.0)] and len(got) == 5
