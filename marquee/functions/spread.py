@@ -26,11 +26,14 @@ ID_BUCKETS = 4096         # pieces of a table-wide numbering (three hexadecimal
 LOOKUP_SALTS = 16
 QUANTILE_CELLS = 4096
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Run a bounded count to prove that a side is small."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Prove in one bounded pass that a side is small, in rows and in bytes (of its rows as JSON)."""
+    sizes = df.select(F.octet_length(F.to_json(F.struct("*"))).cast("bigint").alias("_bytes")).limit(max_rows + 1)
+    found = sizes.agg(F.count("*").alias("rows"), F.sum("_bytes").alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def checked_lookup(

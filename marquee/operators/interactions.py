@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions.spread import ordered_ids, rank_within, salted_lookup, top_n
+from marquee.sources.scratch import keep
 
 SEED = 42
 
@@ -159,9 +160,10 @@ def feature_matrix(features: DataFrame, identity: bool = True) -> DataFrame:
 def ranks_from_scores(scores: DataFrame, positives: DataFrame, train: DataFrame | None = None) -> DataFrame:
     """0-based rank of each positive among its user's scored items, with the number ranked.
 
-    Items of the user's training rows are left out first. Equal scores are ordered by item.
+    Items of the user's training rows are left out first. Equal scores are ordered by item. What is
+    ranked is written first, because ranking reads it twice (group sizes, ranks).
     """
-    pool = without(scores, train, ["user_id", "movie_id"]) if train is not None else scores
+    pool = keep(without(scores, train, ["user_id", "movie_id"]) if train is not None else scores, "ranked-scores")
     ranked = rank_within(
         pool, ["user_id"], -F.col("score"), [F.asc("movie_id")], "rank", "ranked", tie_value=F.col("movie_id")
     )
@@ -203,6 +205,7 @@ def mean_metrics(per_user: DataFrame) -> DataFrame:
 
 def evaluate_scores(scores: DataFrame, train: DataFrame, test: DataFrame, ks: tuple[int, ...] = (3, 5, 10)) -> DataFrame:
     """Mean metrics of both splits; training items are left out when the test split is ranked."""
+    scores, train, test = keep(scores, "scores"), keep(train, "train-split"), keep(test, "test-split")
     parts = [
         mean_metrics(user_metrics(ranks_from_scores(scores, train), list(ks))).withColumn("split", F.lit("train")),
         mean_metrics(user_metrics(ranks_from_scores(scores, test, train), list(ks))).withColumn("split", F.lit("test")),

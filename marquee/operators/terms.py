@@ -19,6 +19,7 @@ from marquee.sources.scratch import keep
 TERM_SALTS = 64
 MAX_SEEDS = 10_000
 SIGNATURE_TERMS = 8
+TERM_CHUNK = 1_000  # queries, and items, of one term that meet in one task
 _MARGIN = 1e-9  # room for floating-point noise in every pruning test
 GENRE_WEIGHT, OVERVIEW_WEIGHT, KEYWORD_WEIGHT = 0.2, 0.5, 0.3
 NEAREST = 50
@@ -304,13 +305,15 @@ def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame
         "q_left_out", F.coalesce(F.max(F.when(F.col("dropped"), F.col("left_out"))).over(per_query), F.lit(0.0))
     ).drop("left_out"), "query-plan")
 
-    looked_up = plan.filter(~F.col("dropped")).select("q", "q_size", "bound", "q_left_out", "term", "qw")
-    # both sides of a frequent term are spread: queries over one salt, items over another
-    salts = 4
-    spread_q = looked_up.withColumn("_sq", F.pmod(F.xxhash64("q"), F.lit(salts)).cast("int")).withColumn(
-        "_si", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread_i = item.withColumn("_si", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).withColumn(
-        "_sq", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    looked_up = plan.filter(~F.col("dropped")).select("q", "q_size", "bound", "q_left_out", "term", "qw", "df")
+    # both sides of a term are cut by its frequency into chunks, and each chunk of queries meets each of items;
+    # a term of up to TERM_CHUNK items is not repeated at all
+    chunks = F.ceil(F.col("df") / TERM_CHUNK).cast("int")
+    every = F.sequence(F.lit(0), chunks - 1)
+    spread_q = looked_up.withColumn("_sq", F.pmod(F.xxhash64("q"), chunks).cast("int")).withColumn(
+        "_si", F.explode(every)).drop("df")
+    spread_i = counted.withColumn("_si", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn(
+        "_sq", F.explode(every)).select("id", "size", "term", "w", "_sq", "_si")
     shared = (
         spread_q.join(spread_i, ["term", "_sq", "_si"]).filter(F.col("id") != F.col("q"))
         .groupBy("q", "id", "q_size", "size", "bound", "q_left_out").agg(F.sum(F.col("qw") * F.col("w")).alias("s"))

@@ -9,6 +9,7 @@ from marquee.operators import cleaning, factors, interactions, terms, vectors
 from marquee.plans.registry import query
 from marquee.sources import derived
 from marquee.sources.derived import CATALOG_SQL, RATINGS_SQL, catalog, ratings, table
+from marquee.sources.scratch import keep
 
 # Spark's English stop words, stated for the check engine.
 STOP_WORDS = (
@@ -435,7 +436,7 @@ train_ranks AS (SELECT * FROM (SELECT user_id, movie_id, row_number() OVER (PART
 
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    flagged = interactions.user_split(ratings(spark, folder)).filter("rating >= 25")
+    flagged = keep(interactions.user_split(ratings(spark, folder)).filter("rating >= 25"), "flagged")
     return flagged.filter("is_test = 0"), flagged.filter("is_test = 1")
 
 

@@ -10,6 +10,9 @@ from marquee.functions.spread import ordered_ids
 from marquee.schemas import LOAD_ORDER, RAW_CATALOG
 
 
+MERGED_BYTES = 1 << 30
+
+
 class MissingInput(FileNotFoundError):
     """An input path does not exist or holds no files of the expected kind."""
 
@@ -117,13 +120,25 @@ def export_shards(df: DataFrame, path: str, fmt: str = "parquet", shards: int |
     (write_csv if fmt == "csv" else write_parquet)(out, path)
 
 
-def merge_shards(spark: SparkSession, pattern: str, target: str, fmt: str = "parquet") -> None:
-    """Merge shards into one file. The merged file is read back by one reader at the other end, so
-    one task writes it; rows stream through that task without being held."""
+def bytes_below(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files under a path or glob, from the file system's own counts."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(system.getContentSummary(s.getPath()).getLength() for s in system.globStatus(hadoop) or [])
+
+
+def merge_shards(
+    spark: SparkSession, pattern: str, target: str, fmt: str = "parquet", file_bytes: int | None = MERGED_BYTES
+) -> None:
+    """Merge shards into files of about `file_bytes` each, by a coalesce that moves no rows between tasks.
+
+    None asks for one single file whatever the size; one task then writes all of it.
+    """
     if not path_exists(spark, pattern):
         raise MissingInput(f"No shards match {pattern}")
     shards = read_csv(spark, pattern) if fmt == "csv" else spark.read.parquet(pattern)
-    (write_csv if fmt == "csv" else write_parquet)(shards, target, single_file=True)
+    files = 1 if file_bytes is None else max(1, -(-bytes_below(spark, pattern) // file_bytes))
+    (write_csv if fmt == "csv" else write_parquet)(shards.coalesce(files), target)
 
 
 def positional_slice(df: DataFrame, order_key: str, first: int, last: int | None = None) -> DataFrame:

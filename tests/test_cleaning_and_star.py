@@ -205,3 +205,12 @@ def test_append_and_inline_rows(spark):
     io.append_table(df, "votes")
     assert io.read_table(spark, "votes").count() == 2
     assert io.inline_lines(spark, ["a b", "a"]).count() == 2
+
+
+def test_merged_files_follow_the_size(spark, tmp_path):
+    spark.range(20_000).repartition(8).write.parquet(f"{tmp_path}/shards")
+    pattern = f"{tmp_path}/shards/*.parquet"
+    for file_bytes, files in ((io.MERGED_BYTES, 1), (None, 1), (io.bytes_below(spark, pattern) // 3, 4)):
+        io.merge_shards(spark, pattern, f"{tmp_path}/merged", file_bytes=file_bytes)
+        merged = spark.read.parquet(f"{tmp_path}/merged")
+        assert len(merged.inputFiles()) == files and merged.distinct().count() == 20_000

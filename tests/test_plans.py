@@ -62,3 +62,8 @@ def test_large_dimension_is_not_broadcast_by_hand(spark):
 def test_term_statistics_are_salted(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     assert "_salt" in plan(terms.tfidf_vectors(docs, "doc_id", "text"))
+
+
+def test_ranking_metrics_read_the_lines_once(spark):
+    text = plan(QUERIES["auc_from_scores"](spark, FOLDER))
+    assert "lineitem" not in text and text.count("Exchange") < 17

@@ -104,7 +104,7 @@ def test_unknown_ids_are_reported(spark):
 @pytest.mark.parametrize("limit", [10_000, 5])
 def test_vector_topk_equals_brute_force(spark, monkeypatch, measure, limit):
     monkeypatch.setattr(vectors, "BLOCK_QUERIES", 7)
-    monkeypatch.setattr(vectors, "CHUNK_ITEMS", 11)
+    monkeypatch.setattr(vectors, "CHUNK", 11)
     rng = np.random.default_rng(1)
     items = rng.normal(size=(50, 4)).tolist() + [[1.0, 0.0, 0.0, 0.0]] * 30
     queries = rng.normal(size=(20, 4)).tolist() + [[1.0, 0.5, 0.0, 0.0]] * 10

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from marquee.functions.spread import (
-    dense_ids, exact_quantiles, ordered_ids, rank_within, salted_lookup, top_n,
+    dense_ids, exact_quantiles, fits_broadcast, ordered_ids, rank_within, salted_lookup, top_n,
 )
 
 
@@ -95,3 +95,10 @@ def test_quantiles_skip_nan(spark):
     df = spark.createDataFrame([(float(i),) for i in range(10)] + [(float("nan"),), (None,)], "v double")
     got = exact_quantiles(df, ["v"], [0.25]).first()
     assert got["value"] == 2.25
+
+
+def test_a_broadcast_is_bounded_in_rows_and_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("v"))
+    assert fits_broadcast(df) and fits_broadcast(df.limit(0))
+    assert not fits_broadcast(df, max_rows=99)
+    assert not fits_broadcast(df, max_bytes=100_000)
