@@ -3,19 +3,21 @@
 Patterns (kinds assign, access, hex) are matched leftmost and non-overlapping, each kind by itself.
 
 Method for the rest: every other run of 20 or more characters of a token alphabet is a candidate. Its
-encoding is inferred (hexadecimal in one case, base 32, base 64 or its URL form) and three tests ask whether
-it could still be ordinary, i.e. non-random, text of that encoding:
+encoding is inferred (hexadecimal in one case, base 32, base 64 or its URL form) and tests compare it with
+ordinary, i.e. non-random, text of that encoding:
 
 * chi-squared uniformity: the statistic of ordinary text is noncentral with length * EXCESS of its encoding;
 * runs: changes between character classes are rarer than RUN_RATE of the places in ordinary tokens;
-* serial correlation of neighbouring symbols is at least RHO in counted or repeated tokens.
+* serial correlation of neighbouring symbols: counted or repeated tokens have far more than random ones.
 
-Each test gives the probability, under "ordinary", of a value as random as the one seen. A secret must
-look random to all three, so the largest of the three is the candidate's p-value (an intersection-union
-test); short strings cannot get small ones. False discoveries are held to RATE by the step-up procedure of
-Benjamini and Hochberg over all candidates of the corpus, one family for each class of length, so that
-many short strings don't spend what long ones are due. p-values are kept as whole steps of 1/20 of a power
-of ten, rounded upwards, so a family is a histogram of at most BINS counts: nothing else is collected.
+The deviates of the first two are added up to one score. The third can only tell that a token is not
+random: beyond SERIAL deviates it rules the token out, otherwise it says nothing, as ordinary words have
+hardly more correlation than random strings. How the score of ordinary tokens is distributed is read from
+the corpus itself, per encoding and class of length: a normal distribution is fitted to a histogram of at
+most BINS counts, next to the known one of random strings, with PRIOR pseudo-counts of the model above.
+The upper tail of the fit gives p-values; false discoveries are held to RATE by the step-up procedure of
+Benjamini and Hochberg over all candidates of the corpus, one family for each encoding and class of length,
+so that many short strings don't spend what long ones are due. Nothing but the histograms is collected.
 
 Defined cases: null text is empty and has no span; candidates that touch a pattern's span add none; ties
 and repeated rows are scanned each; an empty table gives an empty table; columns other than doc_id and
@@ -42,7 +44,10 @@ RATE = 0.01
 STEP = 20                 # bins to a power of ten
 BINS = 400
 CLASSES = (24, 32, 48, 64)  # lengths at which a new family starts
-RHO = 0.6
+SCORE_STEP = 10           # bins to a deviate
+LOWEST = -8.0             # score of the first bin, which also holds what is ruled out
+SERIAL = 3.5
+PRIOR = 50.0
 # encoding: alphabet, excess of ordinary text in chi-squared a character, changes of class a place
 ENCODINGS = {
     "hex": ("0123456789abcdef", 1.0, 0.15),
@@ -81,47 +86,101 @@ def _below(z: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-def p_value(token: str) -> float:
-    """Probability that ordinary text of the token's encoding looks as random as this."""
+def score(token: str) -> float:
+    """How much more random than ordinary text of its encoding, in deviates; LOWEST if ruled out."""
     token = token.rstrip("=")
     name = encoding_of(token)
     n = len(token)
     if name is None or n < LEAST:
-        return 1.0
+        return LOWEST
     alphabet, excess, run_rate = ENCODINGS[name]
     size = len(alphabet)
     index = {c: i for i, c in enumerate(alphabet)}
     symbols = [index[c] for c in token]
+    mean = sum(symbols) / n
+    spread = sum((s - mean) ** 2 for s in symbols)
+    r = sum((a - mean) * (b - mean) for a, b in zip(symbols, symbols[1:])) / spread if spread else 1.0
+    if math.atanh(min(abs(r), 0.999999)) * math.sqrt(n - 3) > SERIAL:
+        return LOWEST
     counts: dict[int, int] = {}
     for s in symbols:
         counts[s] = counts.get(s, 0) + 1
     chi = sum(c * c for c in counts.values()) * size / n - n
-    shift = n * excess
-    uniform = _below((chi - (size - 1 + shift)) / math.sqrt(2 * (size - 1 + 2 * shift)))
     kinds = [0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3 for c in token]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    runs = _below(-(changes - 0.5 - (n - 1) * run_rate) / math.sqrt((n - 1) * run_rate * (1 - run_rate)))
-    mean = sum(symbols) / n
-    spread = sum((s - mean) ** 2 for s in symbols)
-    r = sum((a - mean) * (b - mean) for a, b in zip(symbols, symbols[1:])) / spread if spread else 1.0
-    r = min(abs(r), 0.999999)
-    serial = _below((math.atanh(r) - math.atanh(RHO)) * math.sqrt(n - 3))
-    return max(uniform, runs, serial)
+    return _score(n, chi, changes, size, excess, run_rate)
 
 
-def bin_of(p: float) -> int:
-    return min(BINS - 1, int(-math.log10(p) * STEP)) if p > 0 else BINS - 1
+def _score(n: int, chi: float, changes: float, size: int, excess: float, run_rate: float) -> float:
+    shift = n * excess
+    uniform = (size - 1 + shift - chi) / math.sqrt(2 * (size - 1 + 2 * shift))
+    runs = (changes - 0.5 - (n - 1) * run_rate) / math.sqrt((n - 1) * run_rate * (1 - run_rate))
+    return (uniform + runs) / math.sqrt(2)
+
+
+def bin_of(value: float) -> int:
+    return max(0, min(BINS - 1, int((value - LOWEST) * SCORE_STEP)))
+
+
+def family_of(token: str) -> int:
+    """Encoding and class of length as one number."""
+    name, n = encoding_of(token.rstrip("=")), len(token.rstrip("="))
+    return (1 + list(ENCODINGS).index(name) if name else 0) * (len(CLASSES) + 1) + sum(n >= c for c in CLASSES)
+
+
+def random_score(family: int) -> float:
+    """Expected score of random strings of the least length of the family."""
+    code, length = divmod(family, len(CLASSES) + 1)
+    alphabet, excess, run_rate = list(ENCODINGS.values())[code - 1]
+    size, n = len(alphabet), (LEAST, *CLASSES)[length]
+    kinds = [sum(c.isdigit() for c in alphabet), sum(c.islower() for c in alphabet), sum(c.isupper() for c in alphabet)]
+    changes = (n - 1) * (1 - sum((k / size) ** 2 for k in (*kinds, size - sum(kinds))))
+    return _score(n, size - 1, changes, size, excess, run_rate)
+
+
+def ordinary(counts: dict[int, int], family: int) -> tuple[float, float]:
+    """Mean and deviation of the ordinary scores in a histogram that may hold random strings too."""
+    # what is ruled out is in the first bin and takes no part
+    at = [(LOWEST + (b + 0.5) / SCORE_STEP, n) for b, n in sorted(counts.items()) if b > 0]
+    top = random_score(family)
+    mean, dev, share = 0.0, 1.0, 0.1
+    for _ in range(200):
+        one = square = many = strange = 0.0
+        for x, n in at:
+            f0 = (1 - share) * math.exp(-0.5 * ((x - mean) / dev) ** 2) / dev
+            f1 = share * math.exp(-0.5 * min(0.0, x - top) ** 2)
+            w = n * (f0 / (f0 + f1) if f0 + f1 else x < top)
+            many, one, square, strange = many + w, one + w * x, square + w * x * x, strange + n - w
+        old, mean = mean, one / (many + PRIOR)
+        dev = max(0.5, math.sqrt(max(0.0, (square + PRIOR) / (many + PRIOR) - mean * mean)))
+        share = min(0.95, max(1e-6, strange / (many + strange))) if at else 0.0
+        if abs(old - mean) < 1e-6:
+            break
+    return mean, dev
+
+
+def p_bins(histogram: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
+    """For each family and bin of scores the bin of its p-value: whole steps of 1/STEP of a power of ten, rounded upwards."""
+    out = {}
+    for family in {f for f, _ in histogram}:
+        if family <= len(CLASSES):  # no encoding
+            out.update({(f, b): 0 for f, b in histogram if f == family})
+            continue
+        mean, dev = ordinary({b: n for (f, b), n in histogram.items() if f == family}, family)
+        for b in (b for f, b in histogram if f == family):
+            p = _below(-(LOWEST + b / SCORE_STEP - mean) / dev) if b else 1.0
+            out[family, b] = min(BINS - 1, int(-math.log10(p) * STEP)) if p > 0 else BINS - 1
+    return out
 
 
 def scan_text(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, int, int, int]]]:
-    """Pattern spans, and candidates (start, end, length class, bin of the p-value)."""
+    """Pattern spans, and candidates (start, end, family, bin of the score)."""
     base = base_spans(text)
     candidates = []
     for m in TOKEN.finditer(text):
         if any(a < m.end() and m.start() < b for a, _, b in base):
             continue
-        n = m.end() - m.start()
-        candidates.append((m.start(), m.end(), sum(n >= c for c in CLASSES), bin_of(p_value(m.group()))))
+        candidates.append((m.start(), m.end(), family_of(m.group()), bin_of(score(m.group()))))
     return base, candidates
 
 
@@ -160,9 +219,19 @@ def thresholds(histogram: dict[tuple[int, int], int], rate: float = RATE) -> dic
     return out
 
 
+def least_scores(histogram: dict[tuple[int, int], int], rate: float = RATE) -> dict[int, int]:
+    """For each family the least bin of scores that is let through (BINS: none)."""
+    of = p_bins(histogram)
+    by_p: dict[tuple[int, int], int] = {}
+    for (f, b), n in histogram.items():
+        by_p[f, of[f, b]] = by_p.get((f, of[f, b]), 0) + n
+    least = thresholds(by_p, rate)
+    return {f: min([b for g, b in histogram if g == f and of[g, b] >= least[f]], default=BINS) for f in least}
+
+
 def _least_bins(found: DataFrame, rate: float) -> dict[int, int]:
     bins = found.select(F.explode("candidates").alias("c")).groupBy("c.class", "c.bin").agg(F.count("*").alias("n"))
-    return thresholds({(r["class"], r["bin"]): r["n"] for r in bins.collect()}, rate)  # at most 5 x BINS rows
+    return least_scores({(r["class"], r["bin"]): r["n"] for r in bins.collect()}, rate)  # at most 30 x BINS rows
 
 
 def find_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
