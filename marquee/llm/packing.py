@@ -18,7 +18,10 @@ doc_id is kept; an empty table gives an empty table; columns other than doc_id a
 from __future__ import annotations
 
 import json
+import re
 import sys
+import types
+import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -33,6 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIMIT = 2048
 END = 0
+LONGEST_RUN = 100_000  # characters of white space the faster encoder is given in one run
+ROWS_OUT = 20_000      # pieces handed to the JVM at a time
 # Fixed value: the pre-tokenizer's public pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -54,6 +59,7 @@ def encoder(vocabulary: str):
     """text -> ids for the content of a byte-level BPE file whose ids follow its merges.
 
     The same ids as the tokenizers library gives for the file (a test compares them), four times as fast.
+    Its pattern backtracks in white space, so a text with a run above LONGEST_RUN goes to the library itself.
     """
     import tiktoken
 
@@ -64,44 +70,61 @@ def encoder(vocabulary: str):
     bpe = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(text: str) -> np.ndarray:
+        if len(text) > LONGEST_RUN and any(len(run.group()) > LONGEST_RUN for run in re.finditer(r"\s+", text)):
+            import tokenizers
+
+            slow = tokenizers.Tokenizer.from_str(vocabulary)
+            return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return np.asarray(bpe.encode_to_numpy(text, allowed_special="all"), dtype=np.uint32)
 
     return encode
 
 
-def token_pieces(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of every piece.
+def worker_encoder(vocabulary, digest: int):
+    """The encoder of a broadcast vocabulary, built once in each Python worker and not once a task."""
+    kept = sys.modules.setdefault("marquee_packing_encoders", types.ModuleType("marquee_packing_encoders")).__dict__
+    if kept.get("digest") != digest:
+        kept.update(digest=digest, encode=encoder(vocabulary.value))
+    return kept["encode"]
+
+
+def token_pieces(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, ids: bool = False) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 (little-endian unsigned 32-bit ids) of every piece; with `ids`, the ids too.
 
     Only texts longer than `limit` ids are cut; the first piece takes the odd rest, the others are full.
     The driver reads the tokenizer file and sends its content (a megabyte or so) along.
     """
     spark = docs.sparkSession
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())
+        content = f.read()
+    vocabulary, digest = spark.sparkContext.broadcast(content), zlib.crc32(content.encode())
     id_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        encode = encoder(vocabulary.value)
+        encode = worker_encoder(vocabulary, digest)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.append(encode(text or ""), np.uint32(END)).astype("<u4")
-                first = (len(ids) - 1) % limit + 1
-                cuts = [0, *range(first, len(ids) + 1, limit)]
-                out += [(doc_id, n, a, b - a, ids[a:b].tobytes()) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-                if len(out) >= 2000:
+                found = np.append(encode(text or ""), np.uint32(END)).astype("<u4")
+                first = (len(found) - 1) % limit + 1
+                cuts = [0, *range(first, len(found) + 1, limit)]
+                for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    some = found[a:b].tobytes()
+                    out.append((doc_id, n, a, b - a, zlib.crc32(some), *([some] if ids else [])))
+                if len(out) >= (ROWS_OUT // 10 if ids else ROWS_OUT):
                     yield table(out)
                     out = []
             yield table(out)
 
     def table(out: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids"])
+        frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])])
         if id_type in ("bigint", "int"):
             frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.mapInPandas(run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary")
+    schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if ids else "")
+    return texts.mapInPandas(run, schema)
 
 
 def sweep(counts: dict[int, int], limit: int = LIMIT) -> list[tuple[int, int, int, int, int, int]]:
@@ -179,7 +202,5 @@ def pack(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """Pieces with their place and the checksum of their ids; the ids themselves come from token_pieces."""
-    digests = token_pieces(docs, tokenizer, limit).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32"))
-    return pack(keep(digests, "pieces"), limit)
+    """Pieces with their place and the checksum of their ids; token_pieces with `ids` gives the ids themselves."""
+    return pack(keep(token_pieces(docs, tokenizer, limit), "pieces"), limit)

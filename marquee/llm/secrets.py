@@ -73,8 +73,19 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return [(a, KINDS[k], b) for a, k, b in sorted(found)]
 
 
+def merged_spans(spans: list[tuple[int, str, int]]) -> list[list[int]]:
+    """The union of spans that ascend by start, as disjoint [start, end]."""
+    out: list[list[int]] = []
+    for start, _, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 def encoding_of(token: str) -> str | None:
-    """The narrowest encoding that has every character, if the token mixes letters with digits or cases."""
+    """The narrowest encoding that has every character of the token; None if there is none."""
     seen = set(token)
     for name, (alphabet, _, _) in ENCODINGS.items():
         if seen <= set(alphabet):
@@ -177,8 +188,12 @@ def scan_text(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, in
     """Pattern spans, and candidates (start, end, family, bin of the score)."""
     base = base_spans(text)
     candidates = []
+    covered = merged_spans(base)
+    at = 0  # both lists ascend, so they are walked together
     for m in TOKEN.finditer(text):
-        if any(a < m.end() and m.start() < b for a, _, b in base):
+        while at < len(covered) and covered[at][1] <= m.start():
+            at += 1
+        if at < len(covered) and covered[at][0] < m.end():
             continue
         candidates.append((m.start(), m.end(), family_of(m.group()), bin_of(score(m.group()))))
     return base, candidates

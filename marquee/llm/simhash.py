@@ -61,13 +61,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns and fp, the fingerprint as a signed 64-bit number."""
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.select("doc_id", of(F.col("text").cast("string")).alias("fp"))
+    return docs.select("doc_id", *carried, of(F.col("text").cast("string")).alias("fp"))
 
 
 def close_pairs(left: np.ndarray, right: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -197,13 +197,17 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     return dealt.mapInPandas(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, fp and component_id, the smallest doc_id that links lead to."""
-    marked = keep(fingerprints(docs), "fingerprints")
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, block: int = BLOCK, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (the smallest doc_id that links lead to) and root.
+
+    `root` names the component by a fingerprint, so it also tells components apart that have an id in common.
+    Columns named in `carried` are handed on.
+    """
+    marked = keep(fingerprints(docs, carried=carried), "fingerprints")
     classes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     tied = components(links(classes.select("fp"), radius, block).distinct())
     named = classes.join(tied, classes["fp"] == tied["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    final = keep(named.join(least, "root").select(F.col("fp").alias("of"), "component_id"), "named")
-    return marked.join(final, marked["fp"] == final["of"]).select("doc_id", "fp", "component_id")
+    final = keep(named.join(least, "root").select(F.col("fp").alias("of"), "component_id", "root"), "named")
+    return marked.join(final, marked["fp"] == final["of"]).select("doc_id", *carried, "fp", "component_id", "root")

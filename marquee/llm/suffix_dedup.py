@@ -21,7 +21,8 @@ collected. Texts are shuffled twice: to open anchors and to cut. Rows meet in (h
 
 Defined cases: null text is empty and stays empty; texts shorter than WINDOW bytes are left alone; repeated
 rows are copies of each other and lose what repeats; a null doc_id is a document like any other; rows
-that repeat a doc_id must repeat its text; an empty table gives an empty table; other columns are not read.
+that repeat a doc_id with unlike texts are told apart by a hash of the text; an empty table gives an empty
+table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -234,10 +235,22 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return both.mapInArrow(run, f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, digit: int = DIGIT) -> DataFrame:
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, rid and text: rid is the id, or a hash of id and text where the id is null or has unlike texts."""
     body = text_of("text")
-    keyed: Column = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64(body))
-    read = docs.select("doc_id", keyed.alias("rid"), body.alias("text"))
+    number = F.col("doc_id").cast("bigint")
+    unlike = keep(docs.filter(number.isNotNull()).groupBy(number.alias("id")).agg(
+        F.min(F.xxhash64(body)).alias("least"), F.max(F.xxhash64(body)).alias("most")).filter("least <> most").select("id"), "unlike")
+    made: Column = F.xxhash64(number, body)
+    if unlike.isEmpty():
+        return docs.select("doc_id", F.coalesce(number, made).alias("rid"), body.alias("text"))
+    read = docs.select("doc_id", number.alias("_id"), body.alias("text")).join(unlike.withColumn("_two", F.lit(True)), F.col("_id") == F.col("id"), "left")
+    own: Column = F.when(F.col("_two").isNull(), F.col("_id"))
+    return read.select("doc_id", F.coalesce(own, F.xxhash64("_id", "text")).alias("rid"), "text")
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, digit: int = DIGIT) -> DataFrame:
     with tidy_shuffles(docs.sparkSession):
+        read = _keyed(docs)
         spans = keep(repeated_spans(read, window, digit), "spans")
     return cut(read, spans)

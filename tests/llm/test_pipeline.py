@@ -54,3 +54,14 @@ def test_awkward_rows_pass_through(spark):
                 assert out.columns == docs.columns
     kept = pipeline.drop_near_copies(spark, docs, FOLDER).collect()
     assert sorted((r["doc_id"] for r in kept), key=str) == [1, 5, 7]
+
+
+def test_one_id_with_unlike_texts(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    rows = [(1, one, "a"), (1, other, "a"), (2, one, "b"), (3, other, "c"), (4, "some  text", "z"), (4, "Some text", "y"), (4, "Some text", "y")]
+    kept = []
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id bigint, text string, source string").repartition(3)
+        kept.append(sorted(tuple(r) for r in pipeline.drop_near_copies(spark, docs, "").collect()))
+    assert kept[0] == kept[1] and len(kept[0]) == 3
+    assert [r for r in kept[0] if r[0] == 1] == sorted([(1, one, "a"), (1, other, "a")])
