@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from marquee.llm import mixing, near_copies, packing, quality_classifier, secrets
+from marquee.llm import mixing, packing, quality_classifier, secrets, simhash
 from marquee.llm.common import text_of
 from marquee.sources.scratch import keep
 
@@ -39,14 +39,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies (five-word shingles, similarity 0.8): of each group one row stays, by doc_id, words and whole row."""
-    row, node, whole, root = (_unused(docs, name) for name in ("row_key", "node", "whole", "root"))
-    key = [row, node, whole]
-    keyed = docs.withColumns({row: _row_key(), node: near_copies.node_of(), whole: F.xxhash64(*[F.col(c) for c in docs.columns])})
-    tied = near_copies.near_copies(docs).select(F.col("node").alias(node), F.col("root").alias(root))
-    grouped = keyed.select(*key).join(tied, node, "left")
-    first = keep(grouped.groupBy(F.coalesce(root, node)).agg(F.min(F.struct(*key)).alias("_f")).select("_f.*"), "survivors")
-    return keyed.join(first, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    """SimHash near-duplicates (three-word shingles, three bits): of each group one row stays, by doc_id and whole row."""
+    row, whole = (_unused(docs, name) for name in ("row_key", "whole"))
+    keyed = docs.withColumns({row: _row_key(), whole: F.xxhash64(*[F.col(c) for c in docs.columns])})
+    rows = keyed.select(F.col(row).alias("doc_id"), F.col(whole).alias("whole"), "text")
+    grouped = simhash.near_duplicates(rows, carried=("whole",))
+    first = grouped.groupBy("root").agg(F.min(F.struct("doc_id", "whole")).alias("_f")).select(
+        F.col("_f.doc_id").alias(row), F.col("_f.whole").alias(whole))
+    return keyed.join(keep(first, "survivors"), [row, whole], "left_semi").dropDuplicates([row, whole]).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
