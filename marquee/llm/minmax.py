@@ -11,14 +11,16 @@ hang together most); README has the measured recall.
 Equal sets are one node from there on. Every pair of nodes that shares a bucket is decided exactly, but not
 one by one:
 
-1. In each bucket every node is compared with the bucket's least node. What links is one component.
+1. Every node is compared with the least of the nodes that lead its buckets. What links is one component.
 2. In buckets that hold several components a node outside the largest one is compared with every node of
    another component. Up to FEW such nodes a bucket these are at most FEW pairs a row.
-3. Buckets with more of them are cut by hash into parts of bounded rows and bytes. Each pair of parts is a
-   cell: shingles that several of its sets have are columns of a 0/1 matrix, intersections are one matrix
-   product, and a cell hands on one link a node.
+3. Buckets with more of them are dealt by size and cut by hash into parts of bounded rows and bytes. Each pair
+   of parts is a cell: shingles that several of its sets have are columns of a 0/1 matrix, intersections are
+   one matrix product, and a cell hands on one link a node.
 
-Pairs inside one component need no comparison, so a group of many copies costs one comparison a member.
+Pairs inside one component need no comparison, so a group of many copies costs one comparison a member. Before
+sets travel, every comparison is made on bitmaps a sixteenth of their size: a bit that one set has and the other
+hasn't is a member the other lacks, so the bitmaps bound the intersection from above and drop no link.
 
 Defined cases: without words or text the set is empty and linked with nothing, and component_id is the
 row's own id; one word is one shingle; repeated rows and ids are rows of their own; null ids never name a
@@ -46,7 +48,7 @@ cloudpickle.register_pickle_by_value(sys.modules["marquee.llm.simhash"])
 
 PERCENT = 80
 BANDS, ROWS = 48, 6
-FEW = 32
+FEW = 64
 CELL_ROWS = 256
 CELL_BYTES = 8 << 20
 SEED = 42
@@ -107,9 +109,30 @@ def alike(size_a, size_b, both, percent: int = PERCENT):
     return (100 + percent) * both >= percent * (size_a + size_b)
 
 
+def bitmap(members: np.ndarray) -> np.ndarray:
+    """Bits at the members' lowest digits, four a member at least; the length is a power of two."""
+    width = max(64, 1 << (4 * len(members) - 1).bit_length())
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(members & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little")
+
+
+def folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """A bitmap of fewer bytes: bits whose places agree in it fall together."""
+    return bits if len(bits) == length else np.bitwise_or.reduce(bits.reshape(-1, length), axis=0)
+
+
+def most_shared(size_a: int, a: np.ndarray, size_b: int, b: np.ndarray) -> int:
+    """Upper bound of an intersection from two bitmaps."""
+    length = min(len(a), len(b))
+    a, b = folded(a, length), folded(b, length)
+    only_a, only_b = (int(np.bitwise_count(x & ~y).sum()) for x, y in ((a, b), (b, a)))
+    return min(size_a - only_a, size_b - only_b)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, rid (a number of the row), digest of the set, n, keys, members (sorted hashes)."""
-    @F.pandas_udf("digest binary, n bigint, keys array<bigint>, members binary")
+    """One row per document: doc_id, rid (a number of the row), digest of the set, n, keys, bits, members (sorted hashes)."""
+    @F.pandas_udf("digest binary, n bigint, keys array<bigint>, bits binary, members binary")
     def of(texts: pd.Series) -> pd.DataFrame:
         import xxhash
 
@@ -117,8 +140,8 @@ def signatures(docs: DataFrame) -> DataFrame:
         for text in texts:
             some = shingle_set(text, known)
             raw = some.astype("<u8").tobytes()
-            out.append((xxhash.xxh3_128_digest(raw), len(some), band_keys(some), raw))
-        return pd.DataFrame(out, columns=["digest", "n", "keys", "members"])
+            out.append((xxhash.xxh3_128_digest(raw), len(some), band_keys(some), bitmap(some).tobytes() if len(some) else b"", raw))
+        return pd.DataFrame(out, columns=["digest", "n", "keys", "bits", "members"])
 
     signed = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), of(F.col("text").cast("string")).alias("_s"))
     return signed.select("doc_id", "rid", "_s.*")
@@ -129,11 +152,20 @@ def _fit(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets (rid, n, members) are alike."""
-    pairs = keep(pairs, "pairs")
+def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with `column` and the size of both sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    some = keep(sets.select("rid", "members").join(wanted, "rid", "left_semi"), "sets")
+    some = keep(sets.select("rid", "n", column).join(wanted, "rid", "left_semi"), column)
+    one, two = (some.select(F.col("rid").alias(side), F.col("n").alias(f"n{side}"), F.col(column).alias(f"s{side}")) for side in ("a", "b"))
+    return pairs.join(one, "a").join(two, "b")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets (rid, n, bits, members) are alike."""
+    @F.pandas_udf("boolean")
+    def possible(size_a: pd.Series, a: pd.Series, size_b: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([bool(alike(m, n, most_shared(m, np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8)), percent))
+                          for m, x, n, y in zip(size_a, a, size_b, b)], dtype=bool)
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -147,9 +179,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
             out.append(bool(alike(len(one), len(two), int((two[at] == one).sum()), percent)))
         return pd.Series(out, dtype=bool)
 
-    both = pairs.join(some.select(F.col("rid").alias("a"), F.col("members").alias("_x")), "a").join(
-        some.select(F.col("rid").alias("b"), F.col("members").alias("_y")), "b")
-    return both.filter(linked("_x", "_y")).select("a", "b")
+    close = keep(_with_both(keep(pairs, "pairs"), sets, "bits").filter(possible("na", "sa", "nb", "sb")).select("a", "b"), "close")
+    return _with_both(close, sets, "members").filter(linked("sa", "sb")).select("a", "b")
 
 
 def cell_links(rid: np.ndarray, root: np.ndarray, sets: list[np.ndarray], first: np.ndarray | None,
@@ -170,44 +201,83 @@ def cell_links(rid: np.ndarray, root: np.ndarray, sets: list[np.ndarray], first:
         part = np.zeros((len(sets), COLUMNS), dtype=np.float32)
         part[row[a:b], column[a:b] % COLUMNS] = 1
         both += part @ part.T
-    near = alike(size[:, None], size[None, :], both, percent) & (root[:, None] != root[None, :])
-    near &= np.triu(np.ones_like(near), 1) if first is None else first[:, None] & ~first[None, :]
-    i, j = np.nonzero(near)
+    i, j = np.nonzero(alike(size[:, None], size[None, :], both, percent) & _asked(root, first))
     return star_links(rid, i, j)
 
 
-def _cells(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of buckets (bucket, rid, n, root) with many components, compared part by part."""
-    parts = crowded.groupBy("bucket").agg(F.greatest(
-        F.ceil(F.count("*") / CELL_ROWS), F.ceil(F.sum("n") * 8 / CELL_BYTES)).cast("int").alias("parts"))
-    placed = crowded.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
+def _asked(root: np.ndarray, first: np.ndarray | None) -> np.ndarray:
+    """The pairs a cell has to decide."""
+    unlike = root[:, None] != root[None, :]
+    return unlike & (np.triu(np.ones_like(unlike), 1) if first is None else first[:, None] & ~first[None, :])
+
+
+def cell_candidates(root: np.ndarray, size: np.ndarray, bits: list[np.ndarray], first: np.ndarray | None, percent: int = PERCENT) -> np.ndarray:
+    """Which rows of a cell have a partner that their bitmaps do not rule out."""
+    length = min(len(b) for b in bits)
+    rows = np.stack([folded(b, length) for b in bits])
+    both = np.zeros((len(bits), len(bits)), dtype=np.float64)
+    for at in range(0, length, COLUMNS // 8):
+        part = np.unpackbits(rows[:, at:at + COLUMNS // 8], axis=1).astype(np.float32)
+        both += part @ part.T
+    missed = np.diag(both)[:, None] - both  # bits of the row that the column lacks
+    most = np.minimum(size[:, None] - missed, size[None, :] - missed.T)
+    near = alike(size[:, None], size[None, :], most, percent) & _asked(root, first)
+    return near.any(axis=1) | near.any(axis=0)
+
+
+def _by_cells(rows: DataFrame, sets: DataFrame, column: str, solve, schema: str) -> DataFrame:
+    """Cells of (bucket, rid, n, root): parts of each bucket in pairs, with a column of `sets`, each given to `solve`."""
+    each = {"bits": 0.5, "members": 8.0}[column]
+    parts = rows.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count("*") / CELL_ROWS), F.ceil(F.sum("n") * each / CELL_BYTES)).cast("int").alias("parts"))
+    placed = rows.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(
         F.least(F.col("part"), o).alias("i"), F.greatest(F.col("part"), o).alias("j")))
-    met = placed.join(sets.select("rid", "members"), "rid").select(
-        "bucket", F.explode(cells).alias("c"), "part", "rid", "root", "members").select("bucket", "c.i", "c.j", "part", "rid", "root", "members")
+    met = placed.join(sets.select("rid", F.col(column).alias("set")), "rid").select(
+        "bucket", F.explode(cells).alias("c"), "part", "rid", "n", "root", "set").select("bucket", "c.i", "c.j", "part", "rid", "n", "root", "set")
+    return met.groupBy("bucket", "i", "j").applyInPandas(solve, schema)
+
+
+def _first_part(rows: pd.DataFrame) -> np.ndarray | None:
+    """Of a cell of two parts the rows of the first; None for a part by itself."""
+    return (rows["part"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
+
+
+def _cells(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of buckets (bucket, rid, n, root) with many components, compared part by part.
+
+    Sets of sizes that can be alike share a class of sizes: a set stands in its own and in the one below. Bitmaps
+    are compared first, and only the sets of rows that have a possible partner are brought together.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent) + 1e-9)) + 1e-9)
+    classed = crowded.withColumn("bucket", F.explode(F.array(*[F.xxhash64("bucket", step - k) for k in (0, 1)])))
+    several = classed.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("bucket")
+    rows = keep(classed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"), "crowded")
+
+    def narrow(cell: pd.DataFrame) -> pd.DataFrame:
+        found = cell_candidates(cell["root"].to_numpy(), cell["n"].to_numpy(), [np.frombuffer(b, np.uint8) for b in cell["set"]], _first_part(cell), percent)
+        return cell.loc[found, ["bucket", "rid", "n", "root"]]
 
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        crossed = rows["i"].iloc[0] != rows["j"].iloc[0]
-        a, b = cell_links(rows["rid"].to_numpy(), rows["root"].to_numpy(), [np.frombuffer(m, "<u8") for m in rows["members"]],
-                          (rows["part"] == rows["i"]).to_numpy() if crossed else None, percent)
+    def solve(cell: pd.DataFrame) -> pd.DataFrame:
+        a, b = cell_links(cell["rid"].to_numpy(), cell["root"].to_numpy(), [np.frombuffer(m, "<u8") for m in cell["set"]], _first_part(cell), percent)
         return pd.DataFrame({"a": a, "b": b})
 
-    return met.groupBy("bucket", "i", "j").applyInPandas(solve, "a bigint, b bigint")
+    close = keep(_by_cells(rows, sets, "bits", narrow, "bucket bigint, rid bigint, n bigint, root bigint").distinct(), "possible")
+    return _by_cells(close, sets, "members", solve, "a bigint, b bigint")
 
 
 def links(signed: DataFrame, percent: int = PERCENT, few: int = FEW) -> DataFrame:
     """Links (a, b) between nodes that have the components of all alike pairs sharing a bucket.
 
-    `signed` has one row per node: rid, n, keys, members.
+    `signed` has one row per node: rid, n, keys, bits, members.
     """
     placed = signed.select(F.col("rid"), "n", F.explode("keys").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rid").alias("leader"), F.min_by("n", "rid").alias("m")).filter("c > 1")
     met = keep(placed.join(sizes, "bucket"), "buckets")
-    first = met.filter((F.col("rid") != F.col("leader")) & _fit("n", "m", percent)).select(
-        F.col("leader").alias("a"), F.col("rid").alias("b")).distinct()
-    tied = keep(components(confirmed(first, signed, percent)), "tied")
+    first = met.filter((F.col("rid") != F.col("leader")) & _fit("n", "m", percent)).groupBy(F.col("rid").alias("b")).agg(F.min("leader").alias("a"))
+    tied = keep(components(confirmed(first.select("a", "b"), signed, percent)), "tied")
 
-    rooted = met.filter("c > 2").select("bucket", "rid", "n").join(
+    rooted = met.select("bucket", "rid", "n").join(
         tied.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     counts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("k"))
     mixed = counts.groupBy("bucket").agg(
@@ -220,7 +290,7 @@ def links(signed: DataFrame, percent: int = PERCENT, few: int = FEW) -> DataFram
         (F.col("root") != F.col("at")) & _fit("n", "m", percent)).select(
         F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct()
     more = confirmed(second, signed, percent)
-    rest = _cells(left.filter(F.col("rest") > few), signed, percent)
+    rest = _cells(left.filter(F.col("rest") > few).select("bucket", "rid", "n", "root"), signed, percent)
     return tied.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).unionByName(rest)
 
 

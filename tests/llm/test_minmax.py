@@ -88,7 +88,7 @@ def test_texts_of_one_template(spark, few, monkeypatch):
     template = [f"t{i}" for i in range(100)]
     rows = []
     for i in range(120):
-        base = template + [f"u{rng.randrange(10 ** 9)}" for _ in range(15)]
+        base = template + [f"u{rng.randrange(10 ** 9)}" for _ in range(30)]
         rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(edited(rng, base, 0.8)))]
     rows += [(1000 + i, " ".join(template + ["v"] * i)) for i in range(40)]  # a group of copies in the same buckets
     want = plain(rows)
@@ -110,6 +110,23 @@ def test_cells_find_what_a_plain_loop_finds(monkeypatch):
             assert groups(30, zip(*got)) == groups(30, pairs)
 
 
+def test_bitmaps_rule_out_no_link(monkeypatch):
+    monkeypatch.setattr(minmax, "COLUMNS", 64)
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 150, dtype=np.uint64)
+    for _ in range(20):
+        sets = [np.unique(rng.choice(pool[: rng.integers(10, 150)], rng.integers(1, 130))) for _ in range(25)]
+        bits, size = [minmax.bitmap(s) for s in sets], np.array([len(s) for s in sets])
+        root = rng.integers(0, 9, 25)
+        got = minmax.cell_candidates(root, size, bits, None)
+        for i in range(25):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                assert both <= minmax.most_shared(size[i], bits[i], size[j], bits[j]) <= min(size[i], size[j])
+                if root[i] != root[j] and minmax.alike(size[i], size[j], both):
+                    assert got[i] and got[j]
+
+
 def groups(n, pairs):
     root = list(range(n))
     for i, j in pairs:
