@@ -32,11 +32,12 @@ read.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.llm.common import tidy_shuffles
 from marquee.llm.components import components
@@ -46,6 +47,7 @@ from marquee.sources.scratch import keep
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(sys.modules["marquee.llm.simhash"])
 
+SetsOf = Callable[[DataFrame], DataFrame]
 PERCENT = 80
 BANDS, ROWS = 48, 6
 FEW = 64
@@ -130,21 +132,44 @@ def most_shared(size_a: int, a: np.ndarray, size_b: int, b: np.ndarray) -> int:
     return min(size_a - only_a, size_b - only_b)
 
 
+def _text_key() -> Column:
+    """Names a text in 128 bits."""
+    return F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
+
+
+def _digest(members: np.ndarray) -> bytes:
+    import xxhash
+
+    return xxhash.xxh3_128_digest(members.astype("<u8").tobytes())
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, rid (a number of the row), digest of the set, n, keys, bits, members (sorted hashes)."""
-    @F.pandas_udf("digest binary, n bigint, keys array<bigint>, bits binary, members binary")
+    """One row per document: doc_id, rid (a number of the row), text_key, digest of the set, n, keys, bits."""
+    @F.pandas_udf("digest binary, n bigint, keys array<bigint>, bits binary")
     def of(texts: pd.Series) -> pd.DataFrame:
-        import xxhash
-
         known, out = WordHashes(), []
         for text in texts:
             some = shingle_set(text, known)
-            raw = some.astype("<u8").tobytes()
-            out.append((xxhash.xxh3_128_digest(raw), len(some), band_keys(some), bitmap(some).tobytes() if len(some) else b"", raw))
-        return pd.DataFrame(out, columns=["digest", "n", "keys", "bits", "members"])
+            out.append((_digest(some), len(some), band_keys(some), bitmap(some).tobytes() if len(some) else b""))
+        return pd.DataFrame(out, columns=["digest", "n", "keys", "bits"])
 
-    signed = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), of(F.col("text").cast("string")).alias("_s"))
-    return signed.select("doc_id", "rid", "_s.*")
+    signed = docs.select("doc_id", F.monotonically_increasing_id().alias("rid"), _text_key().alias("text_key"), of(F.col("text").cast("string")).alias("_s"))
+    return signed.select("doc_id", "rid", "text_key", "_s.*")
+
+
+def full_sets(docs: DataFrame, signed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rid, members) of the wanted rows, members as sorted hashes: made again from their texts, and from no others."""
+    @F.pandas_udf("digest binary, members binary")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        known = WordHashes()
+        sets = [shingle_set(text, known) for text in texts]
+        return pd.DataFrame({"digest": [_digest(s) for s in sets], "members": [s.astype("<u8").tobytes() for s in sets]})
+
+    names = signed.join(wanted.select("rid").distinct(), "rid", "left_semi").select("rid", "text_key", "digest")
+    texts = docs.select(_text_key().alias("text_key"), F.col("text").cast("string").alias("text")).join(
+        names.select("text_key").distinct(), "text_key", "left_semi").dropDuplicates(["text_key"])
+    found = texts.select("text_key", of("text").alias("_s")).select("text_key", "_s.*")
+    return keep(names.join(found, ["text_key", "digest"]).select("rid", "members"), "members")
 
 
 def _fit(n: str, m: str, percent: int):
@@ -153,19 +178,21 @@ def _fit(n: str, m: str, percent: int):
 
 
 def _with_both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """Pairs (a, b) with `column` and the size of both sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    some = keep(sets.select("rid", "n", column).join(wanted, "rid", "left_semi"), column)
-    one, two = (some.select(F.col("rid").alias(side), F.col("n").alias(f"n{side}"), F.col(column).alias(f"s{side}")) for side in ("a", "b"))
+    """Pairs (a, b) with a column of `sets` (rid, ...) of both sides."""
+    one, two = (sets.select(F.col("rid").alias(side), F.col(column).alias(f"s{side}")) for side in ("a", "b"))
     return pairs.join(one, "a").join(two, "b")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets (rid, n, bits, members) are alike."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+
+
+def confirmed(pairs: DataFrame, signed: DataFrame, sets_of: SetsOf, percent: int = PERCENT) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are alike."""
     @F.pandas_udf("boolean")
-    def possible(size_a: pd.Series, a: pd.Series, size_b: pd.Series, b: pd.Series) -> pd.Series:
+    def possible(left: pd.DataFrame, right: pd.DataFrame) -> pd.Series:
         return pd.Series([bool(alike(m, n, most_shared(m, np.frombuffer(x, np.uint8), n, np.frombuffer(y, np.uint8)), percent))
-                          for m, x, n, y in zip(size_a, a, size_b, b)], dtype=bool)
+                          for m, x, n, y in zip(left["n"], left["bits"], right["n"], right["bits"])], dtype=bool)
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -179,8 +206,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
             out.append(bool(alike(len(one), len(two), int((two[at] == one).sum()), percent)))
         return pd.Series(out, dtype=bool)
 
-    close = keep(_with_both(keep(pairs, "pairs"), sets, "bits").filter(possible("na", "sa", "nb", "sb")).select("a", "b"), "close")
-    return _with_both(close, sets, "members").filter(linked("sa", "sb")).select("a", "b")
+    pairs = keep(pairs, "pairs")
+    marks = keep(signed.join(_ends(pairs), "rid", "left_semi").select("rid", F.struct("n", "bits").alias("mark")), "marks")
+    close = keep(_with_both(pairs, marks, "mark").filter(possible("sa", "sb")).select("a", "b"), "close")
+    return _with_both(close, sets_of(_ends(close)), "members").filter(linked("sa", "sb")).select("a", "b")
 
 
 def cell_links(rid: np.ndarray, root: np.ndarray, sets: list[np.ndarray], first: np.ndarray | None,
@@ -225,15 +254,14 @@ def cell_candidates(root: np.ndarray, size: np.ndarray, bits: list[np.ndarray],
     return near.any(axis=1) | near.any(axis=0)
 
 
-def _by_cells(rows: DataFrame, sets: DataFrame, column: str, solve, schema: str) -> DataFrame:
-    """Cells of (bucket, rid, n, root): parts of each bucket in pairs, with a column of `sets`, each given to `solve`."""
-    each = {"bits": 0.5, "members": 8.0}[column]
+def _by_cells(rows: DataFrame, sets: DataFrame, bytes_each: float, solve, schema: str) -> DataFrame:
+    """Cells of (bucket, rid, n, root): parts of each bucket in pairs, with the set of `sets` (rid, set), each given to `solve`."""
     parts = rows.groupBy("bucket").agg(F.greatest(
-        F.ceil(F.count("*") / CELL_ROWS), F.ceil(F.sum("n") * each / CELL_BYTES)).cast("int").alias("parts"))
+        F.ceil(F.count("*") / CELL_ROWS), F.ceil(F.sum("n") * bytes_each / CELL_BYTES)).cast("int").alias("parts"))
     placed = rows.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(
         F.least(F.col("part"), o).alias("i"), F.greatest(F.col("part"), o).alias("j")))
-    met = placed.join(sets.select("rid", F.col(column).alias("set")), "rid").select(
+    met = placed.join(sets, "rid").select(
         "bucket", F.explode(cells).alias("c"), "part", "rid", "n", "root", "set").select("bucket", "c.i", "c.j", "part", "rid", "n", "root", "set")
     return met.groupBy("bucket", "i", "j").applyInPandas(solve, schema)
 
@@ -243,16 +271,35 @@ def _first_part(rows: pd.DataFrame) -> np.ndarray | None:
     return (rows["part"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
 
 
-def _cells(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _gathered(crowded: DataFrame) -> DataFrame:
+    """Crowded buckets that share rows as one, where all its pairs are fewer than those of its buckets one by one.
+
+    The nodes of one template meet in many bands; so they meet once.
+    """
+    crowded = keep(crowded, "crowded")
+    stars = crowded.groupBy("bucket").agg(F.min("rid").alias("b"))
+    tied = keep(components(crowded.join(stars, "bucket").select(F.col("rid").alias("a"), "b")), "gathered")
+    # a bucket's rows are all of one group: that of its least row
+    groups = stars.join(tied.select(F.col("node").alias("b"), F.col("root").alias("group")), "b", "left").select(
+        "bucket", F.coalesce("group", "b").alias("group"))
+    named = crowded.join(groups, "bucket")
+    apart = named.groupBy("group", "bucket").agg(F.count("*").alias("c")).groupBy("group").agg(F.sum(F.col("c") * F.col("c")).alias("apart"))
+    rows = named.select("group", "rid").distinct().groupBy("group").agg(F.count("*").alias("g"))
+    as_one = apart.join(rows, "group").filter(F.col("g") * F.col("g") <= F.col("apart")).select("group", F.lit(True).alias("as_one"))
+    key = F.when(F.col("as_one"), F.xxhash64("group", F.lit(0))).otherwise(F.xxhash64("bucket"))
+    return named.join(as_one, "group", "left").select(key.alias("bucket"), "rid", "n", "root").distinct()
+
+
+def _cells(crowded: DataFrame, signed: DataFrame, sets_of: SetsOf, percent: int) -> DataFrame:
     """Links of buckets (bucket, rid, n, root) with many components, compared part by part.
 
     Sets of sizes that can be alike share a class of sizes: a set stands in its own and in the one below. Bitmaps
     are compared first, and only the sets of rows that have a possible partner are brought together.
     """
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent) + 1e-9)) + 1e-9)
-    classed = crowded.withColumn("bucket", F.explode(F.array(*[F.xxhash64("bucket", step - k) for k in (0, 1)])))
+    classed = _gathered(crowded).withColumn("bucket", F.explode(F.array(*[F.xxhash64("bucket", step - k) for k in (0, 1)])))
     several = classed.groupBy("bucket").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("bucket")
-    rows = keep(classed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"), "crowded")
+    rows = keep(classed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"), "classed")
 
     def narrow(cell: pd.DataFrame) -> pd.DataFrame:
         found = cell_candidates(cell["root"].to_numpy(), cell["n"].to_numpy(), [np.frombuffer(b, np.uint8) for b in cell["set"]], _first_part(cell), percent)
@@ -262,20 +309,21 @@ def _cells(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         a, b = cell_links(cell["rid"].to_numpy(), cell["root"].to_numpy(), [np.frombuffer(m, "<u8") for m in cell["set"]], _first_part(cell), percent)
         return pd.DataFrame({"a": a, "b": b})
 
-    close = keep(_by_cells(rows, sets, "bits", narrow, "bucket bigint, rid bigint, n bigint, root bigint").distinct(), "possible")
-    return _by_cells(close, sets, "members", solve, "a bigint, b bigint")
+    marks = keep(signed.join(rows.select("rid").distinct(), "rid", "left_semi").select("rid", F.col("bits").alias("set")), "marks")
+    close = keep(_by_cells(rows, marks, 0.75, narrow, "bucket bigint, rid bigint, n bigint, root bigint").distinct(), "possible")
+    return _by_cells(close, sets_of(close).withColumnRenamed("members", "set"), 8.0, solve, "a bigint, b bigint")
 
 
-def links(signed: DataFrame, percent: int = PERCENT, few: int = FEW) -> DataFrame:
+def links(signed: DataFrame, sets_of: SetsOf, percent: int = PERCENT, few: int = FEW) -> DataFrame:
     """Links (a, b) between nodes that have the components of all alike pairs sharing a bucket.
 
-    `signed` has one row per node: rid, n, keys, bits, members.
+    `signed` has one row per node: rid, n, keys, bits; `sets_of` gives (rid, members) of the rids asked for.
     """
     placed = signed.select(F.col("rid"), "n", F.explode("keys").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("c"), F.min("rid").alias("leader"), F.min_by("n", "rid").alias("m")).filter("c > 1")
     met = keep(placed.join(sizes, "bucket"), "buckets")
     first = met.filter((F.col("rid") != F.col("leader")) & _fit("n", "m", percent)).groupBy(F.col("rid").alias("b")).agg(F.min("leader").alias("a"))
-    tied = keep(components(confirmed(first.select("a", "b"), signed, percent)), "tied")
+    tied = keep(components(confirmed(first.select("a", "b"), signed, sets_of, percent)), "tied")
 
     rooted = met.select("bucket", "rid", "n").join(
         tied.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
@@ -289,8 +337,8 @@ def links(signed: DataFrame, percent: int = PERCENT, few: int = FEW) -> DataFram
     second = left.join(listed, "bucket").select("rid", "n", "root", F.inline("others")).filter(
         (F.col("root") != F.col("at")) & _fit("n", "m", percent)).select(
         F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct()
-    more = confirmed(second, signed, percent)
-    rest = _cells(left.filter(F.col("rest") > few).select("bucket", "rid", "n", "root"), signed, percent)
+    more = confirmed(second, signed, sets_of, percent)
+    rest = _cells(left.filter(F.col("rest") > few).select("bucket", "rid", "n", "root"), signed, sets_of, percent)
     return tied.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).unionByName(rest)
 
 
@@ -299,8 +347,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, few: int = FEW) ->
     with tidy_shuffles(docs.sparkSession):
         signed = keep(signatures(docs), "signatures")
         nodes = keep(signed.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), F.min("rid").alias("node")), "nodes")
-        reps = signed.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-        tied = keep(components(links(reps, percent, few)), "components")
+        reps = signed.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").drop("doc_id")
+        tied = keep(components(links(reps, lambda wanted: full_sets(docs, signed, wanted), percent, few)), "components")
         named = nodes.join(tied, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
         least = named.groupBy("root").agg(F.min("least").alias("component_id"))
         final = keep(named.join(least, "root").select("digest", "component_id"), "named")
