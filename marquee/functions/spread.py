@@ -3,9 +3,8 @@
 The rules used throughout:
 
 * top-k per group is `row_number() <= k`, which Spark cuts to k rows per task before the shuffle;
-* a group that holds a large share of the rows is cut into ordered buckets, each bucket is ranked
-  on its own and the bucket offsets are added. Such groups are few by arithmetic (at most
-  1 / HOT_SHARE of them), so the table of their offsets has a fixed upper bound and is broadcast;
+* where whole groups must be ranked, rows are range-partitioned by group and order into pieces of
+  bounded rows, each piece is ranked on its own and the rows of earlier pieces are added;
 * a lookup on a key that may be hot is salted;
 * nothing here depends on how the rows happen to be partitioned, so a recomputed task gives the
   same result.
@@ -18,10 +17,11 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-HOT_SHARE = 1 / 1000      # a group above this share of all rows is split
-HOT_ROWS = 1_000_000      # ... provided it is too big for one comfortable sort
-GROUP_BUCKETS = 256       # pieces of one hot group
-TIE_BUCKETS = 16          # pieces of one value that fills much of a hot group
+from marquee.sources.scratch import keep
+
+PIECE_ROWS = 1_000_000    # rows that are put in order by one task
+ROWS_A_CORE = 50_000      # fewer are not worth a task of their own
+KEY_BUCKETS = 256         # pieces of a table that is numbered by a key
 ID_BUCKETS = 4096         # pieces of a table-wide numbering (three hexadecimal digits)
 LOOKUP_SALTS = 16
 QUANTILE_CELLS = 4096
@@ -77,7 +77,7 @@ def salted_lookup(
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def _order_bucket(value: Column, bounds: Column, buckets: int = GROUP_BUCKETS) -> Column:
+def _order_bucket(value: Column, bounds: Column, buckets: int = KEY_BUCKETS) -> Column:
     """Number of bounds below the value: an order-preserving, balanced bucket number.
 
     A binary search over the buckets - 1 bounds as one fold, so that the expression stays small
@@ -93,93 +93,56 @@ def _order_bucket(value: Column, bounds: Column, buckets: int = GROUP_BUCKETS) -
     return F.when(bounds.isNull(), 0).when(value.isNull(), buckets).otherwise(found)
 
 
-def _sketch_bounds(value: str, buckets: int = GROUP_BUCKETS) -> Column:
+def _sketch_bounds(value: str, buckets: int = KEY_BUCKETS) -> Column:
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     return F.percentile_approx(value, points, 2_000)
 
 
 def rank_within(
     df: DataFrame, group: list[str], sort_value: Column, ties: list[Column], rank: str = "rank",
-    size: str | None = None, hot_rows: int = HOT_ROWS, tie_value: Column | None = None,
+    size: str | None = None, piece_rows: int | None = None,
 ) -> DataFrame:
     """Exact 1-based rank of every row in its group, by `sort_value` (numeric) and then `ties`.
 
-    A plain window sorts a whole group in one task. Group sizes are counted first; if no group is
-    hot the plain window is used. A hot group is cut at sketched quantiles of its own sort values,
-    so that even a group with a third of all rows is sorted in pieces. A value that fills
-    1 / TIE_BUCKETS of a hot group is cut once more by `tie_value`, the first of the ties as an
-    ascending number, if given.
+    The rows are range-partitioned by group, value and ties into pieces of about PIECE_ROWS rows, whatever the
+    groups: a small group lies in one piece, a large one in as many as it fills. A row's rank is its place among
+    its group's rows of the piece, and the group's rows in earlier pieces. Only groups that span pieces need
+    that sum, and neighbouring pieces share one group at most, so the table of sums has fewer than two rows a
+    piece and is broadcast.
     """
-    keyed = df.withColumns({
-        "_v": sort_value.cast("double"), "_t": (F.lit(0) if tie_value is None else tie_value).cast("double"),
-    })
-    sizes = keyed.groupBy(*group).agg(F.count("*").alias("_n"))
-    total = sizes.agg(F.sum("_n")).scalar()
-    hot_names = [f"_hot_{g}" for g in group]
-    hot = sizes.filter(F.col("_n") >= F.greatest(F.lit(hot_rows), total * HOT_SHARE)).select(
-        *[F.col(g).alias(h) for g, h in zip(group, hot_names)], "_n"
-    )
-    found = hot.collect()  # at most 1 / HOT_SHARE rows
-    if not found:
-        w = Window.partitionBy(*group)
-        plain = keyed.withColumn(rank, F.row_number().over(w.orderBy(F.col("_v").asc_nulls_last(), *ties)))
-        return (plain.withColumn(size, F.count("*").over(w)) if size else plain).drop("_v", "_t")
-    hot = df.sparkSession.createDataFrame(found, hot.schema)
-
-    def same_group(names: list[str]) -> Column:
-        return reduce(and_, [F.col(g).eqNullSafe(F.col(name)) for g, name in zip(group, names)])
-
-    in_hot = keyed.join(F.broadcast(hot), same_group(hot_names), "inner")
-    bounds = in_hot.groupBy(*hot_names, "_n").agg(_sketch_bounds("_v").alias("_bounds"))
-    tagged = keyed.join(F.broadcast(bounds), same_group(hot_names), "left").withColumn(
-        "_bucket", _order_bucket(F.col("_v"), F.col("_bounds"))
-    )
-
-    # a value equal to that many bounds in a row fills the bucket it starts, apart from smaller values
-    run = GROUP_BUCKETS // TIE_BUCKETS
-    full = (F.col("_v") == F.get("_bounds", F.col("_bucket"))) & (F.col("_v") == F.get("_bounds", F.col("_bucket") + run - 1))
-    tagged = tagged.withColumn("_full", F.when(F.coalesce(full, F.lit(False)), F.col("_v")))
-    full_names = [f"_full_{g}" for g in group]
-    cuts = (
-        tagged.filter(F.col("_full").isNotNull())
-        .groupBy(*[F.col(g).alias(f) for g, f in zip(group, full_names)], F.col("_full").alias("_full_v"))
-        .agg(_sketch_bounds("_t", TIE_BUCKETS).alias("_cuts"))
-    )  # at most TIE_BUCKETS rows per hot group
-    tagged = tagged.join(
-        F.broadcast(cuts), same_group(full_names) & (F.col("_full") == F.col("_full_v")), "left"
-    ).withColumn(
-        "_sub", F.when(F.col("_full").isNull(), -1).otherwise(_order_bucket(F.col("_t"), F.col("_cuts"), TIE_BUCKETS))
-    )
-
-    before = Window.partitionBy(*hot_names).orderBy("_bucket", "_sub").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    off_names = [f"_off_{g}" for g in group]
-    offsets = (
-        tagged.filter(F.col("_n").isNotNull())
-        .groupBy(*hot_names, "_bucket", "_sub").agg(F.count("*").alias("_rows"))
-        .withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .select(*[F.col(h).alias(o) for h, o in zip(hot_names, off_names)],
-                F.col("_bucket").alias("_off_bucket"), F.col("_sub").alias("_off_sub"), "_skip")
-    )
-    piece = Window.partitionBy(*group, "_bucket", "_sub")
-    ranked = tagged.withColumn(
-        "_in_piece", F.row_number().over(piece.orderBy(F.col("_v").asc_nulls_last(), *ties))
-    )
+    piece_rows = piece_rows or PIECE_ROWS
+    kept = keep(df.withColumn("_v", sort_value.cast("double")), "to-rank")
+    rows = kept.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = max(-(-rows // piece_rows), min(cores, -(-rows // ROWS_A_CORE)), 1)
+    names = [F.col(g).asc_nulls_first() for g in group]
+    order = [F.col("_v").asc_nulls_last(), *ties]
+    dealt = kept
+    if pieces > 1:
+        dealt = keep(kept.repartitionByRange(pieces, *names, *order).withColumn("_piece", F.spark_partition_id()), "pieces")
+    elif "_piece" not in kept.columns:
+        dealt = kept.withColumn("_piece", F.lit(0))
+    inside = Window.partitionBy(*group, "_piece")
+    ranked = dealt.withColumn(rank, F.row_number().over(inside.orderBy(*order)))
     if size:
-        ranked = ranked.withColumn(size, F.coalesce(F.col("_n"), F.count("*").over(piece)))
-    placed = ranked.join(
-        F.broadcast(offsets),
-        same_group(off_names) & (F.col("_bucket") == F.col("_off_bucket")) & (F.col("_sub") == F.col("_off_sub"))
-        & F.col("_n").isNotNull(),
-        "left",
-    )
-    extra = [size] if size else []
-    return placed.select(
-        *df.columns,
-        (F.col("_in_piece") + F.coalesce(F.col("_skip"), F.lit(0))).alias(rank),
-        *extra,
-    )
+        ranked = ranked.withColumn(size, F.count("*").over(inside))
+    out = [*df.columns, rank, *([size] if size else [])]
+    if pieces == 1:
+        return ranked.select(*out)
+
+    counts = dealt.groupBy(*group, "_piece").agg(F.count("*").alias("_n"))
+    spans = keep(counts.groupBy(*group).agg(F.count("*").alias("_k"), F.sum("_n").alias("_all"), F.collect_list(F.struct("_piece", "_n")).alias("_parts"))
+                 .filter("_k > 1").drop("_k"), "spans")
+    before = F.transform("_parts", lambda p: F.struct(p["_piece"].alias("_at"), F.aggregate(
+        F.filter("_parts", lambda o: o["_piece"] < p["_piece"]), F.lit(0).cast("bigint"), lambda s, o: s + o["_n"]).alias("_skip")))
+    other = {g: f"_of_{g}" for g in group}
+    sums = spans.select(*[F.col(g).alias(o) for g, o in other.items()], "_all", F.inline(before))
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(o)) for g, o in other.items()])
+    placed = ranked.join(F.broadcast(sums), same & (F.col("_piece") == F.col("_at")), "left")
+    placed = placed.withColumn(rank, (F.col(rank) + F.coalesce("_skip", F.lit(0))))
+    if size:
+        placed = placed.withColumn(size, F.coalesce("_all", F.col(size)))
+    return placed.select(*out)
 
 
 def hash_bucket(*keys: str | Column) -> Column:
@@ -242,7 +205,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], accur
             for c in columns
         ])).alias("s")
     ).select("s.column_name", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    return exact_quantiles_of(long, probs, accuracy)
+
 
+def exact_quantiles_of(long: DataFrame, probs: list[float], accuracy: int = 2_000) -> DataFrame:
+    """As exact_quantiles, of rows (column_name, v) without null and NaN; they are read twice."""
     margin = 10 / accuracy
     lows = F.array(*[F.lit(max(0.0, p - margin)) for p in probs])
     highs = F.array(*[F.lit(min(1.0, p + margin)) for p in probs])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 from functools import reduce
@@ -70,19 +71,27 @@ def _mean_path(n: np.ndarray | float):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, deep))
 
 
-def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[float, float]]:
-    """One random tree over one column as steps: from `start` on, the path length is `depth`."""
+def _draw(*parts: object) -> str:
+    return hashlib.md5("|".join(str(p) for p in parts).encode()).hexdigest()
+
+
+def _grow(values: np.ndarray, seed: int, tree: int, limit: int) -> list[tuple[float, float]]:
+    """One random tree over one column as steps: above `start` the path length is `depth`.
+
+    Nodes are numbered like a heap; seed, tree and node decide where a node is cut, so any engine that has
+    md5 can grow the same tree.
+    """
     steps: list[tuple[float, float]] = []
-    todo = [(np.sort(values), 0, -np.inf)]
+    todo = [(np.sort(values), 1, 0, -np.inf)]
     while todo:
-        part, depth, start = todo.pop()
+        part, node, depth, start = todo.pop()
         if depth >= limit or len(part) <= 1 or part[0] == part[-1]:
             steps.append((start, depth + float(_mean_path(len(part)))))
             continue
-        cut = rng.uniform(part[0], part[-1])
+        cut = part[0] + int(_draw(seed, tree, node)[:8], 16) / 4294967296.0 * (part[-1] - part[0])
         at = int(np.searchsorted(part, cut, side="right"))
-        todo.append((part[:at], depth + 1, start))
-        todo.append((part[at:], depth + 1, float(np.nextafter(cut, np.inf))))
+        todo.append((part[:at], 2 * node, depth + 1, start))
+        todo.append((part[at:], 2 * node + 1, depth + 1, cut))
     return sorted(steps)
 
 
@@ -90,13 +99,14 @@ def _forest_steps(df: DataFrame, column: str, key: str, seed: int, trees: int, t
     """Trees as rows (tree, start, depth, size), grown in parallel from one pool of sampled values.
 
     The pool holds trees * tree_rows values at most, however large the table: those with the
-    smallest seeded hash of their key. Each tree draws its rows from the pool.
+    smallest md5 of seed and key. Each tree takes the rows of the pool with the smallest md5 of seed, tree and key.
     """
+    name = F.col(key).cast("string")
     pool = (
-        df.filter(F.col(column).isNotNull())
-        .select(F.col(column).cast("double").alias("v"), F.xxhash64(F.lit(seed), F.col(key)).alias("h"), F.col(key).alias("k"))
+        df.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
+        .select(F.col(column).cast("double").alias("v"), F.md5(F.concat_ws("|", F.lit(str(seed)), name)).alias("h"), F.col(key).alias("k"), name.alias("name"))
         .orderBy("h", "k").limit(trees * tree_rows)
-        .agg(F.sort_array(F.collect_list(F.struct("h", "k", "v")))["v"].alias("pool"))
+        .agg(F.sort_array(F.collect_list(F.struct("k", "name", "v"))).alias("pool"))
     )
 
     def grow(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,12 +114,11 @@ def _forest_steps(df: DataFrame, column: str, key: str, seed: int, trees: int, t
             for tree, pool in zip(part["id"], part["pool"]):
                 if not len(pool):
                     continue
-                rng = np.random.default_rng([seed, int(tree)])
-                values = rng.choice(np.asarray(pool, dtype=float), size=min(tree_rows, len(pool)), replace=False)
-                steps = _grow(values, rng, int(np.ceil(np.log2(max(len(values), 2)))))
-                yield pd.DataFrame({
-                    "tree": int(tree), "start": [s for s, _ in steps], "depth": [d for _, d in steps], "size": len(values),
-                })
+                tree = int(tree)
+                drawn = sorted((_draw(seed, tree, r["name"]), i) for i, r in enumerate(pool))[:tree_rows]  # the pool is in order of keys
+                values = np.array([pool[i]["v"] for _, i in drawn], dtype=float)
+                steps = _grow(values, seed, tree, int(np.ceil(np.log2(max(len(values), 2)))))
+                yield pd.DataFrame({"tree": tree, "start": [s for s, _ in steps], "depth": [d for _, d in steps], "size": len(values)})
 
     rows = df.sparkSession.range(trees).withColumn("pool", pool.scalar())
     return rows.mapInPandas(grow, "tree int, start double, depth double, size int")
@@ -131,15 +140,15 @@ def isolation_scores(
     starts = np.unique(np.concatenate([g["start"].to_numpy() for g in grown])) if grown else np.array([-np.inf])
     total = np.zeros(len(starts))
     for g in grown:
-        at = np.searchsorted(g["start"].to_numpy(), starts, side="right") - 1
+        at = np.searchsorted(g["start"].to_numpy(), starts, side="right") - 1  # a step holds above its start, so up to the next start
         total += g["depth"].to_numpy()[at]
     paths = total / max(len(grown), 1)
-    scores = np.power(2.0, -paths / max(float(_mean_path(size)), 1e-12))
+    scores = np.round(np.power(2.0, -paths / max(float(_mean_path(size)), 1e-12)), 9)
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            at = np.clip(np.searchsorted(starts, part.to_numpy(dtype=float), side="right") - 1, 0, None)
+            at = np.clip(np.searchsorted(starts, part.to_numpy(dtype=float), side="left") - 1, 0, None)
             yield pd.Series(np.where(part.isna(), np.nan, scores[at]))
 
     return df.withColumn(out, F.nanvl(score(F.col(column).cast("double")), F.lit(None).cast("double")))

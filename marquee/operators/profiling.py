@@ -7,8 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marquee.functions import lists
-from marquee.functions.spread import exact_quantiles, one_row
+from marquee.functions.spread import exact_quantiles, exact_quantiles_of, one_row
 from marquee.schemas import COLUMN_KINDS
+from marquee.sources.scratch import keep
 
 
 def _by_column(row: DataFrame, fields: dict[str, dict[str, Column]], label: str = "column_name") -> DataFrame:
@@ -148,41 +149,47 @@ def _wide_quantiles(df: DataFrame, columns: list[str], names: dict[float, str])
 QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
 
 
+def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, v) of all values of the columns; null and NaN are no values."""
+    value = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])
+    return df.select(F.explode(value).alias("s")).select("s.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _listed(df: DataFrame, names: list[str], key: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([(n,) for n in names], f"{key} string")
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample deviation, min, quartiles and max, one row per column."""
-    row = df.agg(*[
-        F.struct(
-            F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("least"), F.max(c).cast("double").alias("most"),
-        ).alias(f"_s{i}") for i, c in enumerate(columns)
-    ])
-    parts = ["n", "mean", "std", "least", "most"]
-    base = _by_column(row, {
-        c: {p: F.col(f"_s{i}.{p}") for p in parts} for i, c in enumerate(columns)
-    })
-    # both sides have one row per column of the table
-    return base.join(F.broadcast(_wide_quantiles(df, columns, QUARTILES)), "column_name", "left")
+    """count, mean, sample deviation, min, quartiles and max, one row per column.
+
+    The columns are read once and written as (column, value); moments are combined in each task, so the
+    groups of the aggregate are the columns. Null and NaN are no values.
+    """
+    long = keep(_numbers(df, columns), "numbers")
+    base = long.groupBy("column_name").agg(
+        F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("least"), F.max("v").alias("most"))
+    found = exact_quantiles_of(long, list(QUARTILES)).groupBy("column_name").agg(*[
+        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in QUARTILES.items()])
+    # all sides have one row per column of the table
+    wide = _listed(df, columns, "column_name").join(F.broadcast(base), "column_name", "left").join(F.broadcast(found), "column_name", "left")
+    return wide.withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows where both are present."""
-    pairs = list(combinations(range(len(columns)), 2))
-
-    def both(i: int, j: int) -> tuple[Column, Column]:
-        a, b = F.col(columns[i]).cast("double"), F.col(columns[j]).cast("double")
-        present = a.isNotNull() & b.isNotNull()
-        return F.when(present, a), F.when(present, b)
+    """Pearson correlation of every pair of columns over the rows where both are present; NaN is not.
 
-    row = df.agg(
-        *[F.corr(*both(i, j)).alias(f"_r{i}_{j}") for i, j in pairs],
-        *[F.corr(*both(i, i)).alias(f"_r{i}_{i}") for i in range(len(columns))],
-    )
-    cells = [(i, j) for i in range(len(columns)) for j in range(len(columns))]
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
-                 F.col(f"_r{min(i, j)}_{max(i, j)}").alias("correlation"))
-        for i, j in cells
-    ])).alias("r")).select("r.*")
+    One scan and one aggregate whose groups are the pairs; co-moments are combined in each task.
+    """
+    numbers = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), numbers[columns[i]].alias("x"), numbers[columns[j]].alias("y"))
+             for i, j in combinations(range(len(columns)), 2)]
+    alone = [F.struct(F.lit(i).alias("i"), F.lit(i).alias("j"), numbers[c].alias("x"), numbers[c].alias("y")) for i, c in enumerate(columns)]
+    long = df.select(F.explode(F.array(*pairs, *alone)).alias("p")).select("p.*").filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    found = long.groupBy("i", "j").agg(F.corr("x", "y").alias("correlation"))
+    # one row for each pair of columns
+    names = [(a, b, min(i, j), max(i, j)) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    cells = df.sparkSession.createDataFrame(names, "a string, b string, i int, j int")
+    return cells.join(F.broadcast(found), ["i", "j"], "left").select("a", "b", "correlation")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -212,7 +219,7 @@ def box_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     limits = fences.withColumns({"lower": F.col("q1") - 1.5 * spread, "upper": F.col("q3") + 1.5 * spread})
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("s")).select("s.*").filter(F.col("v").isNotNull())
+    ])).alias("s")).select("s.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     inside = (F.col("v") >= F.col("lower")) & (F.col("v") <= F.col("upper"))
     names = ["column_name", "q1", "median", "q3", "lower", "upper"]
     return long.join(F.broadcast(limits), "column_name").groupBy(*names).agg(

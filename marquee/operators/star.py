@@ -13,6 +13,7 @@ from marquee.schemas import (
     DIM_MOVIE_COLUMNS, ENRICHED_COLUMNS, FACT_MOVIE_COLUMNS, LIST_DIMENSIONS, STAR_SCHEMAS,
     ListDimension,
 )
+from marquee.sources.scratch import keep
 
 # Numbers handed out per row in one step when a pair repeats inside a list.
 _REPEAT_STEP = 10_000
@@ -54,9 +55,9 @@ def bridge_from_list(
     found = checked_lookup(pairs, dims, [value_col], [movie_col], max_rows=broadcast_rows) if broadcast_rows else (
         salted_lookup(pairs, dims, [value_col], [movie_col])
     )
-    numbered = dense_ids(
-        found.select(movie_col, id_col, "_times"), [movie_col, id_col], "_first", weight="_times"
-    )
+    # numbering reads its input twice
+    paired = keep(found.select(movie_col, id_col, "_times"), "pairs")
+    numbered = dense_ids(paired, [movie_col, id_col], "_first", weight="_times")
     last_step = F.floor((F.col("_times") - 1) / _REPEAT_STEP)
     return (
         numbered.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last_step)))
@@ -115,7 +116,8 @@ def enriched_view(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per movie, 18 columns, from the 12 written star tables keyed by table name.
 
     Every bridge is folded to one row per movie before it is joined, so list sizes never multiply
-    and all joins share the one key movie_id.
+    and all joins share the one key movie_id. From tables bucketed by movie_id nothing is shuffled for
+    them, nor for the folds whose dimension is small.
     """
     movies = tables["dim_movie"].join(tables["fact_movie"], "movie_id", "left")
     folded = [

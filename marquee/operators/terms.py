@@ -20,6 +20,7 @@ TERM_SALTS = 64
 MAX_SEEDS = 10_000
 SIGNATURE_TERMS = 8
 TERM_CHUNK = 1_000  # queries, and items, of one term that meet in one task
+LEVELS = 8  # steps in which postings are told apart by what they can reach
 _MARGIN = 1e-9  # room for floating-point noise in every pruning test
 GENRE_WEIGHT, OVERVIEW_WEIGHT, KEYWORD_WEIGHT = 0.2, 0.5, 0.3
 NEAREST = 50
@@ -122,12 +123,35 @@ def _seed_pairs(vectors: DataFrame, seeds: DataFrame, as_sets: bool) -> DataFram
         joined = left.join(F.broadcast(right), "term")
     else:
         joined = salted_lookup(left, right, ["term"], ["id"])
+    return pair_scores(joined, as_sets)
+
+
+def pair_scores(met: DataFrame, as_sets: bool) -> DataFrame:
+    """(seed_id, item_id, score) from rows (id, size, w, seed_id, seed_size, seed_w), one a shared term."""
     dot = F.sum(F.col("w") * F.col("seed_w"))
     if as_sets:
-        sums = joined.groupBy("seed_id", F.col("id").alias("item_id"), "seed_size", "size").agg(dot.alias("_c"))
+        sums = met.groupBy("seed_id", F.col("id").alias("item_id"), "seed_size", "size").agg(dot.alias("_c"))
         score = F.col("_c") / (F.col("seed_size") + F.col("size") - F.col("_c"))
         return sums.select("seed_id", "item_id", score.alias("score"))
-    return joined.groupBy("seed_id", F.col("id").alias("item_id")).agg(dot.alias("score"))
+    return met.groupBy("seed_id", F.col("id").alias("item_id")).agg(dot.alias("score"))
+
+
+def nearest_only(pairs: DataFrame, nearest: int | None) -> DataFrame:
+    """The `nearest` best pairs of each seed, or all."""
+    if not nearest:
+        return pairs
+    return top_n(pairs, ["seed_id"], [F.round("score", 9).desc(), F.col("item_id").asc()], nearest, "_near").drop("_near")
+
+
+def blend(parts: DataFrame, seeds: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """Top-n of summed scores (seed_id, item_id, score); items that score nowhere follow in the order of `least` (id)."""
+    low_ids = least.agg(F.collect_list("id")).scalar()
+    fill = seeds.withColumn("_ids", low_ids).select("seed_id", F.explode("_ids").alias("item_id"), F.lit(0.0).alias("score"))
+    blended = (
+        parts.unionByName(fill).filter(F.col("item_id") != F.col("seed_id"))
+        .groupBy("seed_id", "item_id").agg(F.round(F.sum("score"), 6).alias("score"))
+    )
+    return top_n(blended, ["seed_id"], [F.desc("score"), F.asc("item_id")], n)
 
 
 def similar_to_seeds(
@@ -143,18 +167,10 @@ def similar_to_seeds(
     """
     parts = None
     for vectors, weight, as_sets in features:
-        pairs = _seed_pairs(vectors, seeds, as_sets)
-        if nearest and not as_sets:
-            pairs = top_n(pairs, ["seed_id"], [F.round("score", 9).desc(), F.col("item_id").asc()], nearest, "_near").drop("_near")
+        pairs = nearest_only(_seed_pairs(vectors, seeds, as_sets), nearest if not as_sets else None)
         part = pairs.select("seed_id", "item_id", (F.col("score") * weight).alias("score"))
         parts = part if parts is None else parts.unionByName(part)
-    low_ids = catalog.select(F.col("id")).orderBy("id").limit(2 * n + 2).agg(F.collect_list("id")).scalar()
-    fill = seeds.withColumn("_ids", low_ids).select("seed_id", F.explode("_ids").alias("item_id"), F.lit(0.0).alias("score"))
-    blended = (
-        parts.unionByName(fill).filter(F.col("item_id") != F.col("seed_id"))
-        .groupBy("seed_id", "item_id").agg(F.round(F.sum("score"), 6).alias("score"))
-    )
-    return top_n(blended, ["seed_id"], [F.desc("score"), F.asc("item_id")], n)
+    return blend(parts, seeds, catalog.select("id").orderBy("id").limit(2 * n + 2), n)
 
 
 def blended_features(
@@ -213,27 +229,31 @@ def seeds_by_id(catalog: DataFrame, ids: list) -> tuple[DataFrame, DataFrame]:
 class Measure:
     """A similarity that grows with the weight two vectors share, and the bounds used to prune it.
 
-    `left_out` is what a query's dropped terms can add: sqrt of their squared weights for cosine,
-    their number for sets.
+    Terms have one order for all vectors, from the most frequent to the rarest. `run` is the sum of squared
+    weights of a vector from its most frequent term up to a term, that one included: what two vectors can
+    still share if that term is the rarest they have in common.
     """
 
-    score: Callable[[Column, Column, Column], Column]            # shared, query size, item size
-    upper: Callable[[Column, Column, Column, Column], Column]    # shared, left_out, query size, item size
-    only_dropped: Callable[[Column, Column], Column]             # left_out, query size
-    left_out: Callable[[Column], Column]                         # running sum of w*w
+    score: Callable[[Column, Column, Column], Column]               # shared, query size, item size
+    upper: Callable[[Column, Column, Column, Column], Column]       # shared, left out, query size, item size
+    reach: Callable[[Column, Column], Column]                       # run, size: best score with this term as rarest
+    need: Callable[[Column, Column, Column], Column]                # bound, run, size: least reach of the other vector
+    rest: Callable[[Column, Column, Column, Column], Column]        # runs of both without this term: left to share
 
 
 COSINE = Measure(
     score=lambda s, q, i: s,
     upper=lambda s, d, q, i: s + d,
-    only_dropped=lambda d, q: d,
-    left_out=lambda ww: F.sqrt(ww),
+    reach=lambda run, n: F.sqrt(run),
+    need=lambda bound, run, n: bound / F.sqrt(run),
+    rest=lambda q_run, qw, run, w: F.sqrt(F.greatest(q_run - qw * qw, F.lit(0.0)) * F.greatest(run - w * w, F.lit(0.0))),
 )
 JACCARD = Measure(
     score=lambda s, q, i: s / (q + i - s),
     upper=lambda s, d, q, i: F.least(s + d, q, i) / (q + i - F.least(s + d, q, i)),
-    only_dropped=lambda d, q: d / q,
-    left_out=lambda ww: ww,
+    reach=lambda run, n: run / n,
+    need=lambda bound, run, n: bound,
+    rest=lambda q_run, qw, run, w: F.least(q_run, run) - 1,
 )
 
 
@@ -273,15 +293,11 @@ def _shared_by_signature(vectors: DataFrame, query: DataFrame, k: int, measure:
     )
 
 
-def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame:
-    """Top-k others of every vector, exact: (id, other, score), scores above 0 only.
+def _prefix_plan(vectors: DataFrame, k: int, measure: Measure) -> DataFrame:
+    """Every posting in both its roles: (q, q_size, bound, term, qw, df, run, level, lo, dropped).
 
-    1. Each query gets a lower bound for its k-th best score from the champions of its terms and of
-       its signatures: k + 1 rows for each, whatever the frequency.
-    2. Its most frequent terms are dropped as long as an item that shares nothing else stays below
-       that bound. Only the rarer terms are looked up in the postings.
-    3. A pair whose shared weight plus everything the dropped terms could add stays below the
-       bound is discarded; the survivors are completed with the dropped terms.
+    `bound` is what an item must score to enter the list of q. As part of an item the posting has a `level`,
+    its reach in steps of 1 / LEVELS rounded up; as part of a query it only has to meet levels from `lo` on.
     """
     all_postings = keep(postings(vectors), "postings")
     freq = all_postings.groupBy("term").agg(F.count("*").alias("df"))
@@ -295,35 +311,56 @@ def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame
         .filter(F.col("_r") == k).select("q", (F.col("score") - _MARGIN).alias("bound"))
     )
     rare_last = Window.partitionBy("q").orderBy(F.desc("df"), F.asc("term")).rowsBetween(Window.unboundedPreceding, 0)
-    split = (
-        query.join(bound, "q", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0)))
-        .withColumn("left_out", measure.left_out(F.sum(F.col("qw") * F.col("qw")).over(rare_last)))
-        .withColumn("dropped", measure.only_dropped(F.col("left_out"), F.col("q_size")) < F.col("bound"))
-    )
-    per_query = Window.partitionBy("q")
-    plan = keep(split.withColumn(
-        "q_left_out", F.coalesce(F.max(F.when(F.col("dropped"), F.col("left_out"))).over(per_query), F.lit(0.0))
-    ).drop("left_out"), "query-plan")
-
-    looked_up = plan.filter(~F.col("dropped")).select("q", "q_size", "bound", "q_left_out", "term", "qw", "df")
-    # both sides of a term are cut by its frequency into chunks, and each chunk of queries meets each of items;
-    # a term of up to TERM_CHUNK items is not repeated at all
+    runs = query.join(bound, "q", "left").withColumn("bound", F.coalesce("bound", F.lit(0.0))).withColumn(
+        "run", F.sum(F.col("qw") * F.col("qw")).over(rare_last))
+    reach, need = measure.reach(F.col("run"), F.col("q_size")), measure.need(F.col("bound"), F.col("run"), F.col("q_size"))
+    steps = F.least(F.greatest(F.ceil((need - _MARGIN) * LEVELS), F.lit(1)), F.lit(LEVELS + 1))
+    return runs.withColumns({
+        "level": F.least(F.greatest(F.ceil((reach + _MARGIN) * LEVELS), F.lit(1)), F.lit(LEVELS)).cast("int"),
+        "dropped": reach < F.col("bound"),
+    }).withColumn("lo", F.when(F.col("dropped"), LEVELS + 1).otherwise(steps).cast("int"))
+
+
+def _meetings(plan: DataFrame) -> DataFrame:
+    """A row for each query posting and each item posting of the same term that it has to meet.
+
+    Both sides of a term are cut by its frequency into chunks, and each chunk of queries meets each of items;
+    a term of up to TERM_CHUNK items is repeated for its levels only.
+    """
     chunks = F.ceil(F.col("df") / TERM_CHUNK).cast("int")
     every = F.sequence(F.lit(0), chunks - 1)
-    spread_q = looked_up.withColumn("_sq", F.pmod(F.xxhash64("q"), chunks).cast("int")).withColumn(
-        "_si", F.explode(every)).drop("df")
-    spread_i = counted.withColumn("_si", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn(
-        "_sq", F.explode(every)).select("id", "size", "term", "w", "_sq", "_si")
+    asked = plan.filter(F.col("lo") <= LEVELS).select(
+        "q", "q_size", "bound", "term", "qw", F.col("run").alias("q_run"), "df", F.explode(F.sequence("lo", F.lit(LEVELS))).alias("level")
+    ).withColumn("_sq", F.pmod(F.xxhash64("q"), chunks).cast("int")).withColumn("_si", F.explode(every)).drop("df")
+    items = plan.select(F.col("q").alias("id"), F.col("q_size").alias("size"), "term", F.col("qw").alias("w"), "run", "level", "df").withColumn(
+        "_si", F.pmod(F.xxhash64("id"), chunks).cast("int")).withColumn("_sq", F.explode(every)).drop("df")
+    return asked.join(items, ["term", "level", "_sq", "_si"]).filter(F.col("id") != F.col("q"))
+
+
+def _nearest_distinct(vectors: DataFrame, k: int, measure: Measure) -> DataFrame:
+    """Top-k others of every vector, exact: (id, other, score), scores above 0 only.
+
+    1. Each query gets a lower bound for its k-th best score from the champions of its terms and of
+       its signatures: k + 1 rows for each, whatever the frequency.
+    2. The rarest term two vectors have in common limits what they can score by what both have from that
+       term on. So a vector is looked up, and found, under its rarer terms only: a posting of a query
+       meets only those postings of items whose reach, together with its own, can come up to the bound.
+    3. Met postings are added up. A pair whose sum and the least rest after a met term stay below the
+       bound is discarded; the survivors are completed with the terms that were not met.
+    """
+    plan = keep(_prefix_plan(vectors, k, measure), "query-plan")
+    rest_here = measure.rest(F.col("q_run"), F.col("qw"), F.col("run"), F.col("w"))
     shared = (
-        spread_q.join(spread_i, ["term", "_sq", "_si"]).filter(F.col("id") != F.col("q"))
-        .groupBy("q", "id", "q_size", "size", "bound", "q_left_out").agg(F.sum(F.col("qw") * F.col("w")).alias("s"))
-        .filter(measure.upper(F.col("s"), F.col("q_left_out"), F.col("q_size"), F.col("size")) >= F.col("bound"))
+        _meetings(plan).groupBy("q", "id", "q_size", "size", "bound")
+        .agg(F.sum(F.col("qw") * F.col("w")).alias("s"), F.min(rest_here).alias("left_out"))
+        .filter(measure.upper(F.col("s"), F.col("left_out") + _MARGIN, F.col("q_size"), F.col("size")) >= F.col("bound"))
     )
     survivors = keep(shared.select("q", "id", "q_size", "size", "s"), "survivors")
+    unmet = plan.filter(F.col("lo") > 1).select("q", "term", "qw", "lo")
     rest = (
-        survivors.select("q", "id")
-        .join(plan.filter(F.col("dropped")).select("q", "term", "qw"), "q")
-        .join(item.select("id", "term", "w"), ["id", "term"])
+        survivors.select("q", "id").join(unmet, "q")
+        .join(plan.select(F.col("q").alias("id"), "term", F.col("qw").alias("w"), "level"), ["id", "term"])
+        .filter(F.col("level") < F.col("lo"))
         .groupBy("q", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("more"))
     )
     scored = survivors.join(rest, ["q", "id"], "left").select(

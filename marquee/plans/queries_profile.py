@@ -107,14 +107,18 @@ def nunique(spark, folder):
 
 
 _DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount"]
+_NAN_SQL = "(SELECT l_quantity, l_extendedprice, CASE WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) WHEN l_linenumber = 6 THEN NULL ELSE l_discount END AS l_discount FROM lineitem)"
 
 
 @query("describe", _union(
     f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
     min({c}) AS least, max({c}) AS most, round(quantile_cont({c}, 0.25), 6) AS q1, round(quantile_cont({c}, 0.5), 6) AS median,
-    round(quantile_cont({c}, 0.75), 6) AS q3 FROM lineitem""" for c in _DESCRIBED))
+    round(quantile_cont({c}, 0.75), 6) AS q3 FROM {_NAN_SQL} WHERE NOT isnan({c})""" for c in _DESCRIBED))
 def describe(spark, folder):
-    return _rounded(profiling.describe(table(spark, folder, "lineitem"), _DESCRIBED), "mean", "std", "q1", "median", "q3")
+    """The discount is NaN on some lines and null on others; neither is a value."""
+    line = table(spark, folder, "lineitem").withColumn(
+        "l_discount", F.when(F.col("l_linenumber") == 7, F.lit(float("nan"))).when(F.col("l_linenumber") != 6, F.col("l_discount")))
+    return _rounded(profiling.describe(line, _DESCRIBED), "mean", "std", "q1", "median", "q3")
 
 
 # every column of the catalog and its type
@@ -143,10 +147,14 @@ def column_reports(spark, folder):
     return profiling.column_reports(star_input(spark, folder).select(*_PROFILED))
 
 
-@query("correlation_matrix", f"WITH {STAR_INPUT_SQL}, n AS (SELECT vote_average, vote_count, CASE WHEN id % 7 <> 0 THEN revenue END AS revenue, runtime, budget, popularity FROM cleaned) " + _union(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS correlation FROM n" for a in NUMBERS for b in NUMBERS))
+@query("correlation_matrix", f"""WITH {STAR_INPUT_SQL}, n AS (SELECT CASE WHEN id % 11 = 0 THEN CAST('NaN' AS DOUBLE) ELSE vote_average END AS vote_average,
+  vote_count, CASE WHEN id % 7 <> 0 THEN revenue END AS revenue, runtime, budget, popularity FROM cleaned) """ + _union(
+    f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS correlation FROM n WHERE NOT isnan(CAST({a} AS DOUBLE)) AND NOT isnan(CAST({b} AS DOUBLE))"
+    for a in NUMBERS for b in NUMBERS))
 def correlation_matrix(spark, folder):
-    df = star_input(spark, folder).withColumn("revenue", F.when(F.col("id") % 7 != 0, F.col("revenue")))
+    df = star_input(spark, folder).withColumns({
+        "revenue": F.when(F.col("id") % 7 != 0, F.col("revenue")),
+        "vote_average": F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("vote_average"))})
     return _rounded(profiling.correlation_matrix(df, NUMBERS), "correlation")
 
 
@@ -236,7 +244,41 @@ def zscore_filter(spark, folder):
     return outliers.zscore_filter(table(spark, folder, "events"), ["value", "user_id"]).select("event_id", "value")
 
 
-@query("isolation_forest_filter")
+def _forest_sql(trees: int = outliers.TREES, rows: int = outliers.TREE_ROWS, seed: int = 42) -> str:
+    """The same trees in SQL: samples and cuts from md5, one group of CTEs a level."""
+    depth = (rows - 1).bit_length()
+    parts = [f"""vals AS MATERIALIZED (SELECT event_id AS k, CAST(value AS DOUBLE) AS v FROM events WHERE value IS NOT NULL),
+pool AS MATERIALIZED (SELECT k, v FROM vals ORDER BY md5('{seed}|' || k), k LIMIT {trees * rows}),
+dealt AS MATERIALIZED (SELECT tree, v FROM (SELECT tree, v, row_number() OVER (PARTITION BY tree ORDER BY md5('{seed}|' || tree || '|' || k), k) AS r
+  FROM pool, (SELECT unnest(range({trees})) AS tree)) WHERE r <= {rows}),
+size AS (SELECT least({rows}, (SELECT count(*) FROM pool)) AS n),
+limits AS (SELECT CAST(ceil(log2(greatest(n, 2))) AS INT) AS most FROM size),
+at0 AS (SELECT tree, 1 AS node, v FROM dealt)"""]
+    path = "CASE WHEN n <= 1 THEN 0 WHEN n = 2 THEN 1 ELSE 2 * (ln(n - 1) + 0.5772156649015329) - 2 * (n - 1) / CAST(n AS DOUBLE) END"
+    for d in range(depth + 1):
+        before = "SELECT tree, node, CAST('-inf' AS DOUBLE) AS start FROM (SELECT DISTINCT tree, 1 AS node FROM at0)" if d == 0 else f"""
+  SELECT tree, 2 * node AS node, start FROM cuts{d - 1} UNION ALL SELECT tree, 2 * node + 1, cut FROM cuts{d - 1}"""
+        parts.append(f"""from{d} AS MATERIALIZED ({before}),
+nodes{d} AS MATERIALIZED (SELECT tree, node, start, n, lo, hi, {d} >= (SELECT most FROM limits) OR n <= 1 OR lo = hi AS leaf
+  FROM from{d} JOIN (SELECT tree, node, count(*) AS n, min(v) AS lo, max(v) AS hi FROM at{d} GROUP BY tree, node) USING (tree, node)),
+cuts{d} AS MATERIALIZED (SELECT tree, node, start, lo + CAST(CAST('0x' || substr(md5('{seed}|' || tree || '|' || node), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 * (hi - lo) AS cut
+  FROM nodes{d} WHERE NOT leaf),
+at{d + 1} AS MATERIALIZED (SELECT tree, 2 * node + CAST(v > cut AS INT) AS node, v FROM at{d} JOIN cuts{d} USING (tree, node))""")
+    leaves = " UNION ALL ".join(f"SELECT tree, start, {d} + {path} AS depth FROM nodes{d} WHERE leaf" for d in range(depth + 1))
+    parts.append(f"""steps AS MATERIALIZED (SELECT start, depth - coalesce(lag(depth) OVER (PARTITION BY tree ORDER BY start), 0) AS more FROM ({leaves})),
+paths AS MATERIALIZED (SELECT start, sum(more) OVER (ORDER BY start RANGE UNBOUNDED PRECEDING) AS total FROM (SELECT start, sum(more) AS more FROM steps GROUP BY start)),
+scored AS MATERIALIZED (SELECT k, v, round(pow(2, -(total / {trees}) / greatest({path}, 1e-12)), 9) AS score FROM vals ASOF JOIN paths ON v > start, size)""")
+    return ",\n".join(parts)
+
+
+@query("isolation_forest_filter", f"""WITH {_forest_sql()}
+SELECT k AS event_id, v AS value FROM scored WHERE score <= (SELECT quantile_cont(score, 0.95) FROM scored)""")
 def isolation_forest_filter(spark, folder):
     df = table(spark, folder, "events").select("event_id", "value")
     return outliers.isolation_forest_filter(df, ["value"], "event_id")
+
+
+@query("isolation_scores", f"WITH {_forest_sql()} SELECT k AS event_id, round(score, 6) AS score FROM scored")
+def isolation_scores(spark, folder):
+    df = table(spark, folder, "events").select("event_id", "value")
+    return outliers.isolation_scores(df, "value", "event_id").select("event_id", F.round("score", 6).alias("score"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
-from marquee.operators import cleaning, factors, interactions, terms, vectors
+from marquee.operators import cleaning, factors, interactions, posting_index, terms, text_vectors, vectors
 from marquee.plans.registry import query
 from marquee.sources import derived
 from marquee.sources.derived import CATALOG_SQL, RATINGS_SQL, catalog, ratings, table
-from marquee.sources.scratch import keep
+from marquee.sources.scratch import built_once, keep
 
 # Spark's English stop words, stated for the check engine.
 STOP_WORDS = (
@@ -117,6 +117,12 @@ def _seed_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return parts.join(docs, "id", "left")
 
 
+def _index(spark: SparkSession, folder: str) -> posting_index.PostingIndex:
+    """The stored index of the catalog, built by the first request that finds none for the present files."""
+    sources = [table(spark, folder, name) for name in ("part", "documents", "lineitem", "supplier", "nation")]
+    return built_once("posting-index", sources, lambda path: posting_index.build_index(keep(_seed_catalog(spark, folder), "seed-catalog"), path))
+
+
 _PAIR_SQL = """
   SELECT a.id AS seed_id, b.id AS item_id, round(sum(a.w * b.w), 9) AS score FROM {v} a JOIN {v} b ON a.term = b.term
   WHERE a.id IN (SELECT seed_id FROM seeds) GROUP BY 1, 2"""
@@ -150,23 +156,31 @@ SELECT seed_id, rank, item_id, score FROM (
 
 @query("similar_by_title", _blend_sql("SELECT min(id) AS seed_id FROM m WHERE title IN ('red bolt', 'small gear', 'blue ring') GROUP BY title"))
 def similar_by_title(spark, folder):
-    movies = _seed_catalog(spark, folder)
-    seeds, _ = terms.seeds_by_title(movies, ["red bolt", "small gear", "blue ring", "no such title", 7])
-    return terms.similar_to_seeds(terms.blended_features(movies), movies, seeds.select("seed_id"), 10)
+    index = _index(spark, folder)
+    seeds, _ = index.seeds_by_title(["red bolt", "small gear", "blue ring", "no such title", 7])
+    return index.similar(seeds.select("seed_id"), 10)
 
 
 @query("similar_by_id", _blend_sql("SELECT id AS seed_id FROM m WHERE id IN (3, 17, 42)"))
 def similar_by_id(spark, folder):
-    movies = _seed_catalog(spark, folder)
-    seeds, _ = terms.seeds_by_id(movies, [3, "17", 42, "abc", -1])
-    return terms.similar_to_seeds(terms.blended_features(movies), movies, seeds.select("seed_id"), 10)
+    index = _index(spark, folder)
+    seeds, _ = index.seeds_by_id([3, "17", 42, "abc", -1])
+    return index.similar(seeds.select("seed_id"), 10)
 
 
 @query("similar_truncated50", _blend_sql("SELECT id AS seed_id FROM m WHERE id IN (3, 17, 42)", nearest=50))
 def similar_truncated50(spark, folder):
+    index = _index(spark, folder)
+    seeds, _ = index.seeds_by_id([3, 17, 42])
+    return index.similar(seeds.select("seed_id"), 10, nearest=terms.NEAREST)
+
+
+@query("similar_without_index", _blend_sql("SELECT id AS seed_id FROM m WHERE id IN (5, 8)"))
+def similar_without_index(spark, folder):
+    """A single request on a catalog that is not indexed."""
     movies = _seed_catalog(spark, folder)
-    seeds, _ = terms.seeds_by_id(movies, [3, 17, 42])
-    return terms.similar_to_seeds(terms.blended_features(movies), movies, seeds.select("seed_id"), 10, nearest=terms.NEAREST)
+    seeds, _ = terms.seeds_by_id(movies, [5, 8])
+    return terms.similar_to_seeds(terms.blended_features(movies), movies, seeds.select("seed_id"), 10)
 
 
 @query("seed_titles", f"""WITH {CATALOG_SQL}
@@ -224,6 +238,31 @@ def vector_neighbours_cosine(spark, folder):
     return vectors.neighbours(derived.vectors(spark, folder), 100, "cosine").withColumn("score", F.round("score", 5))
 
 
+_PROJECTED_SQL = f"""{_tfidf_sql('documents', 'doc_id', 'text', 'v')},
+spots AS (SELECT id, w, CAST('0x' || substr(md5(term), 4 * j + 1, 2) AS INT) % 64 AS pos,
+  CASE WHEN CAST('0x' || substr(md5(term), 4 * j + 3, 2) AS INT) % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign FROM v, (SELECT unnest(range(4)) AS j)),
+coords AS (SELECT id, pos, sum(w * sign) / 2 AS x FROM spots GROUP BY 1, 2),
+dense AS MATERIALIZED (SELECT id, list(coalesce(x, 0) ORDER BY pos) AS vec FROM (SELECT DISTINCT id FROM coords) CROSS JOIN (SELECT unnest(range(64)) AS pos)
+  LEFT JOIN coords USING (id, pos) GROUP BY id)"""
+
+
+@query("text_vectors", f"WITH {_PROJECTED_SQL} SELECT id, unnest(range(64)) AS pos, unnest(list_transform(vec, lambda x: round(x, 6) + 0.0)) AS x FROM dense")
+def projected_texts(spark, folder):
+    """Every coordinate of every document's vector."""
+    found = text_vectors.text_vectors(table(spark, folder, "documents"), "doc_id", "text", STOP_WORDS)
+    return found.select("id", F.posexplode("vector").alias("pos", "x")).select("id", F.col("pos").cast("bigint").alias("pos"), (F.round("x", 6) + 0.0).alias("x"))
+
+
+@query("similar_texts", f"""WITH {_PROJECTED_SQL} SELECT query_id, rank, item_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
+    SELECT a.id AS query_id, b.id AS item_id, round(list_cosine_similarity(a.vec, b.vec), 9) AS score FROM dense a, dense b)) WHERE rank <= 5""")
+def similar_texts(spark, folder):
+    """From the texts of documents to vectors to the nearest documents."""
+    items = keep(text_vectors.text_vectors(table(spark, folder, "documents"), "doc_id", "text", STOP_WORDS), "text-vectors")
+    hits = vectors.vector_topk(items.select(F.col("id").alias("query_id"), "vector"), items, 5, "cosine")
+    return hits.withColumn("score", F.round("score", 6))
+
+
 _USER_VECTORS_SQL = f"""{RATINGS_SQL}, uv AS (SELECT user_id, pos, avg(v) AS v FROM (
     SELECT user_id, unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS pos
     FROM ratings JOIN embeddings ON movie_id = vec_id) GROUP BY 1, 2)"""
@@ -471,7 +510,7 @@ def auc_from_scores(spark, folder):
     return df.withColumns({c: F.round(c, 6) for c in df.columns if c != "split"})
 
 
-# --- factor models: results depend on the trainer, so only rows are checked --------------------
+# --- factor models --------------------------------------------------------------------------
 
 
 @query("hybrid_factor_topn")
@@ -481,23 +520,112 @@ def hybrid_factor_topn(spark, folder):
     return factors.top_items(users, items, catalog(spark, folder), 5)
 
 
-@query("logistic_fm")
+_FM_FACTORS, _FM_ROUNDS, _FM_RATE = 4, 4, 0.2
+
+
+def _fm_sql(factors: int, rounds: int, rate: float) -> str:
+    """The same descent in SQL: factors are columns, tokens and users tables, each round a group of CTEs."""
+    ks = range(factors)
+
+    def start(name: str) -> str:
+        return ", ".join(f"(CAST(CAST('0x' || substr(md5('42|' || {name} || '|{k + 1}'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0 - 0.5) * 0.1 AS v{k}"
+                         for k in ks)
+
+    zeros = ", ".join(f"CAST(0 AS DOUBLE) AS a{k}" for k in ks)
+    v, s = ", ".join(f"v{k}" for k in ks), ", ".join(f"s{k}" for k in ks)
+    sums = ", ".join(f"sum(v{k}) AS s{k}" for k in ks)
+    half = "(" + " + ".join(f"sum(v{k}) * sum(v{k})" for k in ks) + " - sum(" + " + ".join(f"v{k} * v{k}" for k in ks) + ")) / 2"
+    dot = " + ".join(f"v{k} * s{k}" for k in ks)
+    parts = [f"""train AS MATERIALIZED (SELECT user_id, movie_id, CAST(rating >= 25 AS INT) AS y FROM ratings WHERE {_HELD_SQL} >= 0.2),
+test AS (SELECT user_id, movie_id FROM ratings WHERE {_HELD_SQL} < 0.2),
+names AS MATERIALIZED (SELECT DISTINCT movie_id, unnest(list_concat(['item:' || movie_id], list_transform(features, lambda f: 'feature:' || f))) AS token FROM features),
+trained AS MATERIALIZED (SELECT * FROM names SEMI JOIN train USING (movie_id)),
+u0 AS MATERIALIZED (SELECT user_id, CAST(0 AS DOUBLE) AS w, {start("'user:' || user_id")}, CAST(0 AS DOUBLE) AS aw, {zeros} FROM (SELECT DISTINCT user_id FROM train)),
+t0 AS MATERIALIZED (SELECT token, CAST(0 AS DOUBLE) AS w, {start('token')}, CAST(0 AS DOUBLE) AS aw, {zeros} FROM (SELECT DISTINCT token FROM trained)),
+b0 AS (SELECT CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS a)"""]
+
+    def item(r: int, rel: str) -> str:
+        return f"SELECT movie_id, sum(w) AS iw, {half} AS own, {sums} FROM {rel} JOIN t{r} USING (token) GROUP BY movie_id"
+
+    def moved(key: str, r: int, grads: str, after: str) -> str:
+        g = {k: f"coalesce(g{k}{after.format(k=k)}, 0)" for k in ks}
+        new = [f"m.w - {rate} * coalesce(gw, 0) / sqrt(aw + coalesce(gw, 0) ** 2 + 0.01) AS w",
+               *[f"m.v{k} - {rate} * {g[k]} / sqrt(a{k} + {g[k]} ** 2 + 0.01) AS v{k}" for k in ks],
+               "aw + coalesce(gw, 0) ** 2 AS aw", *[f"a{k} + {g[k]} ** 2 AS a{k}" for k in ks]]
+        name = "u" if key == "user_id" else "t"
+        return f"{name}{r + 1} AS MATERIALIZED (SELECT m.{key}, {', '.join(new)} FROM {name}{r} m LEFT JOIN ({grads}) g ON m.{key} = g.{key})"
+
+    for r in range(rounds):
+        parts += [f"i{r} AS MATERIALIZED ({item(r, 'trained')})",
+                  f"""e{r} AS MATERIALIZED (SELECT user_id, movie_id, 1 / (1 + exp(-(b + u.w + iw + own + {dot}))) - y AS g, {v}, {s}
+  FROM train JOIN i{r} USING (movie_id) JOIN u{r} u USING (user_id), b{r})""",
+                  moved("user_id", r, "SELECT user_id, sum(g) AS gw, " + ", ".join(f"sum(g * s{k}) AS g{k}" for k in ks) + f" FROM e{r} GROUP BY user_id", ""),
+                  moved("token", r, "SELECT token, sum(g) AS gw, " + ", ".join(f"sum(p{k}) AS g{k}" for k in ks) + " FROM trained JOIN (SELECT movie_id, g, "
+                        + ", ".join(f"gu{k} + s{k} * g AS p{k}" for k in ks) + " FROM (SELECT movie_id, sum(g) AS g, "
+                        + ", ".join(f"sum(g * v{k}) AS gu{k}" for k in ks) + f" FROM e{r} GROUP BY movie_id) JOIN i{r} USING (movie_id)) USING (movie_id) GROUP BY token",
+                        " - m.v{k} * gw"),
+                  f"b{r + 1} AS (SELECT b - {rate} * g / sqrt(a + g * g + 0.01) AS b, a + g * g AS a FROM b{r}, (SELECT sum(g) AS g FROM e{r}))"]
+    parts.append(f"i{rounds} AS ({item(rounds, 'names')})")
+    return ",\n".join(parts) + f"""
+SELECT user_id, movie_id, round(1 / (1 + exp(-(b + coalesce(u.w, 0) + coalesce(iw, 0) + coalesce(own, 0) + coalesce({dot}, 0)))), 6) AS score
+FROM test LEFT JOIN i{rounds} USING (movie_id) LEFT JOIN u{rounds} u USING (user_id), b{rounds}"""
+
+
+_HELD_SQL = f"CAST('0x' || substr({_DRAW_SQL}, 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query("logistic_fm", f"WITH {CATALOG_SQL}, {RATINGS_SQL}, {_FEATURES_SQL}, {_fm_sql(_FM_FACTORS, _FM_ROUNDS, _FM_RATE)}")
 def logistic_fm(spark, folder):
+    """Scores of the pairs held back; the model is trained on the others."""
     weighted = interactions.interaction_weights(ratings(spark, folder), "condition_25")
     train, test = interactions.split_interactions(weighted, "random")
-    features = _features(spark, folder)
-    model = factors.fit_by_loss("logistic", train, features, iterations=5)
-    return factors.logistic_scores(model, test, features)
+    features = keep(_features(spark, folder), "features")
+    model = factors.fit_by_loss("logistic", train, features, factors=_FM_FACTORS, iterations=_FM_ROUNDS, rate=_FM_RATE)
+    return factors.logistic_scores(model, test, features).withColumn("score", F.round("score", 6))
 
 
 @query("logistic_fm_pairs", f"""WITH {RATINGS_SQL}
 SELECT user_id, movie_id, true AS in_range FROM ratings
 WHERE CAST('0x' || substr({_DRAW_SQL}, 1, 8) AS BIGINT) / 4294967296.0 < 0.2""")
 def logistic_fm_pairs(spark, folder):
-    """What does not depend on the trainer: one score between 0 and 1 for every pair held back."""
+    """One score between 0 and 1 for every pair held back."""
     return logistic_fm(spark, folder).select("user_id", "movie_id", F.col("score").between(0, 1).alias("in_range"))
 
 
+TASTES = 5
+
+
+def _planted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Interactions in which a user only likes the items of one taste, and items with their taste as a feature."""
+    liked = ratings(spark, folder).filter((F.col("user_id") + F.col("movie_id")) % TASTES == 0).select(
+        "user_id", "movie_id", F.lit(1.0).alias("weight"))
+    items = table(spark, folder, "part").select(F.col("p_partkey").alias("movie_id"), F.array(
+        F.concat(F.lit("taste "), (F.col("p_partkey") % TASTES).cast("string"))).alias("features"))
+    return liked, items
+
+
+def _best_taste(spark: SparkSession, folder: str, loss: str) -> DataFrame:
+    """The taste of each user's best item, by the model alone."""
+    liked, items = _planted(spark, folder)
+    user_vectors, item_vectors = factors.fit_by_loss(loss, liked, items, rank=8, epochs=12, rate=0.5)
+    best = vectors.vector_topk(user_vectors, item_vectors, 1, "dot", query_id="user_id")
+    return best.select("user_id", (F.col("item_id") % TASTES).alias("taste"))
+
+
+_TASTE_SQL = f"""WITH {RATINGS_SQL} SELECT DISTINCT user_id, ({TASTES} - user_id % {TASTES}) % {TASTES} AS taste
+FROM ratings WHERE (user_id + movie_id) % {TASTES} = 0"""
+
+
+@query("warp_planted_taste", _TASTE_SQL)
+def warp_planted_taste(spark, folder):
+    return _best_taste(spark, folder, "warp")
+
+
+@query("bpr_planted_taste", _TASTE_SQL)
+def bpr_planted_taste(spark, folder):
+    return _best_taste(spark, folder, "bpr")
+
+
 @query("hybrid_factor_ranks", f"""WITH {RATINGS_SQL}
 SELECT user_id, 5 AS hits, 5 AS last_rank, true AS falling FROM (SELECT DISTINCT user_id FROM ratings WHERE rating >= 25)""")
 def hybrid_factor_ranks(spark, folder):

@@ -9,7 +9,7 @@ from marquee.functions.spread import BROADCAST_ROWS
 from marquee.operators import cleaning, star
 from marquee.plans.registry import query
 from marquee.sources.derived import CATALOG_SQL, catalog, table
-from marquee.sources.scratch import keep
+from marquee.sources.scratch import buckets_for, keep, keep_bucketed
 
 # Words that the stop-word and lemma queries use; both engines get the same list.
 STOP_WORDS = ["the", "of", "and", "in", "la", "le", "des", "der", "die", "und"]
@@ -45,14 +45,15 @@ cleaned AS (
 
 
 def star_built(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The 12 tables as the transform job makes them: from a written catalog, with dimensions read
-    back before the bridges use them."""
+    """The 12 tables as the transform job makes them, written: what has a movie_id is bucketed by it."""
     df = keep(star_input(spark, folder), "cleaned")
+    buckets = buckets_for(df.count(), spark.sparkContext.defaultParallelism)
     tables = {"dim_movie": star.movie_dimension(df), "fact_movie": star.movie_fact(df)}
+    tables = {name: keep_bucketed(t, name, "movie_id", buckets) for name, t in tables.items()}
     for spec in star.LIST_DIMENSIONS:
         dim = keep(star.dimension_from_list(df, spec.source, id_col=spec.id_col, value_col=spec.value_col), spec.dim)
         tables[spec.dim] = dim
-        tables[spec.bridge] = star.bridge_for(df, dim, spec, BROADCAST_ROWS)
+        tables[spec.bridge] = keep_bucketed(star.bridge_for(df, dim, spec, BROADCAST_ROWS), spec.bridge, "movie_id", buckets)
     return tables
 
 

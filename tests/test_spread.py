@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from marquee.sources.scratch import keep
 from marquee.functions.spread import (
     dense_ids, exact_quantiles, fits_broadcast, ordered_ids, rank_within, salted_lookup, top_n,
 )
@@ -18,15 +19,13 @@ def _hot(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**9])
+@pytest.mark.parametrize("piece_rows", [100, 10**9])
 @pytest.mark.parametrize("values", [500, 3, 1])
-@pytest.mark.parametrize("cut_ties", [True, False])
-def test_rank_within_equals_a_plain_window(spark, hot_rows, values, cut_ties):
+def test_rank_within_equals_a_plain_window(spark, piece_rows, values):
     from pyspark.sql import Window
 
     df = _hot(spark).withColumn("v", F.pmod("v", F.lit(values)))
-    tie = F.col("id") if cut_ties else None
-    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", hot_rows=hot_rows, tie_value=tie)
+    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", piece_rows=piece_rows)
     w = Window.partitionBy("g")
     want = df.withColumn("r", F.row_number().over(w.orderBy("v", "id"))).withColumn("n", F.count("*").over(w))
     key = lambda df: sorted((r["id"], r["r"], r["n"]) for r in df.collect())
@@ -35,16 +34,23 @@ def test_rank_within_equals_a_plain_window(spark, hot_rows, values, cut_ties):
 
 def test_rank_within_puts_nulls_last_in_hot_groups(spark):
     df = _hot(spark).withColumn("v", F.when(F.col("id") % 10 != 0, F.col("v")))
-    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", hot_rows=10).filter("g = 0")
+    got = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", piece_rows=100).filter("g = 0")
     last_value = got.filter("v is not null").agg(F.max("r")).first()[0]
     assert got.filter("v is null").agg(F.min("r")).first()[0] == last_value + 1
 
 
-def test_one_value_of_a_hot_group_is_sorted_in_pieces(spark):
-    df = spark.range(4000).select(F.lit(1).alias("g"), F.lit(7.0).alias("v"), "id")
-    ranked = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", hot_rows=10, tie_value=F.col("id"))
-    assert ranked.filter("r <> id + 1").count() == 0
-    assert "_sub" in ranked._jdf.queryExecution().executedPlan().toString()
+def test_a_group_of_most_rows_is_ranked_in_even_pieces(spark, monkeypatch):
+    """Nine tenths of the rows in one group, all of one value: no piece holds much more than its share."""
+    from marquee.functions import spread
+
+    seen = []
+    monkeypatch.setattr(spread, "keep", lambda df, label: seen.append((label, keep(df, label))) or seen[-1][1])
+    df = spark.range(40_000).select(F.when(F.col("id") % 10 > 0, 1).otherwise(F.col("id")).alias("g"), F.lit(7.0).alias("v"), "id")
+    ranked = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", piece_rows=2_000)
+    big = ranked.filter("g = 1 and n = 36000").agg(F.count("*"), F.count_distinct("r"), F.min("r"), F.max("r")).first()
+    assert tuple(big) == (36_000, 36_000, 1, 36_000)
+    pieces = [r["n"] for r in dict(seen)["pieces"].groupBy("_piece").agg(F.count("*").alias("n")).collect()]
+    assert len(pieces) == 20 and max(pieces) < 2 * 2_000
 
 
 def test_dense_ids_do_not_depend_on_partitions(spark):
