@@ -13,10 +13,11 @@ one by one:
 
 1. Every node is compared with the least of the nodes that lead its buckets. What links is one component.
 2. In buckets that hold several components a node outside the largest one is compared with every node of
-   another component. Up to FEW such nodes a bucket these are at most FEW pairs a row.
-3. Buckets with more of them are dealt by size and cut by hash into parts of bounded rows and bytes. Each pair
-   of parts is a cell: shingles that several of its sets have are columns of a 0/1 matrix, intersections are
-   one matrix product, and a cell hands on one link a node.
+   another component: as pairs where there are up to FEW such nodes, or 4 * FEW nodes in all.
+3. Other buckets are dealt by size and cut by hash into parts of bounded rows and bytes: the nodes outside the
+   largest component, and all nodes. A part of the ones and a part of the others make a cell: shingles that
+   several of its sets have are columns of a 0/1 matrix, intersections are one matrix product, and a cell hands
+   on one link a node.
 
 Pairs inside one component need no comparison, so a group of many copies costs one comparison a member. Before
 sets travel, every comparison is made on bitmaps a sixteenth of their size: a bit that one set has and the other
@@ -50,8 +51,8 @@ cloudpickle.register_pickle_by_value(sys.modules["marquee.llm.simhash"])
 SetsOf = Callable[[DataFrame], DataFrame]
 PERCENT = 80
 BANDS, ROWS = 48, 6
-FEW = 64
-CELL_ROWS = 256
+FEW = 4
+CELL_ROWS = 512
 CELL_BYTES = 8 << 20
 SEED = 42
 MOST_WORDS = 200_000  # word hashes a task remembers
@@ -255,20 +256,25 @@ def cell_candidates(root: np.ndarray, size: np.ndarray, bits: list[np.ndarray],
 
 
 def _by_cells(rows: DataFrame, sets: DataFrame, bytes_each: float, solve, schema: str) -> DataFrame:
-    """Cells of (bucket, rid, n, root): parts of each bucket in pairs, with the set of `sets` (rid, set), each given to `solve`."""
-    parts = rows.groupBy("bucket").agg(F.greatest(
-        F.ceil(F.count("*") / CELL_ROWS), F.ceil(F.sum("n") * bytes_each / CELL_BYTES)).cast("int").alias("parts"))
-    placed = rows.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(
-        F.least(F.col("part"), o).alias("i"), F.greatest(F.col("part"), o).alias("j")))
-    met = placed.join(sets, "rid").select(
-        "bucket", F.explode(cells).alias("c"), "part", "rid", "n", "root", "set").select("bucket", "c.i", "c.j", "part", "rid", "n", "root", "set")
-    return met.groupBy("bucket", "i", "j").applyInPandas(solve, schema)
+    """Cells of (bucket, rid, n, root) with the set of `sets` (rid, set), each given to `solve`.
 
-
-def _first_part(rows: pd.DataFrame) -> np.ndarray | None:
-    """Of a cell of two parts the rows of the first; None for a part by itself."""
-    return (rows["part"] == rows["i"]).to_numpy() if rows["i"].iloc[0] != rows["j"].iloc[0] else None
+    Rows outside the largest component of a bucket (side 1) meet all its rows (side 0): parts of the ones with
+    parts of the others. While the former fit one part, a row travels once for its bucket.
+    """
+    def parts(count: str, members: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(count) / CELL_ROWS), F.ceil(F.col(members) * bytes_each / CELL_BYTES)).cast("int")
+
+    roots = rows.groupBy("bucket", "root").agg(F.count("*").alias("k"), F.sum("n").alias("m"))
+    sizes = roots.groupBy("bucket").agg(F.max_by("root", "k").alias("main"), F.sum("k").alias("c"), F.sum("m").alias("cm"),
+                                        (F.sum("k") - F.max("k")).alias("o"), (F.sum("m") - F.max_by("m", "k")).alias("om")).select(
+        "bucket", "main", parts("c", "cm").alias("all"), parts("o", "om").alias("few"))
+    placed = rows.join(sizes, "bucket")
+    every = placed.select("bucket", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"),
+                          F.pmod(F.xxhash64("rid"), F.col("all")).cast("int").alias("j"), F.lit(0).alias("side"), "rid", "n", "root")
+    apart = placed.filter(F.col("root") != F.col("main")).select(
+        "bucket", F.pmod(F.xxhash64("rid", F.lit(1)), F.col("few")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), F.lit(1).alias("side"), "rid", "n", "root")
+    return every.unionByName(apart).join(sets, "rid").groupBy("bucket", "i", "j").applyInPandas(solve, schema)
 
 
 def _gathered(crowded: DataFrame) -> DataFrame:
@@ -302,11 +308,11 @@ def _cells(crowded: DataFrame, signed: DataFrame, sets_of: SetsOf, percent: int)
     rows = keep(classed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"), "classed")
 
     def narrow(cell: pd.DataFrame) -> pd.DataFrame:
-        found = cell_candidates(cell["root"].to_numpy(), cell["n"].to_numpy(), [np.frombuffer(b, np.uint8) for b in cell["set"]], _first_part(cell), percent)
+        found = cell_candidates(cell["root"].to_numpy(), cell["n"].to_numpy(), [np.frombuffer(b, np.uint8) for b in cell["set"]], (cell["side"] == 1).to_numpy(), percent)
         return cell.loc[found, ["bucket", "rid", "n", "root"]]
 
     def solve(cell: pd.DataFrame) -> pd.DataFrame:
-        a, b = cell_links(cell["rid"].to_numpy(), cell["root"].to_numpy(), [np.frombuffer(m, "<u8") for m in cell["set"]], _first_part(cell), percent)
+        a, b = cell_links(cell["rid"].to_numpy(), cell["root"].to_numpy(), [np.frombuffer(m, "<u8") for m in cell["set"]], (cell["side"] == 1).to_numpy(), percent)
         return pd.DataFrame({"a": a, "b": b})
 
     marks = keep(signed.join(rows.select("rid").distinct(), "rid", "left_semi").select("rid", F.col("bits").alias("set")), "marks")
@@ -329,16 +335,16 @@ def links(signed: DataFrame, sets_of: SetsOf, percent: int = PERCENT, few: int =
         tied.select(F.col("node").alias("rid"), "root"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     counts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("k"))
     mixed = counts.groupBy("bucket").agg(
-        F.count("*").alias("roots"), F.max_by("root", "k").alias("main"), (F.sum("k") - F.max("k")).alias("rest")).filter("roots > 1")
-    left = keep(rooted.join(mixed.select("bucket", "main", "rest"), "bucket"), "mixed")
-    # at most `few` of a bucket are listed
-    listed = left.filter((F.col("rest") <= few) & (F.col("root") != F.col("main"))).groupBy("bucket").agg(
+        F.count("*").alias("roots"), F.max_by("root", "k").alias("main"), F.when((F.sum("k") - F.max("k") <= few) | (F.sum("k") <= 4 * few), True).otherwise(False).alias("small")).filter("roots > 1")
+    left = keep(rooted.join(mixed.select("bucket", "main", "small"), "bucket"), "mixed")
+    # of a bucket at most `few` are listed, or as many of 4 * `few` in all
+    listed = left.filter(F.col("small") & (F.col("root") != F.col("main"))).groupBy("bucket").agg(
         F.collect_list(F.struct(F.col("rid").alias("other"), F.col("n").alias("m"), F.col("root").alias("at"))).alias("others"))
     second = left.join(listed, "bucket").select("rid", "n", "root", F.inline("others")).filter(
         (F.col("root") != F.col("at")) & _fit("n", "m", percent)).select(
         F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct()
     more = confirmed(second, signed, sets_of, percent)
-    rest = _cells(left.filter(F.col("rest") > few).select("bucket", "rid", "n", "root"), signed, sets_of, percent)
+    rest = _cells(left.filter(~F.col("small")).select("bucket", "rid", "n", "root"), signed, sets_of, percent)
     return tied.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).unionByName(rest)
 
 
