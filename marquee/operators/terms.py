@@ -20,7 +20,7 @@ TERM_SALTS = 64
 MAX_SEEDS = 10_000
 SIGNATURE_TERMS = 8
 TERM_CHUNK = 1_000  # queries, and items, of one term that meet in one task
-LEVELS = 8  # steps in which postings are told apart by what they can reach
+LEVELS = 16  # steps in which postings are told apart by what they can reach
 _MARGIN = 1e-9  # room for floating-point noise in every pruning test
 GENRE_WEIGHT, OVERVIEW_WEIGHT, KEYWORD_WEIGHT = 0.2, 0.5, 0.3
 NEAREST = 50
