@@ -58,7 +58,7 @@ def starting_centroids(whole: DataFrame, k: int = CENTROIDS) -> np.ndarray:
     """The k vectors of least sha256 of the seed text and their id, in that order."""
     mark = F.sha2(F.concat(F.lit(SEED_TEXT), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))).cast("binary"), 256)
     rows = whole.select(mark.alias("mark"), "v").orderBy("mark", "v").limit(k).collect()  # k rows
-    return np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], dtype=np.int64) if rows else np.zeros((0, WIDTH), dtype=np.int64)
 
 
 def squared(v: np.ndarray, c: np.ndarray) -> np.ndarray:

@@ -403,8 +403,10 @@ def test_next_document_over_many_buckets(spark, monkeypatch):
     assert got == {i * i: str((i + 1) % 200) for i in range(200)}
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("op") and n != "op7_url_filter"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("op")])
 def test_empty_tables(spark, tmp_path, name):
+    spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert QUERIES[name](spark, str(tmp_path)).collect() == []
@@ -414,8 +416,7 @@ def test_empty_tables(spark, tmp_path, name):
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("op")])
 def test_query_returns_its_whole_table(spark, name):
     rows = QUERIES[name](spark, FOLDER)
-    key = "page_id" if "page_id" in rows.columns else "doc_id"
-    table = "pages" if key == "page_id" else "documents"
+    key, table = next((k, t) for k, t in (("page_id", "pages"), ("vec_id", "embeddings"), ("doc_id", "documents")) if k in rows.columns)
     assert {r[key] for r in rows.select(key).collect()} == {r[key] for r in spark.read.parquet(f"{FOLDER}/{table}.parquet").select(key).collect()}
 
 
