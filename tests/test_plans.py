@@ -45,8 +45,6 @@ def test_profiles_take_one_pass(spark):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cartesian_product(spark, name):
-    if name in ("hybrid_factor_topn", "logistic_fm", "etl_to_enriched_export", "cosine_topk", "jaccard_topk"):
-        pytest.skip("runs jobs while it is planned; its operators are covered one by one")
     text = plan(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
