@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from marquee.sources.scratch import keep
 
 PIECE_ROWS = 1_000_000    # rows that are put in order by one task
-ROWS_A_CORE = 50_000      # fewer are not worth a task of their own
 KEY_BUCKETS = 256         # pieces of a table that is numbered by a key
 ID_BUCKETS = 4096         # pieces of a table-wide numbering (three hexadecimal digits)
 LOOKUP_SALTS = 16
@@ -105,16 +104,14 @@ def rank_within(
     """Exact 1-based rank of every row in its group, by `sort_value` (numeric) and then `ties`.
 
     The rows are range-partitioned by group, value and ties into pieces of about PIECE_ROWS rows, whatever the
-    groups: a small group lies in one piece, a large one in as many as it fills. A row's rank is its place among
+    groups (a table of one piece is left where it lies): a small group lies in one piece, a large one in as many as it fills. A row's rank is its place among
     its group's rows of the piece, and the group's rows in earlier pieces. Only groups that span pieces need
     that sum, and neighbouring pieces share one group at most, so the table of sums has fewer than two rows a
     piece and is broadcast.
     """
     piece_rows = piece_rows or PIECE_ROWS
     kept = keep(df.withColumn("_v", sort_value.cast("double")), "to-rank")
-    rows = kept.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    pieces = max(-(-rows // piece_rows), min(cores, -(-rows // ROWS_A_CORE)), 1)
+    pieces = max(-(-kept.count() // piece_rows), 1)
     names = [F.col(g).asc_nulls_first() for g in group]
     order = [F.col("_v").asc_nulls_last(), *ties]
     dealt = kept
