@@ -12,7 +12,8 @@ source, which a hash rounds. A level is one shuffle of narrow rows and is writte
 lost executor repeats a level at most. All randomness is a hash of ids, so reruns agree.
 
 Defined cases: null text has size 0; a document of size 0 is never taken; a null source is a source, the
-last one; repeated rows are decided each by itself; an empty table gives an empty table; columns other
+last one; repeated rows (one source, id and size, or no id) are counted first and then decided each by itself
+under a number of its own, so they spread over blocks like any others; an empty table gives an empty table; columns other
 than doc_id, text and source are neither read nor returned.
 """
 
@@ -27,6 +28,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 BLOCK = 64
+RUN = 100_000    # equal rows made by one task at a time
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES) -> DataFrame:
@@ -60,8 +62,24 @@ def size_of() -> Column:
     return F.size(words(text_of("text"))).cast("bigint")
 
 
-def _entry(doc_id: Column, size: Column, mass: Column) -> Column:
-    return F.struct(doc_id.alias("doc_id"), size.alias("size"), mass.cast("double").alias("mass"))
+def one_by_one(sized: DataFrame, run: int = RUN) -> DataFrame:
+    """The rows of (source, doc_id, size) with a number `nth`, 0, 1, ... among equal ones.
+
+    Equal rows are interchangeable, so they are counted and made again from the count, in runs of `run` rows
+    that are dealt over the tasks: a row that stands for a third of the table neither meets itself in one task
+    nor comes out of one.
+    """
+    names = ["source", "doc_id", "size"]
+    counted = keep(sized.groupBy(*names).agg(F.count("*").alias("n")), "counted")
+    few = counted.filter(F.col("n") <= run).withColumn("first", F.lit(0).cast("bigint"))
+    many = counted.filter(F.col("n") > run).withColumn(
+        "first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run).cast("bigint")))).repartition(*names, "first")
+    last = F.least(F.col("first") + (run - 1), F.col("n") - 1)
+    return few.unionByName(many).select(*names, F.explode(F.sequence("first", last)).alias("nth"))
+
+
+def _entry(doc_id: Column, nth: Column, size: Column, mass: Column) -> Column:
+    return F.struct(doc_id.alias("doc_id"), size.alias("size"), mass.cast("double").alias("mass"), nth.alias("nth"))
 
 
 def _decided(one: Column, extra: Column) -> Column:
@@ -73,20 +91,21 @@ def _pair(state: Column, new: Column, salt: int) -> Column:
     old = state["open"]
     into_old = F.least(old["size"] - old["mass"], new["mass"])   # what may move to the old one
     into_new = F.least(old["mass"], new["size"] - new["mass"])   # what may move to the new one
-    towards_old = uniform(F.lit(salt), old["doc_id"], new["doc_id"], old["size"], new["size"]) * (into_old + into_new) < into_new
+    towards_old = uniform(
+        F.lit(salt), old["doc_id"], old["nth"], new["doc_id"], new["nth"], old["size"], new["size"]) * (into_old + into_new) < into_new
     old_fills = old["size"] - old["mass"] <= new["mass"]
     old_empties = old["mass"] <= new["size"] - new["mass"]
 
     def after(done: Column, extra: int, stays: Column, mass: Column) -> Column:
         return F.struct(F.concat(state["out"], F.array(_decided(done, F.lit(extra)))).alias("out"),
-                        _entry(stays["doc_id"], stays["size"], mass).alias("open"))
+                        _entry(stays["doc_id"], stays["nth"], stays["size"], mass).alias("open"))
 
     whole = (old["mass"] <= 0) | (old["mass"] >= old["size"])
     return (
-        F.when(old["size"].isNull(), F.struct(state["out"].alias("out"), _entry(new["doc_id"], new["size"], new["mass"]).alias("open")))
+        F.when(old["size"].isNull(), F.struct(state["out"].alias("out"), _entry(new["doc_id"], new["nth"], new["size"], new["mass"]).alias("open")))
         .when(whole, F.struct(
             F.concat(state["out"], F.array(_decided(old, F.when(old["mass"] > 0, 1).otherwise(0)))).alias("out"),
-            _entry(new["doc_id"], new["size"], new["mass"]).alias("open")))
+            _entry(new["doc_id"], new["nth"], new["size"], new["mass"]).alias("open")))
         .when(towards_old & old_fills, after(old, 1, new, new["mass"] - into_old))
         .when(towards_old, after(new, 0, old, old["mass"] + into_old))
         .when(old_empties, after(old, 0, new, new["mass"] + into_new))
@@ -95,12 +114,12 @@ def _pair(state: Column, new: Column, salt: int) -> Column:
 
 
 def _level(items: DataFrame, id_type: str, salt: int, block: int) -> DataFrame:
-    """Fold blocks of (source, doc_id, size, mass, blocks): decided documents and one left over a block."""
+    """Fold blocks of (source, doc_id, nth, size, mass, blocks): decided documents and one left over a block."""
     dealt = items.withColumn("blocks", F.ceil(F.col("blocks") / block)).withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(salt), "doc_id", "size"), F.col("blocks")))
-    entry = _entry(F.col("doc_id"), F.col("size"), F.col("mass"))
+        "block", F.pmod(F.xxhash64(F.lit(salt), "doc_id", "nth", "size"), F.col("blocks")))
+    entry = _entry(F.col("doc_id"), F.col("nth"), F.col("size"), F.col("mass"))
     start = F.struct(F.array().cast(f"array<struct<doc_id:{id_type},size:bigint,extra:int>>").alias("out"),
-                     F.lit(None).cast(f"struct<doc_id:{id_type},size:bigint,mass:double>").alias("open"))
+                     F.lit(None).cast(f"struct<doc_id:{id_type},size:bigint,mass:double,nth:bigint>").alias("open"))
     return (
         dealt.groupBy("source", "block", "blocks")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("turn"), entry.alias("one")))).alias("all"))
@@ -116,11 +135,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     goals = keep(targets(sized, weights, share), "targets")
     goal = goals.select(F.col("source").alias("of"), "source_size", "target", "docs")
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of")), "left").drop("of").withColumn("expected", expected).withColumn(
+    rows = one_by_one(sized).join(goal, F.col("source").eqNullSafe(F.col("of")), "left").drop("of").withColumn("expected", expected).withColumn(
         "whole", F.floor("expected").cast("int"))
     fraction = F.col("expected") - F.col("whole")
     split = (F.col("size") > 0) & (fraction > 0)
-    open_rows = rows.filter(split).select("source", "doc_id", "size", (fraction * F.col("size")).alias("mass"), F.col("docs").alias("blocks"))
+    open_rows = rows.filter(split).select("source", "doc_id", "nth", "size", (fraction * F.col("size")).alias("mass"), F.col("docs").alias("blocks"))
     settled = rows.filter(~split).select("source", "doc_id", "size", F.lit(0).alias("extra"))
 
     left, parts, salt = open_rows, [settled], 0
@@ -128,12 +147,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     while True:
         level = keep(_level(left, id_type, salt, block), "mix-level")
         parts.append(level.select("source", F.inline("out")))
-        left = level.select("source", F.col("open.doc_id").alias("doc_id"), F.col("open.size").alias("size"),
+        left = level.select("source", F.col("open.doc_id").alias("doc_id"), F.col("open.nth").alias("nth"), F.col("open.size").alias("size"),
                             F.col("open.mass").alias("mass"), "blocks")
         most, salt = -(-most // block), salt + 1
         if most <= 1:
             break
-    last = uniform(F.lit("last"), F.col("doc_id"), F.col("size")) * F.col("size") < F.col("mass")
+    last = uniform(F.lit("last"), F.col("doc_id"), F.col("nth"), F.col("size")) * F.col("size") < F.col("mass")
     parts.append(left.select("source", "doc_id", "size", last.cast("int").alias("extra")))
     out = parts[0]
     for part in parts[1:]:

@@ -8,8 +8,7 @@ document's score is the mean of log(target / raw) over its n-grams, so it does n
 a document is kept if the score reaches THRESHOLD. Nothing is drawn at random: the same text always gets
 the same verdict against the same corpus.
 
-The raw counts cover all documents. The trusted documents are the documents labelled good, at most TRUSTED
-of them in the order of a hash of their id (a bounded fit sample, found by its ids).
+The raw counts cover all documents, the target counts all documents labelled good.
 
 The base rule comes first: fewer than LEAST_WORDS words, or more than MOST_REPEATED percent of words in
 8-word windows that occur more than once in the text, fails.
@@ -23,11 +22,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from marquee.functions.spread import BROADCAST_ROWS, checked_lookup
 from marquee.llm.common import WORD_BREAK, bind, constant_array, text_of, words
 from marquee.sources.scratch import keep
 
 CELLS = 1 << 16         # the first half holds words, the second word pairs
-TRUSTED = 20_000
 SMOOTHING = 5.0
 THRESHOLD = -0.15
 LEAST_WORDS = 20
@@ -101,20 +100,22 @@ def base_stats(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Ids of documents labelled good: `most` at most, in the order of a hash."""
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id")
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).distinct()
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, cells: int = CELLS, smoothing: float = SMOOTHING) -> list[float]:
+def log_ratios(
+    docs: DataFrame, trusted: DataFrame, cells: int = CELLS, smoothing: float = SMOOTHING, most_broadcast: int = BROADCAST_ROWS,
+) -> list[float]:
     """The log ratio of target to raw probability of every cell.
 
-    `trusted` holds at most TRUSTED ids and is broadcast. Counts are added up in each task first, so a
-    task ships at most `cells` rows; `cells` numbers, whatever the corpus, come to the driver.
+    The distinct ids of `trusted` are broadcast if a count shows that they are at most `most_broadcast`; beyond
+    that texts and ids meet in a salted shuffle. Counts are added up in each task first, so a task ships at most
+    `cells` rows; `cells` numbers, whatever the corpus, come to the driver.
     """
-    marked = docs.select("doc_id", text_of("text").alias("text")).join(
-        F.broadcast(trusted.withColumn("good", F.lit(1))), "doc_id", "left")
+    good = keep(trusted.withColumn("good", F.lit(1)), "trusted")
+    marked = checked_lookup(docs.select("doc_id", text_of("text").alias("text")), good, ["doc_id"], ["text"], "left", most_broadcast)
     grams = marked.select("good", F.explode(ngram_cells(word_hashes(F.col("text")), cells)).alias("cell"))
     counts = keep(grams.groupBy("cell").agg(F.count("*").alias("raw"), F.count("good").alias("target")), "cells")
     sums = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()

@@ -139,6 +139,18 @@ def test_quality_ratio_against_plain_counts(spark, awkward):
         assert abs(table[c] - want) < 1e-3
 
 
+def test_quality_ratio_is_the_same_without_broadcast(spark, awkward):
+    trusted = spark.createDataFrame([(5,), (14,)], "doc_id bigint")
+    small = quality_rules.log_ratios(awkward, trusted, cells=64)
+    assert any(small) and quality_rules.log_ratios(awkward, trusted, cells=64, most_broadcast=0) == small
+
+
+def test_every_label_counts(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    ids = quality_rules.trusted_ids(labels.unionByName(labels))
+    assert ids.count() == 30_000 == ids.distinct().count()
+
+
 def test_quality_rules_without_trusted_rows(spark, awkward):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     got = quality_rules.judge(awkward, quality_rules.trusted_ids(none)).collect()
@@ -335,6 +347,32 @@ def test_mixing_over_several_levels(spark):
     assert sum(r["n"] for r in got) == 3000 and all(abs(r["t"] - r["g"]) <= 50 for r in got)
 
 
+def test_equal_rows_are_made_again_from_their_count(spark):
+    rows = [("a", 1, 5)] * 7 + [("a", None, 5)] * 25 + [(None, None, 5)] * 10 + [("b", 2, 0)]
+    df = spark.createDataFrame(rows, "source string, doc_id bigint, size bigint")
+    got = [tuple(r) for r in mixing.one_by_one(df, run=10).select("source", "doc_id", "size", "nth").collect()]
+    want, seen = [], Counter()
+    for row in rows:
+        want.append((*row, seen[row]))
+        seen[row] += 1
+    assert Counter(got) == Counter(want)
+
+
+def test_mixing_spreads_equal_rows_over_blocks(spark):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("one two three four").alias("text"),
+        F.when(F.col("id") % 4 > 0, "big").otherwise("small").alias("source"))
+    start = mixing.one_by_one(rows.select("doc_id", "source", F.lit(4).cast("bigint").alias("size")))
+    open_rows = start.select("*", F.lit(1.0).alias("mass"), F.lit(6000).cast("bigint").alias("blocks"))
+    level = mixing._level(open_rows, "bigint", 0, 64)
+    assert level.agg(F.max(F.size("out"))).first()[0] < 200
+    got = mixing.mix(rows)
+    sums = got.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"), F.count("*").alias("n")).collect()
+    assert sum(r["n"] for r in sums) == 6000 and all(abs(r["t"] - r["g"]) <= 4 for r in sums)
+    again = mixing.mix(rows.repartition(7))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, got.collect()))
+
+
 @both
 def test_suffix_dedup(request, spark, table):
     df = inputs(request, spark, table)
