@@ -107,7 +107,7 @@ def rank_within(
     groups (a table of one piece is left where it lies): a small group lies in one piece, a large one in as many as it fills. A row's rank is its place among
     its group's rows of the piece, and the group's rows in earlier pieces. Only groups that span pieces need
     that sum, and neighbouring pieces share one group at most, so the table of sums has fewer than two rows a
-    piece and is broadcast.
+    piece and is broadcast. The sums are running ones, so a group over many pieces costs no more than its pieces.
     """
     piece_rows = piece_rows or PIECE_ROWS
     kept = keep(df.withColumn("_v", sort_value.cast("double")), "to-rank")
@@ -128,12 +128,12 @@ def rank_within(
         return ranked.select(*out)
 
     counts = dealt.groupBy(*group, "_piece").agg(F.count("*").alias("_n"))
-    spans = keep(counts.groupBy(*group).agg(F.count("*").alias("_k"), F.sum("_n").alias("_all"), F.collect_list(F.struct("_piece", "_n")).alias("_parts"))
-                 .filter("_k > 1").drop("_k"), "spans")
-    before = F.transform("_parts", lambda p: F.struct(p["_piece"].alias("_at"), F.aggregate(
-        F.filter("_parts", lambda o: o["_piece"] < p["_piece"]), F.lit(0).cast("bigint"), lambda s, o: s + o["_n"]).alias("_skip")))
+    whole = Window.partitionBy(*group)
+    ahead = whole.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    spans = keep(counts.withColumns({"_k": F.count("*").over(whole), "_all": F.sum("_n").over(whole), "_skip": F.sum("_n").over(ahead)})
+                 .filter("_k > 1"), "spans")
     other = {g: f"_of_{g}" for g in group}
-    sums = spans.select(*[F.col(g).alias(o) for g, o in other.items()], "_all", F.inline(before))
+    sums = spans.select(*[F.col(g).alias(o) for g, o in other.items()], "_all", F.col("_piece").alias("_at"), "_skip")
     same = reduce(and_, [F.col(g).eqNullSafe(F.col(o)) for g, o in other.items()])
     placed = ranked.join(F.broadcast(sums), same & (F.col("_piece") == F.col("_at")), "left")
     placed = placed.withColumn(rank, (F.col(rank) + F.coalesce("_skip", F.lit(0))))

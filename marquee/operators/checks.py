@@ -5,7 +5,7 @@ All row checks of a table share one pass; only uniqueness and foreign keys need
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from marquee.functions.spread import salted_lookup
 from marquee.schemas import (
@@ -21,13 +21,16 @@ class CheckFailed(ValueError):
     """A hard check has violations."""
 
 
-def _report(df: DataFrame, check: str, counts: dict) -> DataFrame:
-    """One aggregate over the table, turned into one row per column."""
-    row = df.agg(*[F.coalesce(F.sum(cond.cast("bigint")), F.lit(0)).alias(c) for c, cond in counts.items()])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(check).alias("check"), F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("violations"))
-        for c in counts
-    ])).alias("r")).select("r.*")
+Rules = list[tuple[str, str, Column]]
+
+
+def report(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows that break each rule (check, column_name, condition): one aggregate over the table for all of them."""
+    row = df.agg(*[F.coalesce(F.sum(cond.cast("bigint")), F.lit(0)).alias(f"_{i}") for i, (_, _, cond) in enumerate(rules)])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(c).alias("column_name"), F.col(f"_{i}").alias("violations"))
+        for i, (check, c, _) in enumerate(rules)
+    ])))
 
 
 def check_columns(df: DataFrame, expected: list[str] = ENRICHED_COLUMNS) -> DataFrame:
@@ -43,24 +46,34 @@ def check_types(df: DataFrame, key: str = "movie_id", text: list[str] = EXPORT_T
     return df.sparkSession.createDataFrame(rows, _REPORT)
 
 
+def null_rules(columns: list[str]) -> Rules:
+    return [("null", c, F.col(c).isNull()) for c in columns]
+
+
+def blank_rules(columns: list[str]) -> Rules:
+    """Empty or white-space-only text; null is not blank."""
+    return [("blank", c, F.trim(F.regexp_replace(c, r"\s", " ")) == "") for c in columns]
+
+
+def replacement_char_rules(columns: list[str]) -> Rules:
+    return [("replacement_char", c, F.coalesce(F.col(c).cast("string").contains(REPLACEMENT_CHARACTER), F.lit(False)))
+            for c in columns]
+
+
 def check_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return _report(df, "null", {c: F.col(c).isNull() for c in columns or df.columns})
+    return report(df, null_rules(columns or df.columns))
 
 
 def check_blank(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Empty or white-space-only text; null is not blank."""
-    return _report(df, "blank", {c: F.trim(F.regexp_replace(c, r"\s", " ")) == "" for c in columns})
+    return report(df, blank_rules(columns))
 
 
 def check_replacement_char(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return _report(df, "replacement_char", {
-        c: F.coalesce(F.col(c).cast("string").contains(REPLACEMENT_CHARACTER), F.lit(False))
-        for c in columns or df.columns
-    })
+    return report(df, replacement_char_rules(columns or df.columns))
 
 
 def check_valid_utf8(df: DataFrame, columns: list[str]) -> DataFrame:
-    return _report(df, "utf8", {c: ~F.is_valid_utf8(F.col(c)) for c in columns})
+    return report(df, [("utf8", c, ~F.is_valid_utf8(F.col(c))) for c in columns])
 
 
 def duplicate_keys(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -83,8 +96,15 @@ def check_unique(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def check_primary_key(df: DataFrame, key: str) -> DataFrame:
-    return check_unique(df, key).unionByName(check_nulls(df, [key]).withColumn("check", F.lit("key_null")))
+def check_primary_key(df: DataFrame, key: str, label: str | None = None) -> DataFrame:
+    """Rows that belong to a repeated key, and rows without one, from one count per key."""
+    rows = F.col("_rows")
+    row = df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_rows")).agg(
+        F.sum(F.when(rows > 1, rows)).alias("unique"), F.sum(F.when(F.col("_k").isNull(), rows)).alias("key_null"))
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("check"), F.lit(label or key).alias("column_name"), F.coalesce(F.col(c), F.lit(0)).alias("violations"))
+        for c in ("unique", "key_null")
+    ])))
 
 
 def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column: str, label: str | None = None) -> DataFrame:
@@ -104,7 +124,7 @@ def check_foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_c
 def check_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Declared primary and foreign keys of the 12 star tables."""
     parts = [
-        check_primary_key(tables[t], k).withColumn("column_name", F.lit(f"{t}.{k}"))
+        check_primary_key(tables[t], k, f"{t}.{k}")
         for t, k in PRIMARY_KEYS.items()
     ]
     parts += [
@@ -127,12 +147,15 @@ def check_table(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def export_checks(df: DataFrame, expected: list[str] = ENRICHED_COLUMNS, key: str = "movie_id") -> list[DataFrame]:
-    """The checks of an export file in their order; later ones may rely on earlier ones."""
+    """The checks of an export file in their order; later ones may rely on earlier ones.
+
+    Names and types read the schema only, all row checks share one pass, uniqueness is another.
+    """
     texts = [c for c in EXPORT_TEXT_COLUMNS if c in expected]
+    described = [c for c in ("title", "overview") if c in df.columns]
     return [
-        check_columns(df, expected), check_types(df, key, texts), check_nulls(df),
-        check_unique(df, key), check_blank(df, [c for c in ("title", "overview") if c in expected]),
-        check_replacement_char(df),
+        check_columns(df, expected), check_types(df, key, texts), check_unique(df, key),
+        report(df, null_rules(df.columns) + blank_rules(described) + replacement_char_rules(df.columns)),
     ]
 
 

@@ -95,15 +95,21 @@ def normalize_list(
     """
     df = df.filter(F.col(key).isNotNull())
     if fits_broadcast(reference, SHORT_LIST):
-        return normalize_by_reference(df, column, reference, reference_column)
+        return _normalize_in_place(df, column, reference, reference_column)
     return normalize_by_large_reference(df, key, column, reference, reference_column)
 
 
 def normalize_by_reference(
     df: DataFrame, column: str, reference: DataFrame, reference_column: str
 ) -> DataFrame:
-    """normalize_list for a short list: one aggregate row that is compared inside each array, so no
-    row is exploded and nothing is shuffled."""
+    """normalize_list for a list known to be short: one aggregate row that is compared inside each array, so
+    no row is exploded and nothing is shuffled. A list that proves long is refused."""
+    if not fits_broadcast(reference, SHORT_LIST):
+        raise ValueError(f"more than {SHORT_LIST} reference values: use normalize_by_large_reference")
+    return _normalize_in_place(df, column, reference, reference_column)
+
+
+def _normalize_in_place(df: DataFrame, column: str, reference: DataFrame, reference_column: str) -> DataFrame:
     known = reference.agg(F.collect_set(F.lower(F.trim(reference_column)))).scalar()
     values = F.transform(lists.split_list(column, keep_empty=True), lambda x: F.lower(x))
     return (

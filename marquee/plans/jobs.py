@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee import schemas
 from marquee.functions.spread import BROADCAST_ROWS
 from marquee.operators import checks, cleaning, star
+from marquee.session import passing_scratch
 from marquee.sources import io
 
 
@@ -39,9 +40,10 @@ def clean_catalog(
 
 
 def clean_job(spark: SparkSession, raw_path: str, country_path: str, out: str, single_file: bool = False) -> None:
-    raw = io.read_raw_catalog(spark, raw_path)
-    countries = io.read_csv(spark, io.require_path(spark, country_path), schemas.COUNTRY_LIST)
-    io.write_parquet(clean_catalog(raw, countries), out, single_file)
+    with passing_scratch(spark):
+        raw = io.read_raw_catalog(spark, raw_path)
+        countries = io.read_csv(spark, io.require_path(spark, country_path), schemas.COUNTRY_LIST)
+        io.write_parquet(clean_catalog(raw, countries), out, single_file)
 
 
 def transform_job(spark: SparkSession, clean_path: str, out: str) -> dict[str, int]:
@@ -50,14 +52,15 @@ def transform_job(spark: SparkSession, clean_path: str, out: str) -> dict[str, i
     Dimensions are read back before the bridges use them: ids are fixed on disk, the write gives
     the size, and a small dimension is broadcast while a large one is joined with salt.
     """
-    cleaned = spark.read.parquet(io.require_path(spark, clean_path))
-    counts = io.write_tables(
-        (t for t in star.star_tables(cleaned) if t[0] != "bridge"), out
-    )
-    for spec in schemas.LIST_DIMENSIONS:
-        dim = spark.read.parquet(f"{out}/dim_{spec.source}")
-        bridge = star.bridge_for(cleaned, dim, spec, broadcast_rows=BROADCAST_ROWS)
-        counts |= io.write_tables([("bridge", spec.source, bridge)], out)
+    with passing_scratch(spark):
+        cleaned = spark.read.parquet(io.require_path(spark, clean_path))
+        counts = io.write_tables(
+            (t for t in star.star_tables(cleaned) if t[0] != "bridge"), out
+        )
+        for spec in schemas.LIST_DIMENSIONS:
+            dim = spark.read.parquet(f"{out}/dim_{spec.source}")
+            bridge = star.bridge_for(cleaned, dim, spec, broadcast_rows=BROADCAST_ROWS)
+            counts |= io.write_tables([("bridge", spec.source, bridge)], out)
     return counts
 
 
@@ -81,8 +84,9 @@ def export_job(
     spark: SparkSession, tables: dict[str, DataFrame], out: str, merged: str | None = None, strict: bool = False
 ) -> list[tuple[str, str, int]]:
     """Write the enriched view as shards, merge them if asked, and check what was written."""
-    io.export_shards(star.enriched_view(tables), out)
-    if merged:
-        io.merge_shards(spark, f"{out}/*.parquet", merged)
-    written = spark.read.parquet(merged or out)
-    return checks.run_checks(checks.export_checks(written), strict)
+    with passing_scratch(spark):
+        io.export_shards(star.enriched_view(tables), out)
+        if merged:
+            io.merge_shards(spark, f"{out}/*.parquet", merged)
+        written = spark.read.parquet(merged or out)
+        return checks.run_checks(checks.export_checks(written), strict)

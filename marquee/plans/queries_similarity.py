@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
+from marquee.functions.spread import rank_within
 from marquee.operators import cleaning, factors, interactions, posting_index, terms, text_vectors, vectors
 from marquee.plans.registry import query
 from marquee.sources import derived
@@ -201,10 +202,14 @@ def seed_ids(spark, folder):
         problems.select("asked", F.lit(None).cast("string").alias("title"), "message"))
 
 
-@query("sorted_by_title", f"""WITH {CATALOG_SQL} SELECT id, title FROM catalog ORDER BY title, id""")
+@query("sorted_by_title", f"""WITH {CATALOG_SQL} SELECT id, title, row_number() OVER (ORDER BY title, id) AS position
+FROM catalog ORDER BY position""")
 def sorted_by_title(spark, folder):
-    """The catalog in the order of titles; ids are kept."""
-    return catalog(spark, folder).select("id", "title").orderBy("title", "id")
+    """The catalog in the order of titles with each title's position; ids are kept."""
+    titles = catalog(spark, folder).select("id", "title", F.lit(1).alias("all"))
+    order = [F.col("title").asc_nulls_last(), F.col("id").asc()]
+    placed = rank_within(titles, ["all"], F.lit(0), order, "position")
+    return placed.select("id", "title", F.col("position").cast("bigint").alias("position")).orderBy("position")
 
 
 @query("pinned_union", f"""WITH {CATALOG_SQL}, f AS (SELECT *, 1 AS src FROM catalog),

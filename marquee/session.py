@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
@@ -49,12 +53,54 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/marquee-{spark.sparkContext.applicationId}"
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in this application's part of the shared folder."""
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+@dataclass
+class _Scope:
+    """The part of the scratch folder, and the catalog entries, of one job."""
+
+    folder: str
+    tables: list[str] = field(default_factory=list)
+
+
+_scope: ContextVar[_Scope | None] = ContextVar("marquee_scratch", default=None)
+
+
+def scratch_path(spark: SparkSession, label: str, lasting: bool = False) -> str:
+    """A fresh path in this application's part of the shared folder; inside `passing_scratch` it lives
+    as long as the block does, unless it is `lasting`."""
+    scope = _scope.get()
+    folder = scope.folder if scope and not lasting else _own_folder(spark)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def enter_table(name: str) -> None:
+    """Note a catalog entry over a scratch path, to be dropped with it."""
+    scope = _scope.get()
+    if scope:
+        scope.tables.append(name)
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside the block when it ends, also by an error.
+
+    For jobs that write their result: what the block hands out must not read from them any more.
+    """
+    scope = _Scope(f"{_own_folder(spark)}/job-{uuid.uuid4().hex}")
+    token = _scope.set(scope)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for name in scope.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(spark, scope.folder)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call it when no result is still to be read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    """Delete all of this application's intermediate tables; call it when no result is still to be read."""
+    _delete(spark, _own_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.session import scratch_path
+from marquee.session import enter_table, scratch_path
 
 T = TypeVar("T")
 
@@ -40,6 +40,7 @@ def keep_bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFram
     path = scratch_path(df.sparkSession, label)
     name = "kept_" + path.rsplit("-", 1)[1]
     df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    enter_table(name)
     return df.sparkSession.table(name)
 
 
@@ -61,5 +62,5 @@ def built_once(label: str, sources: list[DataFrame], build: Callable[[str], T])
     spark = sources[0].sparkSession
     key = (spark.sparkContext.applicationId, label, state_of(*sources))
     if key not in _built:
-        _built[key] = build(scratch_path(spark, label))
+        _built[key] = build(scratch_path(spark, label, lasting=True))
     return _built[key]

@@ -119,6 +119,30 @@ def test_lemmatize_keeps_word_order(spark):
     assert rows(cleaning.lemmatize(df, "id", "t", dictionary)) == [(1, "mouse and man and mouse"), (2, "")]
 
 
+def test_a_long_reference_list_is_refused_in_place(spark):
+    df = spark.createDataFrame([(1, "usa")], "id int, c string")
+    long = spark.range(cleaning.SHORT_LIST + 1).select(F.col("id").cast("string").alias("country_name"))
+    with pytest.raises(ValueError, match="normalize_by_large_reference"):
+        cleaning.normalize_by_reference(df, "c", long, "country_name")
+
+
+def test_row_checks_of_an_export_share_one_scan(spark, tmp_path):
+    cols = schemas.SHORT_EXPORT_COLUMNS
+    spark.createDataFrame([(1, "A", None, " ", "x�"), (1, "B", "g", "k", "")], "movie_id int, title string, genres string, keywords string, overview string"
+                          ).write.parquet(str(tmp_path / "e"))
+    reports = checks.export_checks(spark.read.parquet(str(tmp_path / "e")), cols)
+    scans = [r._jdf.queryExecution().optimizedPlan().toString().count("parquet") for r in reports]
+    assert sorted(scans) == [0, 0, 1, 1]
+    found = {tuple(x) for r in reports for x in r.filter("violations > 0").collect()}
+    assert found == {("unique", "movie_id", 2), ("null", "genres", 1), ("blank", "overview", 1), ("replacement_char", "overview", 1)}
+
+
+def test_primary_key_counts_repeats_and_nulls(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (None,)], "k int")
+    assert rows(checks.check_primary_key(df, "k", "t.k")) == [("key_null", "t.k", 3), ("unique", "t.k", 5)]
+    assert rows(checks.check_primary_key(df.limit(0), "k")) == [("key_null", "k", 0), ("unique", "k", 0)]
+
+
 def test_checks_pass_and_fail(spark):
     cols = schemas.SHORT_EXPORT_COLUMNS
     good = spark.createDataFrame([(1, "A", "g", "k", "o"), (2, "B", "g", "k", "p")], "movie_id int, title string, genres string, keywords string, overview string")

@@ -53,6 +53,28 @@ def test_a_group_of_most_rows_is_ranked_in_even_pieces(spark, monkeypatch):
     assert len(pieces) == 20 and max(pieces) < 2 * 2_000
 
 
+def test_scratch_of_a_job_goes_with_it(spark):
+    import os
+
+    from marquee.session import passing_scratch, scratch_path
+    from marquee.sources.scratch import keep_bucketed
+
+    lasting = keep(spark.range(5), "outside")
+    seen = []
+    with pytest.raises(RuntimeError), passing_scratch(spark):
+        kept = keep(spark.range(10), "inside")
+        seen = [f.replace("file:", "") for f in kept.inputFiles()]
+        tables = {t.name for t in spark.catalog.listTables()}
+        assert keep_bucketed(kept, "inside", "id", 2).count() == 10
+        made = {t.name for t in spark.catalog.listTables()} - tables
+        own = scratch_path(spark, "x", lasting=True).rsplit("/", 1)[0]
+        assert all(os.path.exists(f) for f in seen) and len(made) == 1
+        raise RuntimeError("the job fails")
+    assert seen and not any(os.path.exists(f) for f in seen)
+    assert not made & {t.name for t in spark.catalog.listTables()}
+    assert lasting.count() == 5 and all(own in f for f in lasting.inputFiles())
+
+
 def test_dense_ids_do_not_depend_on_partitions(spark):
     df = spark.range(1000).select(F.concat(F.lit("v"), "id").alias("v"))
     a = rows(dense_ids(df.repartition(3), ["v"], "k"), "v", "k")
