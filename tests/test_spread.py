@@ -107,6 +107,14 @@ def test_exact_quantiles_equal_numpy(spark, n, accuracy):
         assert v == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_salted_lookup_never_broadcasts_the_repeated_side(spark, tmp_path, how):
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(f"{tmp_path}/right")  # a few kB, repeated 16 times
+    joined = salted_lookup(spark.range(100).withColumn("k", F.col("id") % 7), spark.read.parquet(f"{tmp_path}/right"), ["k"], ["id"], how)
+    assert joined.count() == 100
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_salted_lookup_keeps_every_row(spark):
     left = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     right = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, name string")
