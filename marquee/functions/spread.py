@@ -104,43 +104,48 @@ def rank_within(
 ) -> DataFrame:
     """Exact 1-based rank of every row in its group, by `sort_value` (numeric) and then `ties`.
 
-    The rows are range-partitioned by group, value and ties into pieces of about PIECE_ROWS rows, whatever the
-    groups (a table of one piece is left where it lies): a small group lies in one piece, a large one in as many as it fills. A row's rank is its place among
-    its group's rows of the piece, and the group's rows in earlier pieces. Only groups that span pieces need
-    that sum, and neighbouring pieces share one group at most, so the table of sums has fewer than two rows a
-    piece and is broadcast. The sums are running ones, so a group over many pieces costs no more than its pieces.
+    Groups of up to PIECE_ROWS rows (counted) are put in order whole, after one shuffle by group. The rows of larger groups are
+    range-partitioned by group, value and ties into pieces of about PIECE_ROWS rows: a rank is the row's place among
+    its group's rows of the piece, and the group's rows in earlier pieces. Neighbouring pieces share one group at most,
+    so the table of sums has fewer than two rows a piece and is broadcast. The sums are running ones, so a group over many
+    pieces costs no more than its pieces.
     """
     piece_rows = piece_rows or PIECE_ROWS
     kept = keep(df.withColumn("_v", sort_value.cast("double")), "to-rank")
-    pieces = max(-(-kept.count() // piece_rows), 1)
     names = [F.col(g).asc_nulls_first() for g in group]
     order = [F.col("_v").asc_nulls_last(), *ties]
-    dealt = kept
-    if pieces > 1:
-        dealt = keep(kept.repartitionByRange(pieces, *names, *order).withColumn("_piece", F.spark_partition_id()), "pieces")
-    elif "_piece" not in kept.columns:
-        dealt = kept.withColumn("_piece", F.lit(0))
-    inside = Window.partitionBy(*group, "_piece")
-    ranked = dealt.withColumn(rank, F.row_number().over(inside.orderBy(*order)))
-    if size:
-        ranked = ranked.withColumn(size, F.count("*").over(inside))
     out = [*df.columns, rank, *([size] if size else [])]
-    if pieces == 1:
-        return ranked.select(*out)
 
+    def placed_in(rows: DataFrame, keys: list[str]) -> DataFrame:
+        inside = Window.partitionBy(*keys)
+        found = rows.withColumn(rank, F.row_number().over(inside.orderBy(*order)))
+        return found.withColumn(size, F.count("*").over(inside)) if size else found
+
+    pieces = -(-kept.count() // piece_rows)
+    if pieces <= 1:
+        return placed_in(kept, group).select(*out)
+    other = {g: f"_of_{g}" for g in group}
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(o)) for g, o in other.items()])
+    sizes = kept.groupBy(*[F.col(g).alias(o) for g, o in other.items()]).agg(F.count("*").alias("_n"))
+    large = keep(sizes.filter(F.col("_n") > piece_rows), "large-groups")  # fewer rows than pieces
+    if large.isEmpty():
+        return placed_in(kept, group).select(*out)
+    large = F.broadcast(large.drop("_n"))
+    small = placed_in(kept.join(large, same, "left_anti"), group).select(*out)
+    dealt = keep(kept.join(large, same, "left_semi").repartitionByRange(pieces, *names, *order).withColumn(
+        "_piece", F.spark_partition_id()), "pieces")
+    ranked = placed_in(dealt, [*group, "_piece"])
     counts = dealt.groupBy(*group, "_piece").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*group)
     ahead = whole.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     spans = keep(counts.withColumns({"_k": F.count("*").over(whole), "_all": F.sum("_n").over(whole), "_skip": F.sum("_n").over(ahead)})
                  .filter("_k > 1"), "spans")
-    other = {g: f"_of_{g}" for g in group}
     sums = spans.select(*[F.col(g).alias(o) for g, o in other.items()], "_all", F.col("_piece").alias("_at"), "_skip")
-    same = reduce(and_, [F.col(g).eqNullSafe(F.col(o)) for g, o in other.items()])
     placed = ranked.join(F.broadcast(sums), same & (F.col("_piece") == F.col("_at")), "left")
     placed = placed.withColumn(rank, (F.col(rank) + F.coalesce("_skip", F.lit(0))))
     if size:
         placed = placed.withColumn(size, F.coalesce("_all", F.col(size)))
-    return placed.select(*out)
+    return small.unionByName(placed.select(*out))
 
 
 def hash_bucket(*keys: str | Column) -> Column:

@@ -53,6 +53,18 @@ def test_a_group_of_most_rows_is_ranked_in_even_pieces(spark, monkeypatch):
     assert len(pieces) == 20 and max(pieces) < 2 * 2_000
 
 
+def test_small_groups_of_a_large_table_are_written_once(spark, monkeypatch):
+    """No group is larger than a piece: the rows are not cut, and not written a second time for it."""
+    from marquee.functions import spread
+
+    seen = []
+    monkeypatch.setattr(spread, "keep", lambda df, label: seen.append(label) or keep(df, label))
+    df = spark.range(3_000).select(F.when(F.col("id") > 50, F.col("id") % 40).alias("g"), F.lit(1.0).alias("v"), "id")
+    ranked = rank_within(df, ["g"], F.col("v"), [F.asc("id")], "r", "n", piece_rows=100)
+    assert ranked.filter("r = n").count() == 41 and ranked.count() == 3_000
+    assert "pieces" not in seen
+
+
 def test_scratch_of_a_job_goes_with_it(spark):
     import os
 
