@@ -188,21 +188,22 @@ def where_extreme_length(df: DataFrame, column: str) -> DataFrame:
 def lemmatize(df: DataFrame, key: str, column: str, dictionary: DataFrame) -> DataFrame:
     """Replace every word found in a (word, lemma) dictionary, keeping word order.
 
-    Words are looked up once per distinct word of a row, salted by the row key.
+    A dictionary that a count shows to be small is broadcast, so words meet their lemmas in place and are shuffled
+    once, packed by row. Otherwise they are looked up once per distinct word of a row, salted by the row key.
     """
     words = df.select(key, F.posexplode(F.filter(F.split(column, r"\s+"), lambda w: w != "")).alias("_at", "_w"))
-    # distinct (row, word) pairs carry the list of positions of the word
-    spots = words.groupBy(key, "_w").agg(F.collect_list("_at").alias("_spots"))
-    found = salted_lookup(
-        spots, dictionary.select(F.col("word").alias("_w"), F.col("lemma").alias("_lemma")),
-        ["_w"], [key], how="left",
-    )
-    joined = (
-        found.groupBy(key)
-        .agg(F.collect_list(F.struct("_spots", F.coalesce("_lemma", "_w").alias("_out"))).alias("_l"))
-        .select(key, F.array_join(F.transform(F.sort_array(F.flatten(F.transform(
-            "_l", lambda s: F.transform(s["_spots"], lambda p: F.struct(p.alias("p"), s["_out"].alias("t")))
-        ))), lambda s: s["t"]), " ").alias("_text"))
-    )
+    lemmas = dictionary.select(F.col("word").alias("_w"), F.col("lemma").alias("_lemma"))
+    lemma = F.coalesce("_lemma", "_w")
+    if fits_broadcast(lemmas):
+        found = words.join(F.broadcast(lemmas), "_w", "left")
+        placed = F.collect_list(F.struct(F.col("_at").alias("p"), lemma.alias("t")))
+    else:
+        # distinct (row, word) pairs carry the list of positions of the word
+        spots = words.groupBy(key, "_w").agg(F.collect_list("_at").alias("_spots"))
+        found = salted_lookup(spots, lemmas, ["_w"], [key], how="left")
+        placed = F.flatten(F.transform(F.collect_list(F.struct("_spots", lemma.alias("_out"))), lambda s: F.transform(
+            s["_spots"], lambda p: F.struct(p.alias("p"), s["_out"].alias("t")))))
+    joined = found.groupBy(key).agg(placed.alias("_l")).select(
+        key, F.array_join(F.transform(F.sort_array("_l"), lambda s: s["t"]), " ").alias("_text"))
     out = [F.coalesce("_text", F.lit("")).alias(c) if c == column else F.col(c) for c in df.columns]
     return df.join(joined, key, "left").select(*out)

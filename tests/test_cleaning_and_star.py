@@ -119,6 +119,18 @@ def test_lemmatize_keeps_word_order(spark):
     assert rows(cleaning.lemmatize(df, "id", "t", dictionary)) == [(1, "mouse and man and mouse"), (2, "")]
 
 
+def test_lemmatize_shuffles_words_once_with_a_small_dictionary(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "b mice a mice"), (1, "men"), (2, None), (None, "mice")], "id int, t string")
+    dictionary = spark.createDataFrame([("mice", "mouse"), ("men", "man"), ("men", "human")], "word string, lemma string")
+    small = cleaning.lemmatize(df, "id", "t", dictionary)
+    text = small._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" not in text and text.count("hashpartitioning(id") <= 2
+    monkeypatch.setattr(cleaning, "fits_broadcast", lambda df: False)
+    large = cleaning.lemmatize(df, "id", "t", dictionary)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(small) == key(large)
+
+
 def test_a_long_reference_list_is_refused_in_place(spark):
     df = spark.createDataFrame([(1, "usa")], "id int, c string")
     long = spark.range(cleaning.SHORT_LIST + 1).select(F.col("id").cast("string").alias("country_name"))
