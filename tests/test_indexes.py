@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import DATA
+from marquee.functions.spread import parts_for
 from marquee.operators import posting_index, star, terms, text_vectors, vectors
 from marquee.plans import queries_similarity, queries_star
 
@@ -190,3 +191,57 @@ def test_enriched_view_joins_buckets_where_they_lie(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("FileScan") == 12
     assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
+
+
+def test_term_counts_stay_where_their_texts_are(spark):
+    df = spark.createDataFrame(
+        [(1, "ab ab cd"), (1, "cd ef"), (None, "ab zz zz"), (None, "qq ab"), (2, "ab cd ef"), (3, None), (4, "ab yy")], "id bigint, text string")
+    found = plan(terms.tfidf_vectors(df, "id", "text", []))
+    assert "hashpartitioning" not in found and "SortMergeJoin" not in found
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_rare_terms_are_looked_up_by_shuffle(spark, monkeypatch, most):
+    df = spark.createDataFrame(
+        [(1, "ab ab cd"), (1, "cd ef"), (None, "ab zz zz"), (None, "qq ab"), (2, "ab cd ef"), (3, None), (4, "ab yy")], "id bigint, text string")
+    found = lambda: {(r["id"], t["term"]): t["w"] for r in terms.tfidf_vectors(df, "id", "text", []).collect() for t in r["terms"]}
+    whole, with_frequency = found(), terms._with_frequency
+    monkeypatch.setattr(terms, "_with_frequency", lambda *given: with_frequency(*given, most))
+    assert found() == whole and len(whole) == 11
+    idf = {t: np.log(8 / (1 + n)) + 1 for t, n in {"ab": 4, "zz": 1, "qq": 1}.items()}  # texts without an id are one
+    weights = {"ab": 2 * idf["ab"], "zz": 2 * idf["zz"], "qq": idf["qq"]}
+    assert whole[(None, "zz")] == pytest.approx(weights["zz"] / np.sqrt(sum(w * w for w in weights.values())))
+
+
+def test_parts_follow_the_bytes_of_the_files(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert parts_for(df, 100) > 4 * parts_for(df) >= 8
+
+
+@pytest.mark.parametrize("measure", list(vectors.MEASURES))
+@pytest.mark.parametrize("k", [1, 7])
+def test_search_kernel_keeps_little_and_is_exact(monkeypatch, measure, k):
+    import tracemalloc
+
+    monkeypatch.setattr(vectors, "FIRST_TILE", 16)
+    rng = np.random.default_rng(k)
+    items = np.round(rng.normal(size=(6000, 8)), 1)
+    queries = np.vstack([items[:200], rng.normal(size=(100, 8)) * 1e-9, rng.normal(size=(100, 8)) * 1e6])
+    scores = vectors._scores(queries, items, measure)
+    order = np.lexsort((np.broadcast_to(np.arange(6000), scores.shape), scores))[:, :k]
+    expected = np.take_along_axis(scores, order, 1)
+    tracemalloc.start()
+    for limit in (None, np.full(400, np.inf), expected[:, -1]):
+        best = vectors._Best(np.arange(400), queries, k, measure, None, limit)
+        for at in range(0, 6000, 1500):
+            best.add(np.arange(at, at + 1500), items[at:at + 1500])
+        assert np.allclose(best.found, expected, rtol=1e-12, atol=2e-9)
+        assert len(best.rows()) == 400 * k
+    assert (best.found_ids[:200] == order[:200]).all()
+    tracemalloc.reset_peak()
+    one = vectors._Best(np.arange(2000), np.repeat(queries, 5, axis=0), k, measure)
+    one.add(np.arange(30_000), np.tile(items, (5, 1)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # 240 MB before: whole rows of scores
