@@ -33,6 +33,7 @@ LEAST_WORDS = 20
 MOST_REPEATED = 30      # percent
 WINDOW = 8
 SYMBOLS = "[^#*$%&|<>]++"
+WORD_START = "[^\\x20\\x09-\\x0D]"  # found at once, where a line has a word
 
 
 def repeated_words(hashes: Column, window: int = WINDOW) -> Column:
@@ -85,7 +86,7 @@ def word_hashes(text: Column) -> Column:
 def base_stats(docs: DataFrame) -> DataFrame:
     """doc_id, word hashes, the counted statistics and base_failed."""
     body = docs.select("doc_id", text_of("text").alias("text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.regexp_replace(x, WORD_BREAK, "")) > 0)
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD_START))
     counted = body.select(
         "doc_id",
         word_hashes(F.col("text")).alias("hashes"),
