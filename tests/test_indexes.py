@@ -245,3 +245,11 @@ def test_search_kernel_keeps_little_and_is_exact(monkeypatch, measure, k):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6  # 240 MB before: whole rows of scores
+
+
+def test_left_out_items_hide_one_row_over_all_tiles(monkeypatch):
+    monkeypatch.setattr(vectors, "FIRST_TILE", 4)
+    ids, items = np.concatenate([np.arange(50), np.arange(50)]), np.tile(np.arange(50.0)[:, None], (2, 2))
+    best = vectors._Best(np.array([0]), np.zeros((1, 2)), 3, "l2", [np.array([1, 99])])
+    best.add(ids, items)
+    assert best.rows()["_id"].tolist() == [0, 0, 1]  # the other row of item 1 stays, as it did before there were tiles
