@@ -3,8 +3,8 @@
 Three tables lie in the index folder, each dealt into buckets by the hash of what it is asked for and sorted
 by it inside the files: postings by term, vectors by item, titles by title. A request names its buckets and
 values as literals, so Spark lists only those buckets (partition pruning) and reads only the row groups whose
-statistics hold a wanted value (pushed filters). A bucket with many rows has several files, so a frequent term
-is written and read by several tasks.
+statistics hold a wanted value (pushed filters). A bucket with many rows, or long lists in them, has several files, so
+a frequent term is written and read by several tasks, and a task's share does not follow the catalog.
 
 Requests of more than MOST_TERMS distinct terms read the postings through a join on bucket and term instead.
 """
@@ -12,15 +12,18 @@ Requests of more than MOST_TERMS distinct terms read the postings through a join
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marquee.functions.spread import salted_lookup, top_n
 from marquee.operators import terms
+from marquee.sources.scratch import keep
 
 BUCKET_ROWS = 500_000   # rows a bucket is meant to hold
 MOST_BUCKETS = 4_096
-FILE_ROWS = 5_000_000   # rows of a bucket that one task writes
+FILE_ROWS = 1_000_000   # rows of a bucket, and elements of the lists in them, that one file holds
 MOST_TERMS = 5_000      # terms a request names as literals
 MOST_SEEDS = 1_000      # seeds a request names as literals
 LEAST_IDS = 1_000       # smallest ids kept for filling short lists
@@ -34,10 +37,13 @@ def _write(rows: DataFrame, key: str, path: str) -> int:
     """Write rows under bucket folders, sorted by `key` in each file; the number of buckets."""
     buckets = min(MOST_BUCKETS, max(1, -(-rows.count() // BUCKET_ROWS)))
     placed = rows.withColumn("bucket", _bucket(F.col(key), buckets))
-    files = placed.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count("*") / FILE_ROWS).cast("int").alias("_files"))  # a row a bucket
+    listed = [F.greatest(F.size(c), F.lit(0)) for c, kind in rows.dtypes if kind.startswith("array")]
+    width = reduce(add, listed, F.lit(1)).cast("bigint")
+    files = keep(placed.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.sum(width) / FILE_ROWS).cast("int").alias("_files")), "files")  # a row a bucket
+    parts = max(1, files.agg(F.sum("_files")).first()[0] or 0)
     dealt = placed.join(F.broadcast(files), F.col("bucket") == F.col("_b")).withColumn(
         "_file", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_files")))
-    dealt.repartition("bucket", "_file").sortWithinPartitions("bucket", key).drop("_b", "_files", "_file").write.partitionBy("bucket").parquet(path)
+    dealt.repartition(parts, "bucket", "_file").sortWithinPartitions("bucket", key).drop("_b", "_files", "_file").write.partitionBy("bucket").parquet(path)
     return buckets
 
 

@@ -59,6 +59,16 @@ def test_index_gives_what_a_full_scan_gives(spark, movies, tmp_path, monkeypatch
     assert index.similar(none.select("seed_id"), 5).collect() == []
 
 
+def test_long_lists_of_a_bucket_are_divided(spark, tmp_path, monkeypatch):
+    """What a task writes follows the elements of the lists too, not the rows alone."""
+    monkeypatch.setattr(posting_index, "FILE_ROWS", 100)
+    rows = spark.range(20).selectExpr("id", "transform(sequence(1, 49), x -> named_struct('term', 't' || x, 'w', 1.0D)) AS terms")
+    assert posting_index._write(rows, "id", f"{tmp_path}/vectors") == 1
+    written = spark.read.parquet(f"{tmp_path}/vectors")
+    most = written.groupBy(F.input_file_name()).agg(F.sum(F.size("terms") + 1).alias("n")).agg(F.max("n")).first()[0]
+    assert written.count() == 20 and len(written.inputFiles()) > 3 and most < 1_000
+
+
 @here
 def test_a_request_reads_its_terms_only(spark):
     index = queries_similarity._index(spark, FOLDER)
