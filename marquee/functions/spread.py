@@ -46,13 +46,18 @@ def checked_lookup(
     return salted_lookup(left, right, on, salt_from, how)
 
 
-def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
-    """Parts of a table that follow the bytes of its input files, at least one a core; a power of two."""
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a table is read from."""
     spark = df.sparkSession
     conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
     found = [path(f) for f in df.inputFiles()]
-    size = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in found)
-    return 1 << (max(spark.sparkContext.defaultParallelism, -(-size // part_bytes), 1) - 1).bit_length()
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in found)
+
+
+def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
+    """Parts of a table that follow the bytes of its input files, at least one a core; a power of two."""
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // part_bytes), 1)
+    return 1 << (wanted - 1).bit_length()
 
 
 def one_row(df: DataFrame) -> Column:

@@ -11,14 +11,15 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from marquee.functions.spread import ordered_ids
+from marquee.functions.spread import input_bytes, ordered_ids
 from marquee.schemas import LOAD_ORDER, RAW_CATALOG
 from marquee.sources.scratch import keep
 
 # Task functions travel by value, so executors need numpy and pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MERGED_BYTES = 1 << 30
+MERGED_BYTES = 1 << 28  # bytes of a merged file, which one task reads and writes
+SHARD_BYTES = 1 << 27   # bytes of input files for a shard of an export
 CSV_OPTIONS = {"escape": '"'}
 
 
@@ -196,8 +197,11 @@ def load_star(spark: SparkSession, folder: str, database: str = "default") -> It
 
 
 def export_shards(df: DataFrame, path: str, fmt: str = "parquet", shards: int | None = None) -> None:
-    """Sharded export, overwriting. Without `shards` the number follows the size of the data."""
-    out = df.repartition(shards) if shards else df
+    """Sharded export, overwriting. Without `shards` the number follows the size of the data.
+
+    `shards` holds for inputs of up to SHARD_BYTES a shard; a larger one gives more shards, because a task writes each.
+    """
+    out = df.repartition(max(shards, -(-input_bytes(df) // SHARD_BYTES))) if shards else df
     (write_csv if fmt == "csv" else write_parquet)(out, path)
 
 
@@ -211,15 +215,16 @@ def bytes_below(spark: SparkSession, pattern: str) -> int:
 def merge_shards(
     spark: SparkSession, pattern: str, target: str, fmt: str = "parquet", file_bytes: int | None = MERGED_BYTES
 ) -> None:
-    """Merge shards into files of about `file_bytes` each, by a coalesce that moves no rows between tasks.
+    """Merge shards into files of about `file_bytes` each.
 
+    Rows are dealt evenly: a coalesce joins splits, and of a shard with one row group all rows come from one split.
     None asks for one single file whatever the size; one task then writes all of it.
     """
     if not path_exists(spark, pattern):
         raise MissingInput(f"No shards match {pattern}")
     shards = read_csv(spark, pattern) if fmt == "csv" else spark.read.parquet(pattern)
     files = 1 if file_bytes is None else max(1, -(-bytes_below(spark, pattern) // file_bytes))
-    (write_csv if fmt == "csv" else write_parquet)(shards.coalesce(files), target)
+    (write_csv if fmt == "csv" else write_parquet)(shards.repartition(files), target)
 
 
 def positional_slice(df: DataFrame, order_key: str, first: int, last: int | None = None) -> DataFrame:

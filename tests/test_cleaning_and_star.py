@@ -250,3 +250,31 @@ def test_merged_files_follow_the_size(spark, tmp_path):
         io.merge_shards(spark, pattern, f"{tmp_path}/merged", file_bytes=file_bytes)
         merged = spark.read.parquet(f"{tmp_path}/merged")
         assert len(merged.inputFiles()) == files and merged.distinct().count() == 20_000
+
+
+def test_shards_of_a_large_export_are_divided(spark, tmp_path, monkeypatch):
+    spark.range(40_000).repartition(2).write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    for shard_bytes, shards in ((io.SHARD_BYTES, 4), (-(-io.bytes_below(spark, f"{tmp_path}/in/*.parquet") // 10), 10)):
+        monkeypatch.setattr(io, "SHARD_BYTES", shard_bytes)
+        io.export_shards(df, f"{tmp_path}/out", shards=4)
+        out = spark.read.parquet(f"{tmp_path}/out")
+        assert len(out.inputFiles()) == shards and out.distinct().count() == 40_000
+
+
+def test_merged_files_are_even(spark, tmp_path):
+    """Shards of one row group are read in several splits, of which one holds all rows."""
+    spark.range(40_000).repartition(4).write.parquet(f"{tmp_path}/shards")
+    pattern = f"{tmp_path}/shards/*.parquet"
+    size = io.bytes_below(spark, pattern)
+    settings = {"spark.sql.files.maxPartitionBytes": str(size // 8 + 500), "spark.sql.files.openCostInBytes": "1"}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        io.merge_shards(spark, pattern, f"{tmp_path}/merged", file_bytes=size // 2 + 1)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    merged = spark.read.parquet(f"{tmp_path}/merged")
+    assert merged.distinct().count() == 40_000
+    assert sorted(r[0] for r in merged.groupBy(F.input_file_name()).count().select("count").collect()) == [20_000, 20_000]
