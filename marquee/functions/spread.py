@@ -26,6 +26,7 @@ LOOKUP_SALTS = 16
 QUANTILE_CELLS = 4096
 PART_BYTES = 8 << 20      # bytes of input files for a part of a table whose texts are taken apart
 BROADCAST_ROWS = 200_000
+DIMENSION_ROWS = 1_000_000  # the same for a list dimension, a name and a number a row
 BROADCAST_BYTES = 64 << 20
 
 
@@ -162,10 +163,17 @@ def hash_bucket(*keys: str | Column) -> Column:
 
 
 def _number_buckets(
-    df: DataFrame, order: list[Column], id_col: str, start: int, weight: str | None
+    df: DataFrame, order: list[Column], id_col: str, start: int, weight: str | None, write: bool = False
 ) -> DataFrame:
-    """Number the rows by (_bucket, order); with `weight` a row takes that many numbers."""
+    """Number the rows by (_bucket, order); with `weight` a row takes that many numbers.
+
+    `write` puts the rows in order once and writes them with their places, so that `df` is read once, not twice.
+    """
     units = F.col(weight) if weight else F.lit(1)
+    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = df.withColumn("_last", F.sum(units).over(w))
+    if write:
+        df = numbered = keep(numbered, "numbered")
     ahead = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     # at most ID_BUCKETS rows: the one ordered window over the whole frame is bounded
     offsets = (
@@ -173,8 +181,6 @@ def _number_buckets(
         .withColumn("_skip", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)))
         .select("_at", "_skip")
     )
-    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = df.withColumn("_last", F.sum(units).over(w))
     joined = numbered.join(F.broadcast(offsets), F.col("_bucket") == F.col("_at"), "left")
     first = F.col("_skip") + F.col("_last") - units + start
     return joined.withColumn(id_col, first.cast("bigint")).drop("_bucket", "_at", "_skip", "_last")
@@ -182,15 +188,16 @@ def _number_buckets(
 
 def dense_ids(
     df: DataFrame, keys: list[str], id_col: str, start: int = 1, bucket_on: list[str] | None = None,
-    weight: str | None = None,
+    weight: str | None = None, write: bool = False,
 ) -> DataFrame:
-    """Gap-free ids for rows unique on `keys`, ordered by hash bucket and then by key.
+    """Gap-free ids ordered by hash bucket and then by key, for rows unique on `keys` or without other columns.
 
     One shuffle on the bucket; the same rows get the same ids under any partitioning, so a
-    dimension and the bridge made from it agree even when one of them is recomputed.
+    dimension and the bridge made from it agree even when one of them is recomputed. `write` is for rows that are
+    many or costly to make: they are made and put in order once.
     """
     bucketed = df.withColumn("_bucket", hash_bucket(*(bucket_on or keys)))
-    return _number_buckets(bucketed, [F.col(k) for k in keys], id_col, start, weight)
+    return _number_buckets(bucketed, [F.col(k) for k in keys], id_col, start, weight, write)
 
 
 def ordered_ids(df: DataFrame, key: str, id_col: str, start: int = 0) -> DataFrame:

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions import lists
-from marquee.functions.spread import checked_lookup, dense_ids, salted_lookup
+from marquee.functions.spread import DIMENSION_ROWS, checked_lookup, dense_ids, salted_lookup
 from marquee.schemas import (
     DIM_MOVIE_COLUMNS, ENRICHED_COLUMNS, FACT_MOVIE_COLUMNS, LIST_DIMENSIONS, STAR_SCHEMAS,
     ListDimension,
 )
-from marquee.sources.scratch import keep
 
-# Numbers handed out per row in one step when a pair repeats inside a list.
+# Rows of one key from which its pairs are counted before they move, and numbers handed out per pair in one step.
 _REPEAT_STEP = 10_000
 
 
@@ -27,13 +27,19 @@ def dimension_from_list(
 
     `strict_reference` keeps the empty value that a stray delimiter yields.
     """
-    values = (
-        df.select(F.explode(lists.split_list(column, delimiter, keep_empty=strict_reference)).alias(value_col))
-        .distinct()
-    )
+    values = _list_elements(df, column, delimiter, value_col, keep_empty=strict_reference).distinct()
     return dense_ids(values, [value_col], id_col).select(id_col, value_col)
 
 
+def _list_elements(
+    df: DataFrame, column: str, delimiter: str, value_col: str, *others: Column, keep_empty: bool = False
+) -> DataFrame:
+    """A row per element of lists.split_list, which is trimmed after the explode: there it is compiled."""
+    parts = df.select(*others, F.explode(F.split(column, re.escape(delimiter))).alias(value_col))
+    trimmed = parts.withColumn(value_col, F.trim(value_col))
+    return trimmed if keep_empty else trimmed.filter(F.col(value_col) != "")
+
+
 def bridge_from_list(
     df: DataFrame, dimension: DataFrame, key: str, column: str, value_col: str, id_col: str,
     delimiter: str = ", ", bridge_id: str = "bridge_id", movie_col: str = "movie_id",
@@ -45,19 +51,24 @@ def bridge_from_list(
     delimiter, so that un-spaced lists lose their rows. The dimension is broadcast when a count
     shows that it has at most `broadcast_rows` rows; otherwise the look-up is salted by the row
     key, because one value may be carried by a third of all rows.
+
+    Pairs move once, to be numbered. Where a key has so many rows that its pairs would pile up in one
+    task (a null key, say), equal pairs are counted first and numbered together.
     """
-    words = lists.split_spaced(column, delimiter) if strict_reference else lists.split_list(column, delimiter.strip() or delimiter)
-    pairs = (
-        df.select(F.col(key).alias(movie_col), F.explode(words).alias(value_col))
-        .groupBy(movie_col, value_col).agg(F.count("*").alias("_times"))
+    movie = F.col(key).alias(movie_col)
+    pairs = df.select(movie, F.explode(lists.split_spaced(column, delimiter)).alias(value_col)) if strict_reference else (
+        _list_elements(df, column, delimiter.strip() or delimiter, value_col, movie)
     )
+    crowded = not df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > _REPEAT_STEP).isEmpty()
+    if crowded:
+        pairs = pairs.groupBy(movie_col, value_col).agg(F.count("*").alias("_times"))
     dims = dimension.select(value_col, id_col)
     found = checked_lookup(pairs, dims, [value_col], [movie_col], max_rows=broadcast_rows) if broadcast_rows else (
         salted_lookup(pairs, dims, [value_col], [movie_col])
     )
-    # numbering reads its input twice
-    paired = keep(found.select(movie_col, id_col, "_times"), "pairs")
-    numbered = dense_ids(paired, [movie_col, id_col], "_first", weight="_times")
+    if not crowded:
+        return dense_ids(found.select(movie_col, id_col), [movie_col, id_col], bridge_id, write=True).select(bridge_id, movie_col, id_col)
+    numbered = dense_ids(found.select(movie_col, id_col, "_times"), [movie_col, id_col], "_first", weight="_times", write=True)
     last_step = F.floor((F.col("_times") - 1) / _REPEAT_STEP)
     return (
         numbered.withColumn("_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last_step)))
@@ -79,16 +90,23 @@ def movie_fact(df: DataFrame) -> DataFrame:
     return _typed(df.select(F.col("id").alias("movie_id"), *FACT_MOVIE_COLUMNS), "fact_movie")
 
 
-def star_tables(df: DataFrame) -> Iterator[tuple[str, str, DataFrame]]:
-    """Lazily yield (kind, name, table): movie dimension, fact, 5 dimensions, 5 bridges."""
+def tables_without_bridges(df: DataFrame) -> Iterator[tuple[str, str, DataFrame]]:
+    """Lazily yield (kind, name, table): movie dimension, fact, 5 dimensions."""
     yield "dim", "movie", movie_dimension(df)
     yield "fact", "movie", movie_fact(df)
-    dims: dict[str, DataFrame] = {}
     for spec in LIST_DIMENSIONS:
-        dims[spec.source] = dimension_from_list(
-            df, spec.source, id_col=spec.id_col, value_col=spec.value_col
-        )
-        yield "dim", spec.source, dims[spec.source]
+        yield "dim", spec.source, dimension_from_list(df, spec.source, id_col=spec.id_col, value_col=spec.value_col)
+
+
+def star_tables(df: DataFrame) -> Iterator[tuple[str, str, DataFrame]]:
+    """Lazily yield (kind, name, table): movie dimension, fact, 5 dimensions, 5 bridges.
+
+    To yield a bridge is to join and order its pairs: who writes the dimensions first makes bridges from those.
+    """
+    dims: dict[str, DataFrame] = {}
+    for kind, name, table in tables_without_bridges(df):
+        dims[name] = table
+        yield kind, name, table
     for spec in LIST_DIMENSIONS:
         yield "bridge", spec.source, bridge_for(df, dims[spec.source], spec)
 
@@ -106,7 +124,7 @@ def values_per_movie(
 ) -> DataFrame:
     """Sorted distinct values of each movie as one string, one row per movie."""
     pairs = bridge.select("movie_id", id_col).distinct()
-    named = checked_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"])
+    named = checked_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"], max_rows=DIMENSION_ROWS)
     return named.groupBy("movie_id").agg(
         F.array_join(F.sort_array(F.collect_set(value_col)), ", ").alias(out)
     )

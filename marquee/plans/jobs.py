@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee import schemas
-from marquee.functions.spread import BROADCAST_ROWS
+from marquee.functions.spread import DIMENSION_ROWS
 from marquee.operators import checks, cleaning, star
 from marquee.session import passing_scratch
 from marquee.sources import io
@@ -54,12 +54,10 @@ def transform_job(spark: SparkSession, clean_path: str, out: str) -> dict[str, i
     """
     with passing_scratch(spark):
         cleaned = spark.read.parquet(io.require_path(spark, clean_path))
-        counts = io.write_tables(
-            (t for t in star.star_tables(cleaned) if t[0] != "bridge"), out
-        )
+        counts = io.write_tables(star.tables_without_bridges(cleaned), out)
         for spec in schemas.LIST_DIMENSIONS:
             dim = spark.read.parquet(f"{out}/dim_{spec.source}")
-            bridge = star.bridge_for(cleaned, dim, spec, broadcast_rows=BROADCAST_ROWS)
+            bridge = star.bridge_for(cleaned, dim, spec, broadcast_rows=DIMENSION_ROWS)
             counts |= io.write_tables([("bridge", spec.source, bridge)], out)
     return counts
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.functions import lists
-from marquee.functions.spread import BROADCAST_ROWS
+from marquee.functions.spread import DIMENSION_ROWS
 from marquee.operators import cleaning, star
 from marquee.plans.registry import query
 from marquee.sources.derived import CATALOG_SQL, catalog, table
@@ -53,7 +53,7 @@ def star_built(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     for spec in star.LIST_DIMENSIONS:
         dim = keep(star.dimension_from_list(df, spec.source, id_col=spec.id_col, value_col=spec.value_col), spec.dim)
         tables[spec.dim] = dim
-        tables[spec.bridge] = keep_bucketed(star.bridge_for(df, dim, spec, BROADCAST_ROWS), spec.bridge, "movie_id", buckets)
+        tables[spec.bridge] = keep_bucketed(star.bridge_for(df, dim, spec, DIMENSION_ROWS), spec.bridge, "movie_id", buckets)
     return tables
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from marquee import schemas
-from marquee.functions import lists
+from marquee.functions import lists, spread
 from marquee.operators import checks, cleaning, star
 from marquee.plans import jobs
 from marquee.sources import io
@@ -65,6 +65,41 @@ def test_bridge_numbers_masses_of_repeats(spark, monkeypatch):
     assert sorted(r["bridge_id"] for r in got.collect()) == list(range(1, 51))
 
 
+def test_bridge_of_crowded_keys_is_the_same(spark, monkeypatch):
+    """Keys of many rows, a null one too: pairs that are counted first get the numbers of pairs that are not."""
+    data = [(None if i % 3 == 0 else i % 4, "a, b , a,, c" if i % 2 else "b,c") for i in range(40)] + [(9, None), (9, "")]
+    df = spark.createDataFrame(data, "id bigint, l string")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "d bigint, v string")
+    whole = rows(star.bridge_from_list(df, dim, "id", "l", "v", "d"), "bridge_id", "movie_id", "d")
+    assert [r[0] for r in whole] == list(range(1, len(whole) + 1))
+    assert len(whole) == sum(len([w for w in (l or "").split(",") if w.strip()]) for _, l in data)
+    monkeypatch.setattr(star, "_REPEAT_STEP", 3)
+    assert rows(star.bridge_from_list(df, dim, "id", "l", "v", "d"), "bridge_id", "movie_id", "d") == whole
+
+
+def test_pairs_of_a_bridge_move_once(spark, monkeypatch):
+    """They are put in order as they come, without a shuffle to count repeats, and written once."""
+    kept = []
+    monkeypatch.setattr(spread, "keep", lambda df, label: kept.append((label, df)) or df)
+    df = spark.range(50).select("id", F.concat_ws(", ", F.lit("a"), F.col("id").cast("string")).alias("l"))
+    dim = star.dimension_from_list(df, "l", id_col="d", value_col="v").localCheckpoint()
+    star.bridge_from_list(df, dim, "id", "l", "v", "d", broadcast_rows=100)
+    (label, pairs), = kept
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert label == "numbered" and text.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in text
+
+
+def test_transform_job_makes_each_bridge_once(spark, tmp_path, monkeypatch):
+    made, bridge_for = [], star.bridge_for
+    monkeypatch.setattr(star, "bridge_for", lambda df, dim, spec, **how: made.append(spec.bridge) or bridge_for(df, dim, spec, **how))
+    lists_of = {d.source: "a, b" for d in schemas.LIST_DIMENSIONS}
+    movie = {c: "1" for c in star.DIM_MOVIE_COLUMNS + star.FACT_MOVIE_COLUMNS} | {"release_date": "2000-01-01", "adult": "true"} | lists_of
+    spark.createDataFrame([movie]).withColumn("id", F.lit(1)).write.parquet(f"{tmp_path}/clean")
+    counts = jobs.transform_job(spark, f"{tmp_path}/clean", f"{tmp_path}/star")
+    assert len(counts) == 12 and all(counts[f"bridge_{d.source}"] == 2 for d in schemas.LIST_DIMENSIONS)
+    assert sorted(made) == sorted(d.bridge for d in schemas.LIST_DIMENSIONS)
+
+
 def test_whitelist_drops_the_whole_row(spark):
     df = spark.createDataFrame([(1, "Drama, War"), (2, "Drama, Nope"), (3, ""), (4, "War, War")], "id int, genres string")
     assert rows(cleaning.keep_whitelisted(df, "genres", ["Drama", "War"]), "id") == [(1,), (4,)]
