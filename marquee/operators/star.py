@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions import lists
-from marquee.functions.spread import DIMENSION_ROWS, checked_lookup, dense_ids, salted_lookup
+from marquee.functions.spread import DIMENSION_ROWS, checked_lookup, dense_ids, fits_broadcast, salted_lookup
 from marquee.schemas import (
     DIM_MOVIE_COLUMNS, ENRICHED_COLUMNS, FACT_MOVIE_COLUMNS, LIST_DIMENSIONS, STAR_SCHEMAS,
     ListDimension,
@@ -122,9 +122,15 @@ def bridge_for(
 def values_per_movie(
     bridge: DataFrame, dimension: DataFrame, id_col: str, value_col: str, out: str
 ) -> DataFrame:
-    """Sorted distinct values of each movie as one string, one row per movie."""
-    pairs = bridge.select("movie_id", id_col).distinct()
-    named = checked_lookup(pairs, dimension.select(id_col, value_col), [id_col], ["movie_id"], max_rows=DIMENSION_ROWS)
+    """Sorted distinct values of each movie as one string, one row per movie.
+
+    Pairs named in place go straight into the sets; those that must be shuffled to their names are made distinct first.
+    """
+    pairs, names = bridge.select("movie_id", id_col), dimension.select(id_col, value_col)
+    if fits_broadcast(names, DIMENSION_ROWS):
+        named = pairs.join(F.broadcast(names), id_col)
+    else:
+        named = salted_lookup(pairs.distinct(), names, [id_col], ["movie_id"])
     return named.groupBy("movie_id").agg(
         F.array_join(F.sort_array(F.collect_set(value_col)), ", ").alias(out)
     )

@@ -10,6 +10,7 @@ from marquee.functions import lists, spread
 from marquee.operators import checks, cleaning, star
 from marquee.plans import jobs
 from marquee.sources import io
+from marquee.sources.derived import catalog
 
 
 @pytest.fixture
@@ -89,6 +90,23 @@ def test_pairs_of_a_bridge_move_once(spark, monkeypatch):
     assert label == "numbered" and text.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in text
 
 
+def test_catalog_moves_lines_by_part_only(spark):
+    """Sets of suppliers are collected as the lines are read: no shuffle by pairs ahead of them."""
+    df = catalog(spark, "/root/testdata/sf0.001")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert not [e for e in text.split("Exchange hashpartitioning(")[1:] if "l_suppkey" in e.split("REQUIREMENTS")[0].split(",")[1]]
+    assert text.count("Exchange hashpartitioning(l_partkey") == 2
+
+
+def test_values_named_in_place_are_not_made_distinct_first(spark):
+    """Repeated pairs, a number without a name and two numbers of one name."""
+    bridge = spark.createDataFrame([(1, 1), (1, 1), (1, 3), (1, 2), (2, 9), (None, 2), (None, 2)], "movie_id bigint, d bigint")
+    dim = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b")], "d bigint, v string")
+    got = star.values_per_movie(bridge, dim, "d", "v", "vs")
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, "a, b"), (None, "a")]
+    assert " HashAggregate" not in got._jdf.queryExecution().executedPlan().toString().replace("- HashAggregate", " HashAggregate")
+
+
 def test_transform_job_makes_each_bridge_once(spark, tmp_path, monkeypatch):
     made, bridge_for = [], star.bridge_for
     monkeypatch.setattr(star, "bridge_for", lambda df, dim, spec, **how: made.append(spec.bridge) or bridge_for(df, dim, spec, **how))
