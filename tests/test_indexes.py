@@ -263,3 +263,56 @@ def test_left_out_items_hide_one_row_over_all_tiles(monkeypatch):
     best = vectors._Best(np.array([0]), np.zeros((1, 2)), 3, "l2", [np.array([1, 99])])
     best.add(ids, items)
     assert best.rows()["_id"].tolist() == [0, 0, 1]  # the other row of item 1 stays, as it did before there were tiles
+
+
+# --- what a search moves ----------------------------------------------------------------------
+
+
+def test_searches_move_items_once_a_group(spark, monkeypatch):
+    """Vectors are no key of a look-up, queries move once a pass, and cells that share a task share the items sent to it."""
+    keys, sent = [], []
+    lookup, meet = vectors.salted_lookup, vectors.Cells.meet
+    monkeypatch.setattr(vectors, "salted_lookup", lambda left, right, on, *a, **k: keys.append(on) or lookup(left, right, on, *a, **k))
+    monkeypatch.setattr(vectors.Cells, "meet", lambda self, asked, cells, k: sent.append((asked.count(), asked.select("_group").distinct().count())) or meet(
+        self, asked, cells, k))
+    items, _ = clustered(spark, 600, 6)
+    items = items.unionByName(items.filter("id < 30").withColumn("id", F.col("id") + 1000))  # copies
+    queries = items.select(F.col("id").alias("query_id"), "vector")
+    columns = ("query_id", "rank", "item_id", "score")
+    got = found(vectors.vector_topk(queries, items, 4, "l2", broadcast_queries=0, cell_rows=30).withColumn("score", F.round("score", 6)), *columns)
+    assert ["_vec"] not in keys and sent == [(600, 1), (600, 1)]
+    assert got == found(vectors.vector_topk(queries, items, 4, "l2").withColumn("score", F.round("score", 6)), *columns)
+
+
+@pytest.mark.parametrize("size", [10**9, 900])
+def test_groups_of_any_size_find_the_same(spark, monkeypatch, size):
+    """Crowded cells are dealt over several groups; batches that end inside a cell or between two rows of one item change nothing."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(vectors, "GROUP_BYTES", size)
+    monkeypatch.setattr(vectors, "LEAST_GROUP", 1)
+    items, points = clustered(spark, 90, 3)
+    items = items.unionByName(items.filter("id < 20"))  # rows that come twice
+    users = spark.createDataFrame([(u, points[u].tolist()) for u in range(12)], "user_id bigint, vector array<double>")
+    pairs = spark.createDataFrame([(u, i) for u in range(12) for i in (u, u + 3, 10**6)], "user_id bigint, item_id bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = vectors.vector_topk(users, items, 5, "l2", query_id="user_id", seen=pairs, cell_rows=20).orderBy("user_id", "rank").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    listed = {u: [r["item_id"] for r in got if r["user_id"] == u] for u in range(12)}
+    for u in range(12):
+        rows = list(range(90)) + list(range(20))
+        for i in (u, u + 3):
+            rows.remove(i)  # a left-out item hides one of its rows
+        assert listed[u] == sorted(rows, key=lambda i: (round(float(((points[u] - points[i]) ** 2).sum()), 9), i))[:5]
+
+
+def test_one_id_with_two_vectors_and_hashes_that_meet(spark, monkeypatch):
+    items, points = clustered(spark, 60, 3)
+    columns = ("query_id", "rank", "item_id")
+    queries = items.select(F.col("id").alias("query_id"), "vector")
+    want = found(vectors.vector_topk(queries, items, 3), *columns)
+    monkeypatch.setattr(vectors.F, "xxhash64", lambda *c, real=F.xxhash64: F.lit(7).cast("bigint") if c == ("_vec",) else real(*c))
+    assert found(vectors.vector_topk(queries, items, 3, broadcast_queries=0, cell_rows=20), *columns) == want
+    twice = queries.unionByName(queries.filter("query_id = 1").withColumn("query_id", F.lit(2).cast("bigint")))
+    assert found(vectors.vector_topk(twice, items, 3, broadcast_queries=0, cell_rows=20), *columns) == found(vectors.vector_topk(twice, items, 3), *columns)
