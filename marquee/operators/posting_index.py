@@ -30,7 +30,17 @@ LEAST_IDS = 1_000       # smallest ids kept for filling short lists
 
 
 def _bucket(value: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+    """As rows dealt by the hash of the value lie: parts that are a multiple of the buckets hold rows of one bucket each."""
+    return F.pmod(F.hash(F.xxhash64(value)), F.lit(buckets)).cast("int")
+
+
+def _write_dealt(rows: DataFrame, key: str, path: str, many: int) -> int:
+    """As _write, for about `many` rows that `_h`, the hash of the key, has dealt already: they move no more. A part is a file or more."""
+    wanted = min(MOST_BUCKETS, max(1, -(-many // BUCKET_ROWS)))
+    buckets = 1 << (wanted.bit_length() - 1)  # parts are a power of two
+    placed = rows.drop("_h").withColumn("bucket", _bucket(F.col(key), buckets)).sortWithinPartitions("bucket", key)
+    placed.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
+    return buckets
 
 
 def _write(rows: DataFrame, key: str, path: str) -> int:
@@ -41,9 +51,11 @@ def _write(rows: DataFrame, key: str, path: str) -> int:
     width = reduce(add, listed, F.lit(1)).cast("bigint")
     files = keep(placed.groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.sum(width) / FILE_ROWS).cast("int").alias("_files")), "files")  # a row a bucket
     parts = max(1, files.agg(F.sum("_files")).first()[0] or 0)
-    dealt = placed.join(F.broadcast(files), F.col("bucket") == F.col("_b")).withColumn(
-        "_file", F.pmod(F.xxhash64("id", F.lit(1)), F.col("_files")))
-    dealt.repartition(parts, "bucket", "_file").sortWithinPartitions("bucket", key).drop("_b", "_files", "_file").write.partitionBy("bucket").parquet(path)
+    # what can be told from a row again is not moved with it
+    dealt = rows.join(F.broadcast(files), _bucket(F.col(key), buckets) == F.col("_b")).drop("_b").repartition(
+        parts, _bucket(F.col(key), buckets), F.pmod(F.xxhash64("id", F.lit(1)), F.col("_files")))
+    sorted_rows = dealt.drop("_files").withColumn("bucket", _bucket(F.col(key), buckets)).sortWithinPartitions("bucket", key)
+    sorted_rows.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
     return buckets
 
 
@@ -114,11 +126,18 @@ def build_index(catalog: DataFrame, path: str, **weights: float) -> PostingIndex
     """Write the index of a catalog (id, title, genres, overview, keywords) to `path`."""
     names = ("genres", "overview", "keywords")
     features, buckets = [], {}
-    for name, (vectors, weight, as_sets) in zip(names, terms.blended_features(catalog, **weights)):
+    short = keep(catalog.drop("overview"), "catalog")  # texts are read where their words are counted, and not stored
+    many = short.count()
+    for name, (vectors, weight, as_sets) in zip(names, terms.dealt_features(short, catalog, **weights)):
         features.append((name, weight, as_sets))
-        buckets[f"vectors-{name}"] = _write(vectors, "id", f"{path}/vectors-{name}")
-        buckets[f"postings-{name}"] = _write(terms.postings(vectors), "term", f"{path}/postings-{name}")
-    listed = catalog.select("id", "title")
+        stored = f"{path}/vectors-{name}"
+        if "_h" in vectors.columns:
+            buckets[f"vectors-{name}"] = _write_dealt(vectors, "id", stored, many)
+        else:
+            buckets[f"vectors-{name}"] = _write(vectors, "id", stored)
+        written = catalog.sparkSession.read.parquet(stored).drop("bucket")
+        buckets[f"postings-{name}"] = _write(terms.postings(written), "term", f"{path}/postings-{name}")
+    listed = short.select("id", "title")
     buckets["titles"] = _write(listed, "title", f"{path}/titles")
     buckets["items"] = _write(listed, "id", f"{path}/items")
     listed.select("id").orderBy("id").limit(LEAST_IDS).coalesce(1).write.parquet(f"{path}/least")

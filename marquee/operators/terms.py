@@ -103,8 +103,13 @@ def dealt_tfidf_vectors(df: DataFrame, key: str, column: str, stop_words: list[s
 
 def count_vectors(df: DataFrame, key: str, column: str, stop_words: list[str] | None = None) -> DataFrame:
     """Unit vectors of plain term counts."""
+    return dealt_count_vectors(df, key, column, stop_words).drop("_h")
+
+
+def dealt_count_vectors(df: DataFrame, key: str, column: str, stop_words: list[str] | None = None) -> DataFrame:
+    """As count_vectors, with the hash of the id that the rows are dealt by: (_h, id, terms)."""
     counts = _dealt_counts(df, key, column, stop_words, parts_for(df))
-    return _unit(counts.select("_h", "id", "term", F.col("n").cast("double").alias("w")), ["_h", "id"]).drop("_h")
+    return _unit(counts.select("_h", "id", "term", F.col("n").cast("double").alias("w")), ["_h", "id"])
 
 
 def set_vectors(df: DataFrame, key: str, array: str) -> DataFrame:
@@ -198,22 +203,32 @@ def similar_to_seeds(
     return blend(parts, seeds, catalog.select("id").orderBy("id").limit(2 * n + 2), n)
 
 
-def blended_features(
-    catalog: DataFrame, genre_weight: float = GENRE_WEIGHT, overview_weight: float = OVERVIEW_WEIGHT,
+def dealt_features(
+    catalog: DataFrame, texts: DataFrame, genre_weight: float = GENRE_WEIGHT, overview_weight: float = OVERVIEW_WEIGHT,
     keyword_weight: float = KEYWORD_WEIGHT,
 ) -> list[tuple[DataFrame, float, bool]]:
-    """Genre sets, overview TF-IDF and keyword counts of a catalog (id, genres, overview, keywords)."""
+    """Genre sets, overview TF-IDF and keyword counts of a catalog (id, genres, keywords) and its texts (id, overview), not yet written.
+
+    The last two come with `_h`, the hash of the id that they are dealt by.
+    """
     squashed = catalog.select(
-        "id", "overview", lists.squash(lists.parse_list_or_literal("genres")).alias("_g"),
+        "id", lists.squash(lists.parse_list_or_literal("genres")).alias("_g"),
         lists.join_list(lists.squash(lists.parse_list_or_literal("keywords"))).alias("_k"),
     )
     return [
-        (keep(set_vectors(squashed, "id", "_g"), "genre-sets"), genre_weight, True),
-        (keep(tfidf_vectors(squashed, "id", "overview"), "overview-vectors"), overview_weight, False),
-        (keep(count_vectors(squashed, "id", "_k"), "keyword-vectors"), keyword_weight, False),
+        (set_vectors(squashed, "id", "_g"), genre_weight, True),
+        (dealt_tfidf_vectors(texts.select("id", "overview"), "id", "overview"), overview_weight, False),
+        (dealt_count_vectors(squashed, "id", "_k"), keyword_weight, False),
     ]
 
 
+def blended_features(catalog: DataFrame, **weights: float) -> list[tuple[DataFrame, float, bool]]:
+    """Genre sets, overview TF-IDF and keyword counts of a catalog (id, genres, overview, keywords)."""
+    labels = ("genre-sets", "overview-vectors", "keyword-vectors")
+    return [(keep(vectors.drop("_h"), label), weight, as_sets)
+            for label, (vectors, weight, as_sets) in zip(labels, dealt_features(catalog, catalog, **weights))]
+
+
 def seeds_by_title(catalog: DataFrame, titles: list) -> tuple[DataFrame, DataFrame]:
     """Seeds (seed_id, title, matches) and problems (title, message).
 

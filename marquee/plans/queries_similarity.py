@@ -121,7 +121,7 @@ def _seed_catalog(spark: SparkSession, folder: str) -> DataFrame:
 def _index(spark: SparkSession, folder: str) -> posting_index.PostingIndex:
     """The stored index of the catalog, built by the first request that finds none for the present files."""
     sources = [table(spark, folder, name) for name in ("part", "documents", "lineitem", "supplier", "nation")]
-    return built_once("posting-index", sources, lambda path: posting_index.build_index(keep(_seed_catalog(spark, folder), "seed-catalog"), path))
+    return built_once("posting-index", sources, lambda path: posting_index.build_index(_seed_catalog(spark, folder), path))
 
 
 _PAIR_SQL = """

@@ -44,7 +44,7 @@ def keep_dealt(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     """As keep_bucketed, for rows that are already dealt by `repartition(buckets, key)` and moved no more."""
     path = scratch_path(df.sparkSession, label)
     name = "kept_" + path.rsplit("-", 1)[1]
-    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", "zstd").saveAsTable(name)
     enter_table(name)
     return df.sparkSession.table(name)
 

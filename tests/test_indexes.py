@@ -69,6 +69,19 @@ def test_long_lists_of_a_bucket_are_divided(spark, tmp_path, monkeypatch):
     assert written.count() == 20 and len(written.inputFiles()) > 3 and most < 1_000
 
 
+def test_vectors_of_an_index_are_written_once_where_they_lie(spark, movies, tmp_path, monkeypatch):
+    kept = []
+    for module in (terms, posting_index):
+        monkeypatch.setattr(module, "keep", lambda df, label, keep=module.keep: kept.append((label, df.columns)) or keep(df, label))
+    monkeypatch.setattr(posting_index, "BUCKET_ROWS", 40)
+    index = posting_index.build_index(movies, f"{tmp_path}/index")
+    assert not [label for label, columns in kept if {"overview", "terms"} & set(columns)]
+    for name in ("overview", "keywords"):
+        stored = spark.read.parquet(f"{tmp_path}/index/vectors-{name}")
+        assert index.buckets[f"vectors-{name}"] == 4 == stored.select("bucket").distinct().count()
+        assert len(stored.inputFiles()) <= parts_for(movies)  # a part holds rows of one bucket
+
+
 @here
 def test_a_request_reads_its_terms_only(spark):
     index = queries_similarity._index(spark, FOLDER)
