@@ -329,3 +329,10 @@ def test_one_id_with_two_vectors_and_hashes_that_meet(spark, monkeypatch):
     assert found(vectors.vector_topk(queries, items, 3, broadcast_queries=0, cell_rows=20), *columns) == want
     twice = queries.unionByName(queries.filter("query_id = 1").withColumn("query_id", F.lit(2).cast("bigint")))
     assert found(vectors.vector_topk(twice, items, 3, broadcast_queries=0, cell_rows=20), *columns) == found(vectors.vector_topk(twice, items, 3), *columns)
+
+
+def test_marks_are_found_eight_at_a_time():
+    rng = np.random.default_rng(0)
+    for shape, share in (((5, 16), 0.1), ((3, 7), 0.5), ((4, 8), 0.0), ((2, 8), 1.0), ((256, 512), 0.001)):
+        marks = rng.random(shape) < share
+        assert (vectors._marked(marks) == np.flatnonzero(marks)).all()
